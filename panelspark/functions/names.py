@@ -21,9 +21,9 @@ def name_token(name: Column, index: int) -> Column:
 
 
 def name_tokens(name: Column) -> Column:
-    """The first three tokens, without missing ones and repeats."""
-    tokens = F.array(*[name_token(name, i) for i in range(3)])
-    return F.array_distinct(F.array_compact(tokens))
+    """The first three tokens, without repeats; none for a missing name."""
+    tokens = F.slice(F.split(F.lower(name), " ", -1), 1, 3)
+    return F.array_distinct(F.transform(tokens, F.trim))
 
 
 def full_name(first: Column, last: Column) -> Column:
@@ -31,56 +31,42 @@ def full_name(first: Column, last: Column) -> Column:
     return F.concat(F.coalesce(first, F.lit("")), F.lit(" "), F.coalesce(last, F.lit("")))
 
 
-def initials(first: Column, last: Column) -> Column:
-    """Distinct first letters of the two parts, without missing ones."""
-    letters = F.array(F.left(first, F.lit(1)), F.left(last, F.lit(1)))
-    return F.array_distinct(F.array_compact(letters))
+def lcs_length(a: str, b: str) -> Column:
+    """Length of the longest common subsequence of two text columns.
 
+    Up to 62 characters a row of the table is one bigint, and a character costs one addition
+    and two masks. The addition carries towards later characters, hence the reversed letters.
+    Longer pairs go row by row. The one-element arrays name values used more than once.
+    """
 
-def _lcs_bits(pattern: Column, text: Column) -> Column:
-    """Bit-vector form: one addition and two masks per character of ``text``."""
-    positions = F.split(F.reverse(pattern), "")
-    zero = F.lit(0).cast("bigint")
-    full = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.length(pattern)) - 1
-    masks = F.transform(
-        F.split(text, ""),
-        lambda ch: F.aggregate(positions, zero, lambda bits, x: bits * 2 + (x == ch).cast("bigint")),
-    )
-    rest = F.aggregate(
-        masks,
-        full,
-        lambda row, mask: (row + row.bitwiseAND(mask))
-        .bitwiseOR(row - row.bitwiseAND(mask))
-        .bitwiseAND(full),
+    def bits(pattern: str, text: str) -> str:
+        return f"""
+          length({pattern}) - bit_count(get(transform(
+            array(struct(split(reverse({pattern}), '') AS letters,
+                         shiftleft(1L, length({pattern})) - 1L AS full)),
+            p -> aggregate(split({text}, ''), p.full, (row, ch) -> get(transform(
+              array(row & aggregate(p.letters, 0L, (mask, x) -> mask * 2L + CAST(x = ch AS BIGINT))),
+              hit -> ((row + hit) | (row - hit)) & p.full), 0))), 0))"""
+
+    def rows(pattern: str, text: str) -> str:
+        return f"""
+          get(transform(array(split({pattern}, '')), letters -> element_at(
+            aggregate(split({text}, ''), array_repeat(0, size(letters) + 1), (row, ch) ->
+              aggregate(sequence(1, size(letters)), array(0), (done, j) -> concat(done, array(greatest(
+                element_at(done, -1), get(row, j),
+                get(row, j - 1) + CAST(get(letters, j - 1) = ch AS INT)))))), -1)), 0)"""
+
+    return F.expr(
+        f"""CAST(CASE WHEN {a} = '' OR {b} = '' THEN 0
+                      WHEN length({a}) <= {_WORD} THEN {bits(a, b)}
+                      WHEN length({b}) <= {_WORD} THEN {bits(b, a)}
+                      ELSE {rows(a, b)} END AS INT)"""
     )
-    return F.length(pattern) - F.bit_count(rest)
-
-
-def _lcs_rows(pattern: Column, text: Column) -> Column:
-    """Row-by-row form for texts of any length."""
-    letters = F.split(pattern, "")
 
-    def next_row(row: Column, ch: Column) -> Column:
-        def cell(done: Column, j: Column) -> Column:
-            hit = F.get(row, j - 1) + (F.get(letters, j - 1) == ch).cast("int")
-            return F.concat(done, F.array(F.greatest(F.element_at(done, -1), F.get(row, j), hit)))
 
-        return F.aggregate(F.sequence(F.lit(1), F.length(pattern)), F.array(F.lit(0)), cell)
-
-    start = F.array_repeat(F.lit(0), F.length(pattern) + 1)
-    return F.element_at(F.aggregate(F.split(text, ""), start, next_row), -1)
-
-
-def lcs_length(a: Column, b: Column) -> Column:
-    """Length of the longest common subsequence of two texts."""
-    short = F.when(F.length(a) <= F.length(b), a).otherwise(b)
-    long = F.when(F.length(a) <= F.length(b), b).otherwise(a)
-    return (
-        F.when(F.length(short) == 0, 0)
-        .when(F.length(short) <= _WORD, _lcs_bits(short, long))
-        .otherwise(_lcs_rows(short, long))
-        .cast("int")
-    )
+def min_common(len_a: Column, len_b: Column) -> Column:
+    """The least common-subsequence length that scores above 85."""
+    return F.floor(17 * (len_a + len_b) / 40).cast("int") + 1
 
 
 def max_edits(len_a: Column, len_b: Column) -> Column:
@@ -92,21 +78,17 @@ def max_edits(len_a: Column, len_b: Column) -> Column:
     return len_a + len_b - 2 * min_common(len_a, len_b)
 
 
-def min_common(len_a: Column, len_b: Column) -> Column:
-    """The least common-subsequence length that scores above 85."""
-    return F.floor(17 * (len_a + len_b) / 40).cast("int") + 1
-
-
-def may_exceed_85(a: Column, b: Column) -> Column:
-    """Cheap test that no pair scoring above 85 fails.
+def may_exceed_85(a: str, b: str) -> Column:
+    """Cheap test that no pair of text columns scoring above 85 fails.
 
     The edit distance with substitutions never exceeds the one without, and the built-in
     function stops as soon as it passes the bound.
     """
-    bound = max_edits(F.length(a), F.length(b))
-    return (bound >= 0) & (F.call_function("levenshtein", a, b, F.greatest(bound, F.lit(0))) >= 0)
+    total = f"(length({a}) + length({b}))"
+    edits = f"({total} - 2 * (CAST(floor(17 * {total} / 40) AS INT) + 1))"
+    return F.expr(f"{edits} >= 0 AND levenshtein({a}, {b}, greatest({edits}, 0)) >= 0")
 
 
-def similarity(a: Column, b: Column) -> Column:
-    """Normalized insert/delete similarity, 0 to 100."""
+def similarity(a: str, b: str) -> Column:
+    """Normalized insert/delete similarity of two text columns, 0 to 100."""
     return F.lit(200.0) * lcs_length(a, b) / (F.length(a) + F.length(b))

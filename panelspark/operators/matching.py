@@ -26,9 +26,15 @@ from pyspark.sql import functions as F
 from panelspark.functions import names as N
 from panelspark.operators.keys import not_in
 from panelspark.operators.latest import first_per_group, latest_version
+from panelspark.session import materialize
 
 PAIRS_PER_NAME = 512
-PAIRS_PER_TASK = 4_000_000
+PAIRS_PER_TASK = 250_000
+MAX_TASKS = 100_000
+BROADCAST_NAMES = 200_000
+
+MEMBER_KEY = ["m_first", "m_last"]
+PATIENT_KEY = ["p_first", "p_last", "pat_id"]
 
 
 def current_patients(patients: DataFrame, membership: DataFrame) -> DataFrame:
@@ -60,47 +66,62 @@ def _patient_names(patients: DataFrame) -> DataFrame:
     )
 
 
-def _member_name() -> Column:
-    return N.full_name(N.normal_name(F.col("m_first")), N.normal_name(F.col("m_last")))
-
-
-def _member_name_flipped() -> Column:
-    return N.full_name(N.normal_name(F.col("m_last")), N.normal_name(F.col("m_first")))
-
-
-def _patient_name() -> Column:
-    return N.full_name(
-        N.normal_name(F.col("p_first"), hyphens=False), N.normal_name(F.col("p_last"), hyphens=False)
-    )
-
-
-def _block_pairs(members: DataFrame, patients: DataFrame) -> DataFrame:
-    """All pairs of the blocks in question, each block spread over its salts."""
-    salts = F.ceil(F.col("n_members") * F.col("n_patients") / PAIRS_PER_TASK).cast("int")
-    every = F.sequence(F.lit(0), salts - 1)
-
-    def one(*columns: str) -> Column:
-        return F.array(F.pmod(F.xxhash64(*columns), salts).cast("int"))
-
-    more_members = F.col("n_members") >= F.col("n_patients")
-    left = members.withColumn(
-        "salt", F.explode(F.when(more_members, one("m_first", "m_last")).otherwise(every))
-    )
-    right = patients.withColumn(
-        "salt", F.explode(F.when(more_members, every).otherwise(one("p_first", "p_last")))
-    )
-    return left.join(right.select("dob", "salt", "p_first", "p_last", "pat_id"), ["dob", "salt"])
+def _member_columns() -> dict[str, Column]:
+    """What the test of a pair needs from the member's name."""
+    raw_first, raw_last = F.col("m_first"), F.col("m_last")
+    first, last = N.normal_name(raw_first), N.normal_name(raw_last)
+    return {
+        "phc_name": N.full_name(first, last),
+        "phc_name_flipped": N.full_name(last, first),
+        "m_initial_1": F.left(first, F.lit(1)),
+        "m_initial_2": F.left(last, F.lit(1)),
+        "m_tokens_first": N.name_tokens(raw_first),
+        "m_tokens_last": N.name_tokens(raw_last),
+    }
+
+
+def _patient_columns() -> dict[str, Column]:
+    """What the test of a pair needs from the patient's name."""
+    raw_first, raw_last = F.col("p_first"), F.col("p_last")
+    first, last = N.normal_name(raw_first, hyphens=False), N.normal_name(raw_last, hyphens=False)
+    return {
+        "epic_name": N.full_name(first, last),
+        "p_initial_1": F.left(first, F.lit(1)),
+        "p_initial_2": F.left(last, F.lit(1)),
+        "p_tokens_first": N.name_tokens(raw_first),
+        "p_tokens_last": N.name_tokens(raw_last),
+    }
+
+
+def _block_pairs(members: DataFrame, patients: DataFrame, blocks: DataFrame, tasks: int) -> DataFrame:
+    """All pairs of the given blocks; a block is spread over salts of bounded size.
+
+    The larger side of a block is split and the smaller one repeated. Blocks are limited in
+    pairs per name, so the repeated rows stay in proportion to the names.
+    """
+    salted = blocks.withColumn("salts", F.expr(f"CAST(ceil(n_members * n_patients / {PAIRS_PER_TASK}) AS INT)"))
+    every = "sequence(0, salts - 1)"
+
+    def salt(split_side: str, *name: str) -> Column:
+        one = f"array(CAST(pmod(xxhash64({', '.join(name)}), salts) AS INT))"
+        return F.explode(F.expr(f"IF({split_side}, {one}, {every})"))
+
+    sizes = ["n_members", "n_patients", "salts"]
+    left = members.join(salted, "dob").withColumn("salt", salt("n_members >= n_patients", *MEMBER_KEY))
+    right = patients.join(salted, "dob").withColumn("salt", salt("n_members < n_patients", *PATIENT_KEY))
+    return left.drop(*sizes).repartition(tasks, "dob", "salt").join(right.drop(*sizes), ["dob", "salt"])
 
 
 def _token_pairs(members: DataFrame, patients: DataFrame) -> DataFrame:
     """Pairs that share a first-name and a last-name token."""
-    left = members.withColumn("t_first", F.explode(N.name_tokens(F.col("m_first")))).withColumn(
-        "t_last", F.explode(N.name_tokens(F.col("m_last")))
+    left = members.withColumn("t_first", F.explode("m_tokens_first")).withColumn(
+        "t_last", F.explode("m_tokens_last")
     )
-    right = patients.withColumn("t_first", F.explode(N.name_tokens(F.col("p_first")))).withColumn(
-        "t_last", F.explode(N.name_tokens(F.col("p_last")))
+    right = patients.withColumn("t_first", F.explode("p_tokens_first")).withColumn(
+        "t_last", F.explode("p_tokens_last")
     )
-    return left.join(right, ["dob", "t_first", "t_last"])
+    key = ["dob", "t_first", "t_last"]
+    return left.select(*key, *MEMBER_KEY).join(right.select(*key, *PATIENT_KEY), key)
 
 
 def _other_lengths(length: Column) -> Column:
@@ -123,21 +144,23 @@ def _with_segments(df: DataFrame) -> DataFrame:
 
 
 def _segment_pairs(members: DataFrame, patients: DataFrame) -> DataFrame:
-    """Pairs, straight or flipped, in which a segment of one name occurs in the other."""
+    """Pairs, straight or flipped, in which a segment of one name occurs in the other.
+
+    The cheap score test runs on the joined rows, so that few of them go on.
+    """
     key = ["dob", "n", "m", "i", "segment"]
     left = (
         members.withColumn(
-            "name", F.explode(F.array_distinct(F.array(_member_name(), _member_name_flipped())))
+            "name", F.explode(F.array_distinct(F.array("phc_name", "phc_name_flipped")))
         )
         .withColumn("n", F.length("name"))
         .withColumn("m", F.explode(_other_lengths(F.col("n"))))
     )
     left = _with_segments(left).select(
-        *key[:-1], F.expr("substring(name, at + 1, size)").alias("segment"), "m_first", "m_last"
+        *key[:-1], F.expr("substring(name, at + 1, size)").alias("segment"), *MEMBER_KEY, "name"
     )
     right = (
-        patients.withColumn("name", _patient_name())
-        .withColumn("m", F.length("name"))
+        patients.withColumn("m", F.length("epic_name"))
         .withColumn("n", F.explode(_other_lengths(F.col("m"))))
     )
     common = N.min_common(F.col("n"), F.col("m"))
@@ -149,71 +172,80 @@ def _segment_pairs(members: DataFrame, patients: DataFrame) -> DataFrame:
         .withColumn("place", F.explode(F.sequence("lo", "hi")))
         .select(
             *key[:-1],
-            F.expr("substring(name, place + 1, size)").alias("segment"),
-            "p_first", "p_last", "pat_id",
+            F.expr("substring(epic_name, place + 1, size)").alias("segment"),
+            *PATIENT_KEY,
+            "epic_name",
         )
     )
-    return left.join(right, key)
+    return left.join(right, key).where(N.may_exceed_85("name", "epic_name"))
 
 
 def accepted_names(
     members: DataFrame, patients: DataFrame, pairs_per_name: int = PAIRS_PER_NAME
 ) -> DataFrame:
     """Accepted pairs of distinct names with score and match flag; a pair may repeat."""
-    m_names = members.select("dob", "m_first", "m_last").distinct()
-    p_names = patients.groupBy("dob", "p_first", "p_last").agg(F.min("pat_id").alias("pat_id"))
+    m_names = materialize(
+        members.select("dob", *MEMBER_KEY).distinct().withColumns(_member_columns()), "member-names"
+    )
+    p_names = materialize(
+        patients.groupBy("dob", "p_first", "p_last")
+        .agg(F.min("pat_id").alias("pat_id"))
+        .withColumns(_patient_columns()),
+        "patient-names",
+    )
     blocks = (
         m_names.groupBy("dob").agg(F.count("*").alias("n_members"))
         .join(p_names.groupBy("dob").agg(F.count("*").alias("n_patients")), "dob")
-        .withColumn(
-            "whole",
-            F.col("n_members") * F.col("n_patients")
-            <= pairs_per_name * (F.col("n_members") + F.col("n_patients")),
-        )
-    )
-    left, right = m_names.join(blocks, "dob"), p_names.join(blocks, "dob")
-    m_small, m_large = left.where("whole"), left.where("NOT whole")
-    p_small, p_large = right.where("whole"), right.where("NOT whole")
-    pair = ["dob", "m_first", "m_last", "p_first", "p_last", "pat_id"]
-    large = m_large.select("dob", "m_first", "m_last"), p_large.select(*pair[:1], *pair[3:])
-    candidates = (
-        _block_pairs(m_small, p_small).select(*pair)
-        .unionByName(_token_pairs(*large).select(*pair))
-        .unionByName(_segment_pairs(*large).select(*pair))
+        .withColumn("whole", F.expr(f"n_members * n_patients <= {pairs_per_name} * (n_members + n_patients)"))
     )
-    return _accept(candidates)
+    totals = blocks.selectExpr(
+        "coalesce(sum(IF(whole, n_members * n_patients, 0)), 0) AS pairs",
+        "coalesce(sum(n_patients), 0) AS patients",
+        "count_if(NOT whole) AS large",
+    ).first()
+    tasks = min(MAX_TASKS, totals.pairs // PAIRS_PER_TASK + 1)
+    if totals.large == 0 and totals.patients <= BROADCAST_NAMES:
+        spread = m_names.repartition(tasks, "dob", *MEMBER_KEY)
+        return _accept(spread.join(F.broadcast(p_names), "dob"))
+    pairs = _block_pairs(m_names, p_names, blocks.where("whole").drop("whole"), tasks)
+    if totals.large > 0:
+        in_large = blocks.where("NOT whole").select("dob")
+        large = m_names.join(in_large, "dob"), p_names.join(in_large, "dob")
+        key = ["dob", *MEMBER_KEY, *PATIENT_KEY]
+        found = _token_pairs(*large).select(*key).unionByName(_segment_pairs(*large).select(*key))
+        found = found.distinct().withColumns(_member_columns() | _patient_columns())
+        pairs = pairs.select(*found.columns).unionByName(found)
+    return _accept(pairs)
 
 
 def _accept(pairs: DataFrame) -> DataFrame:
-    """Initial filter, token match and exact score."""
-    m_first, m_last = F.col("m_first"), F.col("m_last")
-    p_first, p_last = F.col("p_first"), F.col("p_last")
-    same_initial = F.arrays_overlap(
-        N.initials(N.normal_name(m_first), N.normal_name(m_last)),
-        N.initials(N.normal_name(p_first, hyphens=False), N.normal_name(p_last, hyphens=False)),
-    )
-    same_tokens = F.arrays_overlap(N.name_tokens(m_first), N.name_tokens(p_first)) & F.arrays_overlap(
-        N.name_tokens(m_last), N.name_tokens(p_last)
+    """Initial filter, token match and exact score.
+
+    Built-in tests come first. The score is computed for the few pairs they leave, and only
+    for the order of names that can reach it. The generator keeps it from being computed
+    again in the filter behind it.
+    """
+    same_initial = F.lit(False)
+    for mine in ("m_initial_1", "m_initial_2"):
+        for other in ("p_initial_1", "p_initial_2"):
+            same_initial = same_initial | F.coalesce(F.col(mine) == F.col(other), F.lit(False))
+    same_tokens = F.arrays_overlap("m_tokens_first", "p_tokens_first") & F.arrays_overlap(
+        "m_tokens_last", "p_tokens_last"
     )
-    named = pairs.where(same_initial).select(
-        "*",
-        same_tokens.cast("int").alias("name_match"),
-        _member_name().alias("phc_name"),
-        _member_name_flipped().alias("_flipped"),
-        _patient_name().alias("epic_name"),
+    straight, flipped, name = "phc_name", "phc_name_flipped", "epic_name"
+    reach = N.may_exceed_85(straight, name), N.may_exceed_85(flipped, name)
+    score = F.greatest(
+        F.when(same_tokens | reach[0], N.similarity(straight, name)),
+        F.when(same_tokens | reach[1], N.similarity(flipped, name)),
     )
-    straight, flipped, other = F.col("phc_name"), F.col("_flipped"), F.col("epic_name")
     return (
-        named.where(
-            (F.col("name_match") == 1)
-            | N.may_exceed_85(straight, other)
-            | N.may_exceed_85(flipped, other)
-        )
-        .withColumn(
-            "fuzzy_score", F.greatest(N.similarity(straight, other), N.similarity(flipped, other))
+        pairs.where(same_initial & (same_tokens | reach[0] | reach[1]))
+        .select(
+            "dob", *MEMBER_KEY, *PATIENT_KEY, "phc_name", "epic_name",
+            same_tokens.cast("int").alias("name_match"),
+            F.explode(F.array(score)).alias("fuzzy_score"),
         )
         .where((F.col("name_match") == 1) | (F.col("fuzzy_score") > 85))
-        .drop("_flipped")
     )
 
 

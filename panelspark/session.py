@@ -43,3 +43,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     splits its hot keys.
     """
     return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result that is used several times to a shared folder and read it.
+
+    The table survives lost executors, cuts the lineage and gives the planner true sizes.
+    """
+    folder = shared_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
