@@ -65,9 +65,8 @@ def html_table(df: DataFrame, html: str, keep: Sequence[str], fields: Sequence[s
 
 def read_html_files(spark: SparkSession, path: str, glob: str = "*.xls") -> DataFrame:
     """Whole files with their path and provenance."""
-    raw = spark.read.option("wholetext", True).option("pathGlobFilter", glob).option(
-        "recursiveFileLookup", "true"
-    ).text(path)
+    reader = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+    raw = reader.text(path, wholetext=True)
     return with_provenance(
         raw.select(F.col("value").alias("html"), F.col("_metadata.file_path").alias("path"), "_metadata")
     ).drop("_metadata")
