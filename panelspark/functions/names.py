@@ -78,14 +78,37 @@ def max_edits(len_a: Column, len_b: Column) -> Column:
     return len_a + len_b - 2 * min_common(len_a, len_b)
 
 
-def may_exceed_85(a: str, b: str) -> Column:
-    """Cheap test that no pair of text columns scoring above 85 fails.
+def letter_signature(name: str) -> Column:
+    """Counts of the letters of a text column, as thermometer codes in one bigint.
+
+    Letters fall into 21 classes of three bits for "at least one, two, three". Two signatures
+    differ in no more bits than one text needs insertions and deletions to become the other.
+    """
+    return F.expr(
+        f"""aggregate(
+              transform(split({name}, ''), ch -> CAST(3 * pmod(ascii(ch), 21) AS INT)), 0L, (bits, at) ->
+              bits | (shiftleft(bits & shiftleft(7L, at), 1) & shiftleft(7L, at)) | shiftleft(1L, at))"""
+    )
+
+
+def edit_bound(len_a: str, len_b: str) -> str:
+    """SQL text of ``max_edits`` for two length columns."""
+    total = f"({len_a} + {len_b})"
+    return f"({total} - 2 * (CAST(floor(17 * {total} / 40) AS INT) + 1))"
+
+
+def letters_allow(signature_a: str, signature_b: str, len_a: str, len_b: str) -> Column:
+    """First test that no pair scoring above 85 fails, on signatures and lengths alone."""
+    return F.expr(f"bit_count({signature_a} ^ {signature_b}) <= {edit_bound(len_a, len_b)}")
+
+
+def may_exceed_85(a: str, b: str, len_a: str | None = None, len_b: str | None = None) -> Column:
+    """Second test that no pair of text columns scoring above 85 fails.
 
     The edit distance with substitutions never exceeds the one without, and the built-in
     function stops as soon as it passes the bound.
     """
-    total = f"(length({a}) + length({b}))"
-    edits = f"({total} - 2 * (CAST(floor(17 * {total} / 40) AS INT) + 1))"
+    edits = edit_bound(len_a or f"length({a})", len_b or f"length({b})")
     return F.expr(f"{edits} >= 0 AND levenshtein({a}, {b}, greatest({edits}, 0)) >= 0")
 
 

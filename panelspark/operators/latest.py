@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.session import broadcast_if_small
+from panelspark.session import broadcast_if_small, materialize
 
 
 def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -24,17 +24,15 @@ def latest_version(
     return first_per_group(df, keys, order)
 
 
-def _last_dates(df: DataFrame, groups: Sequence[str], day: str) -> DataFrame:
-    return df.groupBy(*groups).agg(F.max(day).alias("_last"))
-
-
 def retain_latest(df: DataFrame, groups: Sequence[str], day: str) -> DataFrame:
     """Keep the rows of each group's last date.
 
     A group may hold a large share of all rows, so its last date comes from an aggregate
-    and not from a window over the group. The aggregate is small and joins by broadcast.
+    and not from a window over the group. The aggregate is stored, so that its size check
+    and its join compute it once, and joins by broadcast if small.
     """
-    last = broadcast_if_small(_last_dates(df, groups, day))
+    dates = df.groupBy(*groups).agg(F.max(day).alias("_last"))
+    last = broadcast_if_small(materialize(dates, "last-dates"))
     return df.join(last, list(groups)).where(F.col(day) == F.col("_last")).drop("_last")
 
 

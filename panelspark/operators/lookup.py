@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.session import broadcast_if_small
+from panelspark.session import broadcast_if_small, materialize
 
 
 def active_values(mapping: DataFrame, key: str, value: str | None = None, order: str = "id") -> DataFrame:
@@ -49,7 +49,8 @@ def map_contained(
         hits = [F.when(F.col(text).contains(row[key]), F.lit(row[value])) for row in few]
         nothing = F.lit(None).cast(mapping.schema[value].dataType)
         return df.withColumn(out, F.coalesce(*hits, nothing))
-    found = broadcast_if_small(_contained_by_substring(df, text, ranked, key, value, last))
+    by_text = _contained_by_substring(df, text, ranked, key, value, last)
+    found = broadcast_if_small(materialize(by_text, "text-labels"))
     return (
         df.join(found, F.col(text) == F.col("_text"), "left")
         .withColumn(out, F.col("_found"))

@@ -77,6 +77,7 @@ def _member_columns() -> dict[str, Column]:
         "m_initial_2": F.left(last, F.lit(1)),
         "m_tokens_first": N.name_tokens(raw_first),
         "m_tokens_last": N.name_tokens(raw_last),
+        "m_length": F.length(N.full_name(first, last)),
     }
 
 
@@ -90,9 +91,18 @@ def _patient_columns() -> dict[str, Column]:
         "p_initial_2": F.left(last, F.lit(1)),
         "p_tokens_first": N.name_tokens(raw_first),
         "p_tokens_last": N.name_tokens(raw_last),
+        "p_length": F.length(N.full_name(first, last)),
     }
 
 
+def _with_member_columns(df: DataFrame) -> DataFrame:
+    return df.withColumns(_member_columns()).withColumn("m_letters", N.letter_signature("phc_name"))
+
+
+def _with_patient_columns(df: DataFrame) -> DataFrame:
+    return df.withColumns(_patient_columns()).withColumn("p_letters", N.letter_signature("epic_name"))
+
+
 def _block_pairs(members: DataFrame, patients: DataFrame, blocks: DataFrame, tasks: int) -> DataFrame:
     """All pairs of the given blocks; a block is spread over salts of bounded size.
 
@@ -153,14 +163,14 @@ def _segment_pairs(members: DataFrame, patients: DataFrame) -> DataFrame:
         members.withColumn(
             "name", F.explode(F.array_distinct(F.array("phc_name", "phc_name_flipped")))
         )
-        .withColumn("n", F.length("name"))
+        .withColumn("n", F.col("m_length"))
         .withColumn("m", F.explode(_other_lengths(F.col("n"))))
     )
     left = _with_segments(left).select(
-        *key[:-1], F.expr("substring(name, at + 1, size)").alias("segment"), *MEMBER_KEY, "name"
+        *key[:-1], F.expr("substring(name, at + 1, size)").alias("segment"), *MEMBER_KEY, "name", "m_letters"
     )
     right = (
-        patients.withColumn("m", F.length("epic_name"))
+        patients.withColumn("m", F.col("p_length"))
         .withColumn("n", F.explode(_other_lengths(F.col("m"))))
     )
     common = N.min_common(F.col("n"), F.col("m"))
@@ -174,25 +184,21 @@ def _segment_pairs(members: DataFrame, patients: DataFrame) -> DataFrame:
             *key[:-1],
             F.expr("substring(epic_name, place + 1, size)").alias("segment"),
             *PATIENT_KEY,
-            "epic_name",
+            "epic_name", "p_letters",
         )
     )
-    return left.join(right, key).where(N.may_exceed_85("name", "epic_name"))
+    possible = N.letters_allow("m_letters", "p_letters", "n", "m") & N.may_exceed_85("name", "epic_name", "n", "m")
+    return left.join(right, key).where(possible)
 
 
 def accepted_names(
     members: DataFrame, patients: DataFrame, pairs_per_name: int = PAIRS_PER_NAME
 ) -> DataFrame:
     """Accepted pairs of distinct names with score and match flag; a pair may repeat."""
-    m_names = materialize(
-        members.select("dob", *MEMBER_KEY).distinct().withColumns(_member_columns()), "member-names"
-    )
-    p_names = materialize(
-        patients.groupBy("dob", "p_first", "p_last")
-        .agg(F.min("pat_id").alias("pat_id"))
-        .withColumns(_patient_columns()),
-        "patient-names",
-    )
+    m_names = members.select("dob", *MEMBER_KEY).distinct()
+    m_names = materialize(_with_member_columns(m_names), "member-names")
+    p_names = patients.groupBy("dob", "p_first", "p_last").agg(F.min("pat_id").alias("pat_id"))
+    p_names = materialize(_with_patient_columns(p_names), "patient-names")
     blocks = (
         m_names.groupBy("dob").agg(F.count("*").alias("n_members"))
         .join(p_names.groupBy("dob").agg(F.count("*").alias("n_patients")), "dob")
@@ -213,7 +219,7 @@ def accepted_names(
         large = m_names.join(in_large, "dob"), p_names.join(in_large, "dob")
         key = ["dob", *MEMBER_KEY, *PATIENT_KEY]
         found = _token_pairs(*large).select(*key).unionByName(_segment_pairs(*large).select(*key))
-        found = found.distinct().withColumns(_member_columns() | _patient_columns())
+        found = _with_patient_columns(_with_member_columns(found.distinct()))
         pairs = pairs.select(*found.columns).unionByName(found)
     return _accept(pairs)
 
@@ -221,7 +227,7 @@ def accepted_names(
 def _accept(pairs: DataFrame) -> DataFrame:
     """Initial filter, token match and exact score.
 
-    Built-in tests come first. The score is computed for the few pairs they leave, and only
+    Cheap tests come first; a flipped name has the same letters. The score is computed for the few pairs they leave, and only
     for the order of names that can reach it. The generator keeps it from being computed
     again in the filter behind it.
     """
@@ -233,7 +239,8 @@ def _accept(pairs: DataFrame) -> DataFrame:
         "m_tokens_last", "p_tokens_last"
     )
     straight, flipped, name = "phc_name", "phc_name_flipped", "epic_name"
-    reach = N.may_exceed_85(straight, name), N.may_exceed_85(flipped, name)
+    letters = N.letters_allow("m_letters", "p_letters", "m_length", "p_length")
+    reach = [letters & N.may_exceed_85(x, name, "m_length", "p_length") for x in (straight, flipped)]
     score = F.greatest(
         F.when(same_tokens | reach[0], N.similarity(straight, name)),
         F.when(same_tokens | reach[1], N.similarity(flipped, name)),

@@ -16,6 +16,7 @@ from panelspark.plans.audit import audited
 from panelspark.schemas import (
     MEASURE_MEMBER_CONSTRAINTS, MEASURES_LOG, MEMBERSHIP_HISTORY,
 )
+from panelspark.session import materialize
 from panelspark.sources import tables
 
 
@@ -61,17 +62,18 @@ def reconcile(
     """Add unknown members and re-activate known ones; None if the file needs neither.
 
     Each half runs only if the file has members it concerns. A membership not loaded in the
-    month of ``as_of`` stops the upload.
+    month of ``as_of`` stops the upload. The distinct members of the file are stored first,
+    since every step uses them.
     """
-    insert = not C.unknown_members(measures, membership).isEmpty()
-    reactivate = not C.unrecorded_members(measures, history, year, month).isEmpty()
+    staged = materialize(C.staged_members(measures), "staged-members")
+    insert = not C.unknown_members(staged, membership).isEmpty()
+    reactivate = not C.unrecorded_members(staged, history, year, month).isEmpty()
     if not (insert or reactivate):
         return None
     if not C.is_current(membership, as_of).first().is_current:
         raise checks.CheckFailed(
             "Membership table is not yet updated, will skip adding members, stop uploading measures"
         )
-    staged = C.staged_members(measures)
     result = C.reconcile_members(membership, staged, as_of, insert, reactivate)
     rows = history.select(*C.HISTORY).limit(0)
     if insert:
@@ -106,7 +108,7 @@ def run_measures_file(
     version = int(run_at.strftime("%Y%m%d%H%M"))
     with audited(spark, stored.log, MEASURES_LOG, run_at) as log:
         log.update(file_name=file_name, download_date=download_date)
-        mapped = mapped_measures(staged, clinics, measures_map)
+        mapped = materialize(mapped_measures(staged, clinics, measures_map), "staged-measures")
         log["warning_message"] = check_measures(mapped, clinics, measures_map)
         rows = lookup.mapped_only(mapped, "measure_id")
         membership = tables.read_version(spark, stored.membership).drop("merge_action")

@@ -139,6 +139,11 @@ def test_cheap_test_never_rejects_a_pair_above_85(spark):
                 b.insert(at, rng.choice("abcd "))
         pairs.append((a, "".join(b)))
     df = spark.createDataFrame(pairs, "a string, b string").where("length(a) + length(b) > 0")
-    rows = df.select(N.similarity("a", "b").alias("s"), N.may_exceed_85("a", "b").alias("m")).collect()
+    df = df.withColumns({"sa": N.letter_signature("a"), "sb": N.letter_signature("b")})
+    letters = N.letters_allow("sa", "sb", "length(a)", "length(b)")
+    rows = df.select(
+        N.similarity("a", "b").alias("s"), (letters & N.may_exceed_85("a", "b")).alias("m"), letters.alias("l")
+    ).collect()
+    assert any(not r.l for r in rows)
     assert any(r.s > 85 for r in rows) and any(not r.m for r in rows)
     assert all(r.m for r in rows if r.s > 85)
