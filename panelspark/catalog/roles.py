@@ -16,8 +16,26 @@ AS_OF = dt.date(2001, 7, 31)
 YEAR, MONTH = AS_OF.year, AS_OF.month
 
 
+# The schemas of the driver's tables, so that a scan infers nothing.
+SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+    "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+    "l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "pages": "page_id BIGINT, url STRING, html STRING",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def member_id(key: str) -> Column:
@@ -61,10 +79,21 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def orders(spark: SparkSession, sf_dir: str, status: str | None = None) -> DataFrame:
+def orders(
+    spark: SparkSession,
+    sf_dir: str,
+    status: str | None = None,
+    since: dt.date | None = None,
+    before: dt.date | None = None,
+) -> DataFrame:
+    """Orders as member activity; the filters are on stored columns, so that they reach the scan."""
     df = table(spark, sf_dir, "orders")
     if status is not None:
         df = df.where(F.col("o_orderstatus") == status)
+    if since is not None:
+        df = df.where(F.col("o_orderdate") >= F.lit(since))
+    if before is not None:
+        df = df.where(F.col("o_orderdate") < F.lit(before))
     return df.select(
         member_id("o_custkey").alias("cin"),
         F.col("o_orderdate").cast("date").alias("day"),
@@ -78,8 +107,7 @@ def roster(spark: SparkSession, sf_dir: str, year: int, month: int) -> DataFrame
     start = dt.date(year, month, 1)
     end = dt.date(year + month // 12, month % 12 + 1, 1)
     seen = (
-        orders(spark, sf_dir)
-        .where((F.col("day") >= start) & (F.col("day") < end))
+        orders(spark, sf_dir, since=start, before=end)
         .groupBy("cin")
         .agg(
             F.max("day").alias("download_date"),
@@ -98,8 +126,7 @@ def membership(
     before = dt.date(year - (month == 1), (month - 2) % 12 + 1, 1)
     this_year = F.year("day") == year
     seen = (
-        orders(spark, sf_dir, status)
-        .where(F.col("day") < start)
+        orders(spark, sf_dir, status, before=start)
         .groupBy("cin")
         .agg(
             F.coalesce(

@@ -28,6 +28,23 @@ def unrecorded_members(measures: DataFrame, history: DataFrame, year: int, month
     return except_keys(measures, of_month(history, year, month), ["cin"])
 
 
+def missing_counts(
+    staged: DataFrame, membership: DataFrame, history: DataFrame, year: int, month: int
+) -> DataFrame:
+    """Number of unknown and of unrecorded members, from one pass over the file's members."""
+    members = staged.select("cin").distinct()
+    known = membership.select("cin", F.lit(1).alias("_known"))
+    recorded = of_month(history, year, month).select("cin").distinct().withColumn("_recorded", F.lit(1))
+    return (
+        members.join(known, "cin", "left")
+        .join(recorded, "cin", "left")
+        .agg(
+            F.count(F.when(F.col("_known").isNull(), 1)).alias("unknown"),
+            F.count(F.when(F.col("_recorded").isNull(), 1)).alias("unrecorded"),
+        )
+    )
+
+
 def staged_members(measures: DataFrame, attributes: Sequence[str] = SHEET_ATTRIBUTES) -> DataFrame:
     """The distinct member rows of a file."""
     present = [c for c in attributes if c in measures.columns]

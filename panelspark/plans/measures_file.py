@@ -66,8 +66,8 @@ def reconcile(
     since every step uses them.
     """
     staged = materialize(C.staged_members(measures), "staged-members")
-    insert = not C.unknown_members(staged, membership).isEmpty()
-    reactivate = not C.unrecorded_members(staged, history, year, month).isEmpty()
+    missing = C.missing_counts(staged, membership, history, year, month).first()
+    insert, reactivate = missing.unknown > 0, missing.unrecorded > 0
     if not (insert or reactivate):
         return None
     if not C.is_current(membership, as_of).first().is_current:
