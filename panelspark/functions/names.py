@@ -64,6 +64,29 @@ def lcs_length(a: str, b: str) -> Column:
     )
 
 
+def letter_masks(name: str) -> Column:
+    """Positions of each letter of a text column as bits, NULL beyond 62 characters."""
+    return F.expr(
+        f"""CASE WHEN length({name}) <= {_WORD} THEN get(transform(
+              array(struct(split(reverse({name}), '') AS letters, array_distinct(split({name}, '')) AS kinds)),
+              t -> map_from_arrays(t.kinds, transform(t.kinds, kind ->
+                aggregate(t.letters, 0L, (mask, x) -> mask * 2L + CAST(x = kind AS BIGINT))))), 0) END"""
+    )
+
+
+def lcs_length_masked(text: str, name: str, masks: str) -> Column:
+    """``lcs_length`` of a text with a name whose letter masks were computed before."""
+    full = f"(shiftleft(1L, length({name})) - 1L)"
+    bits = f"""length({name}) - bit_count(aggregate(
+        transform(split({text}, ''), ch -> coalesce(element_at({masks}, ch), 0L)), {full},
+        (row, mask) -> ((row + (row & mask)) | (row & ~mask)) & {full}))"""
+    return (
+        F.when((F.col(text) == "") | (F.col(name) == ""), 0)
+        .when(F.col(masks).isNotNull(), F.expr(bits).cast("int"))
+        .otherwise(lcs_length(text, name))
+    )
+
+
 def min_common(len_a: Column, len_b: Column) -> Column:
     """The least common-subsequence length that scores above 85."""
     return F.floor(17 * (len_a + len_b) / 40).cast("int") + 1
@@ -112,6 +135,7 @@ def may_exceed_85(a: str, b: str, len_a: str | None = None, len_b: str | None =
     return F.expr(f"{edits} >= 0 AND levenshtein({a}, {b}, greatest({edits}, 0)) >= 0")
 
 
-def similarity(a: str, b: str) -> Column:
+def similarity(a: str, b: str, masks_b: str | None = None) -> Column:
     """Normalized insert/delete similarity of two text columns, 0 to 100."""
-    return F.lit(200.0) * lcs_length(a, b) / (F.length(a) + F.length(b))
+    common = lcs_length_masked(a, b, masks_b) if masks_b else lcs_length(a, b)
+    return F.lit(200.0) * common / (F.length(a) + F.length(b))

@@ -9,12 +9,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from panelspark.functions.dates import name_period
 from panelspark.operators.keys import coverage, except_keys
 from panelspark.schemas import Constraints
+from panelspark.session import materialize
 
 MESSAGE_VALUES = 1_000
 
@@ -147,6 +148,18 @@ def row_counts(**frames: DataFrame) -> DataFrame:
     return result
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Store staged rows, and stop unless as many are read back as were produced.
+
+    The rows are counted while they are written, so the source is read once.
+    """
+    produced = Observation(name)
+    stored = materialize(df.observe(produced, F.count(F.lit(1)).alias("rows")), name)
+    if produced.get["rows"] != stored.count():
+        raise CheckFailed("File row count is not equal to temp table row count")
+    return stored
+
+
 def period_status(files: DataFrame, name: str, as_of: dt.date) -> DataFrame:
     """Do all file names carry one month? Another month than the current is only noted."""
     period = name_period(F.col(name))

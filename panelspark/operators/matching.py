@@ -31,7 +31,7 @@ from panelspark.session import materialize
 PAIRS_PER_NAME = 512
 PAIRS_PER_TASK = 250_000
 MAX_TASKS = 100_000
-BROADCAST_NAMES = 200_000
+BROADCAST_NAMES = 100_000
 
 MEMBER_KEY = ["m_first", "m_last"]
 PATIENT_KEY = ["p_first", "p_last", "pat_id"]
@@ -100,7 +100,9 @@ def _with_member_columns(df: DataFrame) -> DataFrame:
 
 
 def _with_patient_columns(df: DataFrame) -> DataFrame:
-    return df.withColumns(_patient_columns()).withColumn("p_letters", N.letter_signature("epic_name"))
+    return df.withColumns(_patient_columns()).withColumns(
+        {"p_letters": N.letter_signature("epic_name"), "p_masks": N.letter_masks("epic_name")}
+    )
 
 
 def _block_pairs(members: DataFrame, patients: DataFrame, blocks: DataFrame, tasks: int) -> DataFrame:
@@ -241,19 +243,19 @@ def _accept(pairs: DataFrame) -> DataFrame:
     straight, flipped, name = "phc_name", "phc_name_flipped", "epic_name"
     letters = N.letters_allow("m_letters", "p_letters", "m_length", "p_length")
     reach = [letters & N.may_exceed_85(x, name, "m_length", "p_length") for x in (straight, flipped)]
-    score = F.greatest(
-        F.when(same_tokens | reach[0], N.similarity(straight, name)),
-        F.when(same_tokens | reach[1], N.similarity(flipped, name)),
+    tested = pairs.where(same_initial & (same_tokens | reach[0] | reach[1])).select(
+        "dob", *MEMBER_KEY, *PATIENT_KEY, straight, flipped, name, "p_masks",
+        same_tokens.alias("_match"), (same_tokens | reach[0]).alias("_straight"), (same_tokens | reach[1]).alias("_flipped"),
     )
-    return (
-        pairs.where(same_initial & (same_tokens | reach[0] | reach[1]))
-        .select(
-            "dob", *MEMBER_KEY, *PATIENT_KEY, "phc_name", "epic_name",
-            same_tokens.cast("int").alias("name_match"),
-            F.explode(F.array(score)).alias("fuzzy_score"),
-        )
-        .where((F.col("name_match") == 1) | (F.col("fuzzy_score") > 85))
+    score = F.greatest(
+        F.when(F.col("_straight"), N.similarity(straight, name, "p_masks")),
+        F.when(F.col("_flipped"), N.similarity(flipped, name, "p_masks")),
     )
+    return tested.select(
+        "dob", *MEMBER_KEY, *PATIENT_KEY, straight, name,
+        F.col("_match").cast("int").alias("name_match"),
+        F.explode(F.array(score)).alias("fuzzy_score"),
+    ).where((F.col("name_match") == 1) | (F.col("fuzzy_score") > 85))
 
 
 def accepted_matches(

@@ -108,7 +108,7 @@ def run_measures_file(
     version = int(run_at.strftime("%Y%m%d%H%M"))
     with audited(spark, stored.log, MEASURES_LOG, run_at) as log:
         log.update(file_name=file_name, download_date=download_date)
-        mapped = materialize(mapped_measures(staged, clinics, measures_map), "staged-measures")
+        mapped = checks.staged(mapped_measures(staged, clinics, measures_map), "staged-measures")
         log["warning_message"] = check_measures(mapped, clinics, measures_map)
         rows = lookup.mapped_only(mapped, "measure_id")
         membership = tables.read_version(spark, stored.membership).drop("merge_action")

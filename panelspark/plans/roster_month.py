@@ -17,7 +17,6 @@ from panelspark.plans.audit import audited
 from panelspark.schemas import (
     MEMBERSHIP_HISTORY, MEMBERSHIP_LOG, PROCESSED_FIELDS, ROSTER_CONSTRAINTS, ROSTER_FIELDS,
 )
-from panelspark.session import materialize
 from panelspark.sources import tables
 from panelspark.sources.html import html_table
 
@@ -132,7 +131,7 @@ def run_roster_month(
     version = int(run_at.strftime("%Y%m%d%H%M"))
     with audited(spark, stored.log, MEMBERSHIP_LOG, run_at) as log:
         log.update(year=year, month=month)
-        roster = materialize(roster, "staged-roster")
+        roster = checks.staged(roster, "staged-roster")
         check_roster(roster, clinics)
         base = tables.read_version(spark, stored.membership).drop("merge_action")
         status = R.continuity_gate(base, roster).first().status

@@ -115,8 +115,10 @@ def test_similarity_equals_plain_table(spark):
     pairs += [(random_text(rng, 90), random_text(rng, 90)) for _ in range(40)]
     pairs += [("x" * 62, "x" * 70), ("ab" * 31, "ba" * 40), ("abc" * 30, "cab" * 30)]
     df = spark.createDataFrame(pairs, "a string, b string")
-    for a, b, n in df.select("a", "b", N.lcs_length("a", "b")).collect():
-        assert n == plain_lcs(a, b), (a, b)
+    df = df.withColumn("masks", N.letter_masks("b"))
+    both = N.lcs_length("a", "b"), N.lcs_length_masked("a", "b", "masks")
+    for a, b, n, masked in df.select("a", "b", *both).collect():
+        assert n == masked == plain_lcs(a, b), (a, b)
 
 
 def test_exact_85_is_not_above(spark):
