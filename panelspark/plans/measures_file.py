@@ -104,7 +104,10 @@ def run_measures_file(
     download_date: dt.date,
     run_at: dt.datetime,
 ) -> None:
-    """Apply one staged sheet (``download_date``, ``year`` and ``month`` are columns of it)."""
+    """Apply one staged sheet (``download_date``, ``year`` and ``month`` are columns of it).
+
+    Its rows lie in folders of their own, so a run that died can be repeated.
+    """
     version = int(run_at.strftime("%Y%m%d%H%M"))
     with audited(spark, stored.log, MEASURES_LOG, run_at) as log:
         log.update(file_name=file_name, download_date=download_date)
@@ -130,6 +133,7 @@ def run_measures_file(
             tables.append_history(tables.with_inserted_at(new_rows), stored.history)
             tables.publish(spark, stored.membership, version)
         appended = C.with_eligibility(rows, membership)
-        tables.append_history(tables.with_inserted_at(appended), stored.measures)
-        tables.append_history(tables.with_inserted_at(measure_summary(appended)), stored.summary)
+        tables.put_upload(tables.with_inserted_at(appended), stored.measures, file_name)
+        summary = measure_summary(appended)
+        tables.put_upload(tables.with_inserted_at(summary), stored.summary, file_name)
         log["insert_count"] = rows.count()

@@ -78,6 +78,21 @@ def append_history(df: DataFrame, table: str, partitions: Sequence[str] = ("year
     df.write.mode("append").partitionBy(*partitions).parquet(table)
 
 
+def put_upload(df: DataFrame, table: str, upload: str) -> None:
+    """Add the rows of an upload to a table partitioned by month and upload.
+
+    Only the folders of this upload are written, and they are replaced, so that an upload
+    may be repeated.
+    """
+    (
+        df.withColumn("upload", F.lit(upload))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("year", "month", "upload")
+        .parquet(table)
+    )
+
+
 def append_rows(df: DataFrame, table: str) -> None:
     df.write.mode("append").parquet(table)
 
