@@ -13,11 +13,15 @@ from panelspark.schemas import PROCESSED_FIELDS, PROCESSED_TO_MEMBERSHIP
 SEPARATOR = "%"
 
 
-def write_roster(df: DataFrame, folder: str, site: str = "Clinic", period: str = "period") -> None:
-    """Write processed rows as ``period=<site>_<MM-YYYY>/part-*`` files with a header."""
+def write_roster(df: DataFrame, folder: str, period: str = "period") -> None:
+    """Write processed rows as ``period=<site>_<MM-YYYY>/part-*`` files with a header.
+
+    Rows are rebalanced by period: one file for most, several for a large site.
+    """
     columns = [c for c in df.columns if c != period]
     (
         df.select(*columns, period)
+        .hint("rebalance", period)
         .write.partitionBy(period)
         .option("sep", SEPARATOR)
         .option("header", True)

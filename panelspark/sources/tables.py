@@ -74,8 +74,12 @@ def write_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> None:
 
 
 def append_history(df: DataFrame, table: str, partitions: Sequence[str] = ("year", "month")) -> None:
-    """Append rows to a table partitioned by month, so that a month reads only its folder."""
-    df.write.mode("append").partitionBy(*partitions).parquet(table)
+    """Append rows to a table partitioned by month, so that a month reads only its folder.
+
+    Rows are rebalanced by month at run time: a small month gets one file, and a large one is
+    split over many tasks.
+    """
+    df.hint("rebalance", *partitions).write.mode("append").partitionBy(*partitions).parquet(table)
 
 
 def put_upload(df: DataFrame, table: str, upload: str) -> None:
