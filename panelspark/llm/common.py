@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 #: Rows of one Arrow batch. A batch of the usual web texts is a few MB.
 BATCH_ROWS = 1000
 
-#: Multiplier of the polynomial hashes and its inverse modulo 2**64.
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
+#: Multipliers of the two polynomial hashes modulo 2**64.
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 Batches = Iterator[pa.RecordBatch]
 
@@ -46,17 +45,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(30))
 
 
-_powers = {"base": np.ones(1, np.uint64), "inverse": np.ones(1, np.uint64)}
+_powers: dict[int, np.ndarray] = {}
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of the base and of its inverse."""
-    for key, value in (("base", _BASE), ("inverse", _INVERSE)):
-        if len(_powers[key]) < n:
-            steps = np.full(max(n, 1 << 20), value, np.uint64)
-            steps[0] = 1
-            _powers[key] = np.cumprod(steps)
-    return _powers["base"][:n], _powers["inverse"][:n]
+def powers(value: int, n: int) -> np.ndarray:
+    """The first ``n`` powers of a value modulo 2**64."""
+    if len(_powers.get(value, ())) < n:
+        steps = np.full(max(n, 1 << 20), value, np.uint64)
+        steps[0] = 1
+        _powers[value] = np.cumprod(steps)
+    return _powers[value][:n]
 
 
 class Bytes:
@@ -70,16 +68,17 @@ class Bytes:
         self.data = np.frombuffer(b"".join(parts), np.uint8)
         if fold_case:
             self.data = _LOWER[self.data]
-        self._sums: np.ndarray | None = None
+        self._sums: dict[int, np.ndarray] = {}
 
-    def hashes(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    def hashes(self, begin: np.ndarray | slice, end: np.ndarray | slice, which: int = 0) -> np.ndarray:
         """Hashes of the byte ranges [begin, end); equal content has equal hashes."""
-        if self._sums is None:
-            base, _ = powers(len(self.data) + 1)
-            self._sums = np.zeros(len(self.data) + 1, np.uint64)
-            np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * base[:-1], out=self._sums[1:])
-        _, inverse = powers(len(self.data) + 1)
-        return mix((self._sums[end] - self._sums[begin]) * inverse[begin])
+        base = _BASES[which]
+        if which not in self._sums:
+            sums = np.zeros(len(self.data) + 1, np.uint64)
+            np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * powers(base, len(self.data)), out=sums[1:])
+            self._sums[which] = sums
+        sums = self._sums[which]
+        return mix((sums[end] - sums[begin]) * powers(pow(base, -1, 1 << 64), len(sums))[begin])
 
 
 _LOWER = np.arange(256, dtype=np.uint8)

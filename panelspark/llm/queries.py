@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import bpe, decontaminate, language, search, token_files
+from panelspark.llm import bpe, decontaminate, html_text, language, lines, near_dup, repeats, search, token_files, toxicity
 from panelspark.llm.common import fold, table
 from panelspark.session import shared_folder
 
@@ -18,6 +18,16 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document with the least id of its class."""
+    return near_dup.classes(table(spark, sf_dir, "documents"))
+
+
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.main_text(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.digests(bpe.bpe_encode(docs, WORD_BPE))
@@ -36,6 +46,29 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each document: lines that count, lines deleted, and a digest of the text that stays."""
+    found = lines.remove_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counted = F.filter(F.split("text", "\n"), lambda x: F.octet_length(F.btrim(x, F.lit(" \t\r"))) > 0)
+    return found.select(
+        "doc_id", F.coalesce(F.size(counted), F.lit(0)).cast("long").alias("n_lines"), F.size("removed_lines").cast("long").alias("n_removed"),
+        F.sha2(F.encode(F.coalesce("kept_text", F.lit("")), "UTF-8"), 256).alias("kept_sha256"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), fold("doc_id", 4) != 2)
+    scored = toxicity.score_texts(docs, model)
+    return scored.select(
+        "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score",
+        F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"))
+
+
 def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = search.quantise(table(spark, sf_dir, "embeddings"))
     return search.top_k(vectors, F.col("vec_id") % 20 == 0)
@@ -43,9 +76,14 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_near_duplicates": op2_near_duplicates,
+    "op3_html_text": op3_html_text,
     "op4_bpe": op4_bpe,
     "op5_language_id": op5_language_id,
     "op6_token_files": op6_token_files,
+    "op7_repeats": op7_repeats,
+    "op8_line_dedup": op8_line_dedup,
+    "op9_toxicity": op9_toxicity,
     "op10_top_k": op10_top_k,
 }
 
@@ -70,6 +108,28 @@ named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item
 SELECT d.doc_id, CAST(coalesce(len(d.w), 0) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM words d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id) WHERE d.kind = 'd'
+""",
+    "op8_line_dedup": r"""
+WITH cut AS (
+  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents
+), counted AS (
+  SELECT doc_id, pos, raw, trim(raw, ' ' || chr(9) || chr(13)) AS line, len(regexp_extract_all(raw, '[^ \t\r]+')) AS words FROM cut WHERE trim(raw, ' ' || chr(9) || chr(13)) <> ''
+), near AS (
+  SELECT doc_id, pos, row_number() OVER o AS i, line AS a, words AS wa, lead(line) OVER o AS b, lead(words) OVER o AS wb, lead(line, 2) OVER o AS c
+  FROM counted WINDOW o AS (PARTITION BY doc_id ORDER BY pos)
+), windows AS (
+  SELECT doc_id, i, CASE WHEN wa >= 40 THEN 1 WHEN b IS NOT NULL AND wa + wb >= 40 THEN 2 WHEN c IS NOT NULL THEN 3 END AS n, a, b, c FROM near
+), keyed AS (
+  SELECT doc_id, i, n, a || CASE WHEN n > 1 THEN chr(10) || b ELSE '' END || CASE WHEN n > 2 THEN chr(10) || c ELSE '' END AS content FROM windows WHERE n IS NOT NULL
+), later AS (
+  SELECT doc_id, i, n FROM (SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, i) AS k FROM keyed) WHERE k > 1
+), gone AS (SELECT DISTINCT l.doc_id, m.pos FROM (SELECT doc_id, unnest(range(i, i + n)) AS i FROM later) l JOIN near m USING (doc_id, i)),
+kept AS (
+  SELECT c.doc_id, string_agg(c.raw, chr(10) ORDER BY c.pos) FILTER (WHERE g.pos IS NULL) AS kept, count(g.pos) AS n_removed
+  FROM cut c LEFT JOIN gone g USING (doc_id, pos) GROUP BY c.doc_id
+), sizes AS (SELECT doc_id, count(*) AS n_lines FROM counted GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """,
     "op10_top_k": """
 WITH v AS (
