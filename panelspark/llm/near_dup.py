@@ -8,9 +8,9 @@ share a band are candidates, and those whose weighted Jaccard similarity reaches
 threshold are linked. Classes are the connected components of the links.
 
 Texts with equal words are one class from the start and take part as one. In a band's bucket every text
-is compared with the first; what is not yet in the first one's component is then
-compared with the bucket's other components, so no link between components is lost and no
-group is expanded into all its pairs.
+is compared with one of them, another in each band; what is not yet in that one's component
+is then compared with the bucket's other components, so that no link between components is lost
+though a group is not expanded into all its pairs.
 
 Texts without words (null, empty, symbols) are each a class of their own. Rows with a null id have
 a null class. Repeated rows repeat with the same class. An empty table gives no rows; extra
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.llm.common import Batches, map_batches, mix, texts_of, word_hashes
@@ -133,25 +133,44 @@ class Sampler:
         bits = np.where(bits >> 31, ~bits, bits | np.uint32(1 << 31))
         return bits.astype(np.uint64) << np.uint64(32)
 
-    def bands(self, value: np.ndarray, weight: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Band keys: a row for each text with shingles."""
+    def sample(self, value: np.ndarray, weight: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """All samples: a row for each text with shingles. Texts go in runs whose arrays stay in the processor's cache."""
+        out = np.zeros((len(first), BANDS * ROWS), np.uint64)
+        ends = np.append(first[1:], len(value))
+        begin = 0
+        while begin < len(first):
+            end = max(begin + 1, int(np.searchsorted(ends, first[begin] + 16_384, side="right")))
+            part = slice(int(first[begin]), int(ends[end - 1]))
+            self._run(value[part], weight[part], first[begin:end] - first[begin], out[begin:end])
+            begin = end
+        return out
+
+    def _run(self, value: np.ndarray, weight: np.ndarray, first: np.ndarray, out: np.ndarray) -> None:
         odd = np.flatnonzero(weight != np.float32(self.usual))
         log_w = np.log(weight[odd].astype(np.float64))
-        keys = np.zeros((BANDS, len(first)), np.uint64)
+        x, at, sample = np.empty_like(value), np.empty_like(value), np.empty_like(value)
         for k in range(BANDS * ROWS):
-            x = value * self.odd[k]
-            at = (x >> np.uint64(48)).astype(np.int64)
-            sample = self.table[at]
+            np.multiply(value, self.odd[k], out=x)
+            np.right_shift(x, np.uint64(48), out=at)
+            np.take(self.table, at.view(np.int64), out=sample, mode="clip")
             if len(odd):
-                sample[odd] = self.order(self.log_a(log_w, at[odd]))
-            sample |= (x >> np.uint64(8)) & np.uint64(0xFFFFFFFF)
-            band = k // ROWS
-            keys[band] = mix(keys[band] * np.uint64(3) + np.minimum.reduceat(sample, first) + np.uint64(k))
-        return keys.T
+                sample[odd] = self.order(self.log_a(log_w, at[odd].view(np.int64)))
+            np.right_shift(x, np.uint64(8), out=x)
+            np.bitwise_and(x, np.uint64(0xFFFFFFFF), out=x)
+            np.bitwise_or(sample, x, out=sample)
+            out[:, k] = np.minimum.reduceat(sample, first)
+
+
+def band_keys(samples: np.ndarray) -> np.ndarray:
+    """A key of the ROWS samples of each band."""
+    keys = np.zeros((len(samples), BANDS), np.uint64)
+    for row in range(ROWS):
+        keys = mix(keys * np.uint64(3) + samples[:, row::ROWS] + np.uint64(row))
+    return keys + np.arange(BANDS, dtype=np.uint64)
 
 
 def signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
-    """doc_id, the hashes of its word sequence, and the band keys (null without words)."""
+    """doc_id, the hashes of its word sequence, and its band keys (null without words)."""
 
     def run(batches: Batches) -> Batches:
         sampler = Sampler(float(np.float32(idf.max(initial=1.0))))
@@ -162,7 +181,8 @@ def signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
             some = np.flatnonzero(sizes)
             bands: list = [None] * len(texts)
             if len(some):
-                for i, row in zip(some.tolist(), sampler.bands(value, weight, first[some]).view(np.int64), strict=True):
+                samples = sampler.sample(value, weight, first[some])
+                for i, row in zip(some.tolist(), band_keys(samples).view(np.int64), strict=True):
                     bands[i] = row
             keys = copy_keys(texts)
             yield pa.RecordBatch.from_arrays([
@@ -232,7 +252,6 @@ def components(edges: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and class_id, the least id of its near-duplicate class, for every row."""
-    spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     counts, n = document_frequencies(rows)
     idf = inverse_frequencies(counts, n)
@@ -241,9 +260,10 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     # Equal words: one of each stands for all.
     groups = materialize(worded.groupBy("key", "check").agg(F.min("doc_id").alias("own"), F.first("bands").alias("bands")), "near-dup-groups")
     buckets = groups.select(F.col("own").alias("id"), F.posexplode("bands").alias("band", "bucket"))
-    first = buckets.groupBy("band", "bucket").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    first = buckets.groupBy("band", "bucket").agg(
+        F.min_by("id", F.xxhash64("id", "band")).alias("first"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     shared = materialize(buckets.join(first.drop("size"), ["band", "bucket"]), "near-dup-buckets")
-    stars = materialize(shared.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), "near-dup-stars")
+    stars = materialize(shared.filter("id <> first").select(F.least("first", "id").alias("a"), F.greatest("first", "id").alias("b")).distinct(), "near-dup-stars")
     found = links(stars, rows, idf)
     label = components(found)
     rest = _other_pairs(shared, label, stars)
@@ -259,11 +279,13 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 def _other_pairs(shared: DataFrame, label: DataFrame, tried: DataFrame) -> DataFrame:
     """Pairs of a bucket in different components that were not compared yet.
 
-    Members of the first one's component meet only the others, of which a bucket has few.
+    Members of the chosen one's component meet only the others, of which a bucket has few.
     """
     marked = shared.join(label.withColumnRenamed("doc_id", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     main = label.select(F.col("doc_id").alias("first"), F.col("component").alias("main"))
     marked = materialize(marked.join(main, "first", "left").withColumn("main", F.coalesce("main", "first")), "near-dup-marked")
+    open_ = marked.filter(F.col("component") != F.col("main"))
+    marked = marked.join(open_.select("band", "bucket").distinct(), ["band", "bucket"])
     others = marked.filter(F.col("component") != F.col("main"))
     left = others.select("band", "bucket", F.col("id").alias("x"), F.col("component").alias("cx"))
     right = marked.select("band", "bucket", F.col("id").alias("y"), F.col("component").alias("cy"))
