@@ -18,7 +18,9 @@ import re
 import struct
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +31,7 @@ from panelspark.llm.common import Batches, map_batches, texts_of
 #: A segment is closed at the first document that reaches this many tokens.
 SEGMENT_TOKENS = 1 << 20
 _BLOCK = 512
+_PIECES = regex.compile(public_tokenizers.PATTERN)
 
 
 def pack(ids: np.ndarray) -> bytes:
@@ -120,7 +123,8 @@ class Encoder:
         self.library.no_padding()
         added = self.library.get_added_tokens_decoder().values()
         self.special = [t.content for t in added]
-        self.cache = Generations(self._library)
+        self.by_piece = Generations(self._library, 400_000)
+        self.by_chunk = Generations(lambda chunk: b"".join(map(self.by_piece.__getitem__, _PIECES.findall(chunk))))
 
     def _library(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -129,13 +133,13 @@ class Encoder:
         """Packed ids of a text.
 
         The vocabulary's words begin at a blank, so a text without runs of white space can be cut
-        there and each chunk be encoded once. Texts with such runs, which the word pattern
+        there, and chunks and their pieces of the pattern be encoded once. Texts with such runs, which the word pattern
         treats as a whole, and texts with special tokens go to the library in one piece.
         """
         if not text or _runs(text) or any(s in text for s in self.special):
             return self._library(text)
         first, *rest = text.split(" ")
-        return self.cache[first] + b"".join([self.cache[x] for x in map(" ".__add__, rest)])
+        return self.by_chunk[first] + b"".join(map(self.by_chunk.__getitem__, map(" ".__add__, rest)))
 
 
 def _runs(text: str) -> bool:
