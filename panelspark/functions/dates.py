@@ -14,22 +14,30 @@ MONTHS = (
     "October", "November", "December",
 )
 
-DATE_FORMATS = ("MM/dd/yyyy", "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss")
+DATE_FORMATS = ("M/d/yyyy", "yyyy-M-d", "yyyy-MM-dd HH:mm:ss", "M/d/yy")
 
 
 def parse_date(text: Column, formats: Sequence[str] = DATE_FORMATS, strict: bool = True) -> Column:
     """The first format that fits gives the date; empty texts are NULL.
 
+    Months and days may lack their leading zero. Years of two digits from 69 are of the last century.
+
     With ``strict`` a text that fits no format fails the job instead of becoming NULL.
     """
     value = F.when(text != "", text)
-    parsed = F.coalesce(*[F.try_to_timestamp(value, F.lit(f)) for f in formats]).cast("date")
+    parsed = F.coalesce(*[_century(F.try_to_timestamp(value, F.lit(f)).cast("date"), f) for f in formats])
     if not strict:
         return parsed
     message = F.concat(F.lit("not a date: "), value)
     return F.when(value.isNotNull() & parsed.isNull(), F.raise_error(message)).otherwise(parsed)
 
 
+def _century(date: Column, pattern: str) -> Column:
+    if "yyyy" in pattern:
+        return date
+    return F.when(F.year(date) >= 2069, F.add_months(date, -1200)).otherwise(date)
+
+
 def month_number(text: Column) -> Column:
     """The first full month name, January to December, that occurs in the text."""
     hits = [F.when(text.contains(name), n) for n, name in enumerate(MONTHS, start=1)]

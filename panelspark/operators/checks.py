@@ -15,9 +15,7 @@ from pyspark.sql import functions as F
 from panelspark.functions.dates import name_period
 from panelspark.operators.keys import coverage, except_keys
 from panelspark.schemas import Constraints
-from panelspark.session import materialize
-
-MESSAGE_VALUES = 1_000
+from panelspark.session import materialize, shared_folder
 
 
 class CheckFailed(ValueError):
@@ -29,17 +27,21 @@ def missing_fields(columns: Iterable[str], expected: Sequence[str]) -> list[str]
     return [name for name in expected if name not in present]
 
 
-def joined_values(values: DataFrame, column: str, max_values: int = MESSAGE_VALUES) -> str:
-    """Distinct values of a column joined by `` & `` for a message.
+def joined_values(values: DataFrame, column: str) -> str | None:
+    """Distinct values of a column joined by `` & ``, None where there are none.
 
-    A message is for people. Past ``max_values`` it states the number of values instead;
-    the violations themselves stay in their frame, whole.
+    For sets that a map bounds, such as its keys without a row. Open sets go to ``stored_values``.
     """
-    few = values.select(F.col(column).cast("string").alias("v")).distinct().limit(max_values + 1)
-    found = [row.v for row in few.collect()]
-    if len(found) > max_values:
-        return f"{values.select(column).distinct().count()} values"
-    return " & ".join(sorted(str(v) for v in found))
+    found = [row.v for row in values.select(F.col(column).cast("string").alias("v")).distinct().collect()]
+    return " & ".join(sorted(str(v) for v in found)) if found else None
+
+
+def stored_values(values: DataFrame, column: str) -> str | None:
+    """Write the distinct values to a table, whole; its count and path for a message, None where there are none."""
+    folder = shared_folder(values.sparkSession, "violations")
+    values.select(column).distinct().write.parquet(folder)
+    n = values.sparkSession.read.parquet(folder).count()
+    return f"{n} in {folder}" if n else None
 
 
 def distinct_text(df: DataFrame, column: str, groups: Sequence[str] = (), sep: str = " & ") -> DataFrame:
@@ -51,12 +53,13 @@ def distinct_text(df: DataFrame, column: str, groups: Sequence[str] = (), sep: s
 
 
 def coverage_message(sides: DataFrame, what: str = "df values") -> str | None:
-    """Text of a ``coverage`` result, None where both sets are equal."""
-    parts = []
-    for side, title in (("missing", "Missing"), ("unmapped", "Unmapped")):
-        text = joined_values(sides.where(F.col("side") == side), "value")
-        if text:
-            parts.append(f"{title} {what}: {text}")
+    """Text of a ``coverage`` result, None where both sets are equal.
+
+    Values that the map lacks are an open set: they are written to a table that the text names.
+    """
+    missing = joined_values(sides.where("side = 'missing'"), "value")
+    unmapped = stored_values(sides.where("side = 'unmapped'"), "value")
+    parts = [f"{title} {what}: {text}" for title, text in (("Missing", missing), ("Unmapped", unmapped)) if text is not None]
     return " & ".join(parts) or None
 
 
@@ -156,7 +159,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     produced = Observation(name)
     stored = materialize(df.observe(produced, F.count(F.lit(1)).alias("rows")), name)
     if produced.get["rows"] != stored.count():
-        raise CheckFailed("File row count is not equal to temp table row count")
+        raise CheckFailed("Rows were lost or doubled while staging the file")
     return stored
 
 
@@ -192,7 +195,7 @@ def new_data_due(last_file: Column, published: Column, as_of: Column, first_day:
 
 
 def enforce(violations: DataFrame, message: str, column: str) -> None:
-    """Stop with a message that lists the violating values."""
-    text = joined_values(violations, column)
-    if text:
-        raise CheckFailed(f"{message}: {text}")
+    """Stop if there is any violation, an empty text included; the message names the table that holds them."""
+    found = stored_values(violations, column)
+    if found:
+        raise CheckFailed(f"{message}: {found}")

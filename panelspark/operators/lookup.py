@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelspark.session import broadcast_if_small, materialize
 
@@ -38,17 +39,24 @@ def map_contained(
 ) -> DataFrame:
     """The value of the first (or ``last``) map key that occurs in a text, else NULL.
 
-    Keys rank by ``order``, which defaults to the value. Up to ``max_keys`` keys the map
-    turns into one conditional expression, so rows are labelled in their scan, without a
-    shuffle. A larger map is joined on the substrings of the distinct texts.
+    Keys rank by ``order``, which defaults to the value, then by the key; a NULL order ranks
+    lowest. A NULL key occurs in no text, and a key that is found gives its value also where that is NULL. Up to
+    ``max_keys`` keys the map turns into one conditional expression, so rows are labelled in
+    their scan, without a shuffle. A larger map is joined on the substrings of the distinct
+    texts; both plans give the same labels.
     """
-    ranked = mapping.select(key, value, F.col(order or value).alias("_order"))
+    ranked = mapping.where(F.col(key).isNotNull()).select(key, value, F.col(order or value).alias("_order"))
     few = ranked.limit(max_keys + 1).collect()
     if len(few) <= max_keys:
-        few.sort(key=lambda row: row["_order"], reverse=last)
-        hits = [F.when(F.col(text).contains(row[key]), F.lit(row[value])) for row in few]
-        nothing = F.lit(None).cast(mapping.schema[value].dataType)
-        return df.withColumn(out, F.coalesce(*hits, nothing))
+        few = [r for r in few if r["_order"] is None], [r for r in few if r["_order"] is not None]
+        few = [r for part in few for r in sorted(part, key=lambda r: (r["_order"], r[key]) if r["_order"] is not None else r[key])]
+        kind = mapping.schema[value].dataType
+        hits = [
+            F.when(F.col(text).contains(row[key]), F.struct(F.lit(row[value]).cast(kind).alias("v")))
+            for row in (reversed(few) if last else few)
+        ]
+        nothing = F.lit(None).cast(T.StructType([T.StructField("v", kind)]))
+        return df.withColumn(out, F.coalesce(*hits, nothing)["v"])
     by_text = _contained_by_substring(df, text, ranked, key, value, last)
     found = broadcast_if_small(materialize(by_text, "text-labels"))
     return (
@@ -75,7 +83,10 @@ def _contained_by_substring(
     )
     pick = F.max_by if last else F.min_by
     return (
-        pieces.join(ranked, key).groupBy("_text").agg(pick(value, "_order").alias("_found"))
+        pieces.join(ranked, key)
+        .groupBy("_text")
+        .agg(pick(F.struct(F.col(value).alias("v")), F.struct("_order", key)).alias("_hit"))
+        .select("_text", F.col("_hit.v").alias("_found"))
     )
 
 

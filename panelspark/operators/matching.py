@@ -237,8 +237,9 @@ def _accept(pairs: DataFrame) -> DataFrame:
     for mine in ("m_initial_1", "m_initial_2"):
         for other in ("p_initial_1", "p_initial_2"):
             same_initial = same_initial | F.coalesce(F.col(mine) == F.col(other), F.lit(False))
-    same_tokens = F.arrays_overlap("m_tokens_first", "p_tokens_first") & F.arrays_overlap(
-        "m_tokens_last", "p_tokens_last"
+    same_tokens = F.coalesce(
+        F.arrays_overlap("m_tokens_first", "p_tokens_first") & F.arrays_overlap("m_tokens_last", "p_tokens_last"),
+        F.lit(False),
     )
     straight, flipped, name = "phc_name", "phc_name_flipped", "epic_name"
     letters = N.letters_allow("m_letters", "p_letters", "m_length", "p_length")

@@ -39,7 +39,7 @@ def check_measures(df: DataFrame, clinics: DataFrame, measures_map: DataFrame) -
     ):
         sides = coverage(lookup.mapped_only(df, column), column, expected.where("is_active = 1"), "id")
         missing = checks.joined_values(sides.where("side = 'missing'"), "value")
-        lines.append(f"{title} - " + (f"Missing df values: {missing}" if missing else "No missing values"))
+        lines.append(f"{title} - " + (f"without rows: {missing}" if missing is not None else "all seen"))
     return "\n".join(lines)
 
 
@@ -72,7 +72,7 @@ def reconcile(
         return None
     if not C.is_current(membership, as_of).first().is_current:
         raise checks.CheckFailed(
-            "Membership table is not yet updated, will skip adding members, stop uploading measures"
+            "The membership is not yet updated for this month, so the measures are not uploaded"
         )
     result = C.reconcile_members(membership, staged, as_of, insert, reactivate)
     rows = history.select(*C.HISTORY).limit(0)
@@ -114,6 +114,9 @@ def run_measures_file(
         mapped = checks.staged(mapped_measures(staged, clinics, measures_map), "staged-measures")
         log["warning_message"] = check_measures(mapped, clinics, measures_map)
         rows = lookup.mapped_only(mapped, "measure_id")
+        lost = checks.stored_values(lookup.unmapped(mapped, "measure_id", "measure_text"), "measure_text")
+        if lost:
+            log["warning_message"] += f"\nUnmapped measures: {lost}"
         membership = tables.read_version(spark, stored.membership).drop("merge_action")
         history = tables.read_or_empty(spark, stored.history, MEMBERSHIP_HISTORY)
         changes = reconcile(
@@ -132,8 +135,10 @@ def run_measures_file(
             new_rows = not_in(changes.history, history, ["cin", "year", "month"])
             tables.append_history(tables.with_inserted_at(new_rows), stored.history)
             tables.publish(spark, stored.membership, version)
+        # Sheets of one name and another date are other uploads.
+        upload = f"{download_date:%Y-%m-%d} {file_name}"
         appended = C.with_eligibility(rows, membership)
-        tables.put_upload(tables.with_inserted_at(appended), stored.measures, file_name)
+        tables.put_upload(tables.with_inserted_at(appended), stored.measures, upload)
         summary = measure_summary(appended)
-        tables.put_upload(tables.with_inserted_at(summary), stored.summary, file_name)
+        tables.put_upload(tables.with_inserted_at(summary), stored.summary, upload)
         log["insert_count"] = rows.count()

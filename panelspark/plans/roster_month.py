@@ -95,11 +95,11 @@ def check_roster(roster: DataFrame, clinics: DataFrame) -> None:
         for row in found.groupBy("rule", "column_name").count().collect()
     }
     if any(rule == "not_null" for rule, _ in counts):
-        raise checks.CheckFailed("A required field is null and cannot be inputted into DDL")
+        raise checks.CheckFailed("A required field has no value")
     ids = checks.id_violations(roster, "cin", clinics, "clinic_key").select(
         F.format_string("%s in %s file", "cin", "clinic").alias("error")
     )
-    checks.enforce(ids, "CIN not 10 characters long", "error")
+    checks.enforce(ids, "Malformed member ids", "error")
     if counts:
         broken = ", ".join(f"{rule} {column}: {n}" for (rule, column), n in sorted(counts.items()))
         raise checks.CheckFailed(f"Staged rows do not fit the table: {broken}")

@@ -6,7 +6,7 @@ are read in parallel.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +15,7 @@ from panelspark.functions.text import double_quotes, flag, null_tokens, phone, s
 from panelspark.schemas import SHEET_TO_MEASURES
 from panelspark.sources.files import with_provenance
 
+MAX_COLUMNS = 64
 SHEET_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in SHEET_TO_MEASURES])
 
 
@@ -31,15 +32,30 @@ def read_sheets(spark: SparkSession, folder: str, stream: bool = False, per_batc
 
 
 def sheet_rows(files: DataFrame, header_line: int = 1, sep: str = ",") -> DataFrame:
-    """Data rows below the header line (0 is the first line) as text columns."""
+    """Data rows below the header line (0 is the first line) as text columns.
+
+    Columns are found by their name in each sheet's header, in any order and beside others. A
+    sheet without one of the fields fails the job. Sheets have MAX_COLUMNS columns at most.
+    """
     keep = [c for c in files.columns if c != "value"]
-    ddl = ", ".join(f"`{f.name}` STRING" for f in SHEET_SCHEMA)
-    lines = files.select(*keep, F.posexplode(F.split("value", "\r?\n")).alias("_pos", "_line"))
-    return (
-        lines.where((F.col("_pos") > header_line) & (F.col("_line") != ""))
-        .select(*keep, F.from_csv("_line", F.lit(ddl), {"sep": sep, "escape": '"'}).alias("_row"))
-        .select(*keep, "_row.*")
-    )
+    ddl = ", ".join(f"c{i} STRING" for i in range(MAX_COLUMNS))
+
+    def cells(line: Column) -> Column:
+        parsed = F.from_csv(line, F.lit(ddl), {"sep": sep, "escape": '"'})
+        return F.array(*[parsed[f"c{i}"] for i in range(MAX_COLUMNS)])
+
+    lines = files.withColumn("_lines", F.split("value", "\r?\n"))
+    header = F.transform(cells(F.get("_lines", F.lit(header_line))), lambda name: F.trim(name))
+    at = [F.coalesce(F.array_position(header, f.name), F.lit(0)).alias(f.name) for f in SHEET_SCHEMA]
+    placed = lines.select(*keep, "_lines", F.struct(*at).alias("_at"))
+    rows = placed.select(*keep, "_at", F.posexplode("_lines").alias("_pos", "_line"))
+    rows = rows.where((F.col("_pos") > header_line) & (F.col("_line") != "")).select(*keep, "_at", cells(F.col("_line")).alias("_cells"))
+    fields = [
+        F.when(F.col("_at")[f.name] == 0, F.raise_error(F.lit(f"a sheet lacks the column {f.name}")).cast("string"))
+        .otherwise(F.get("_cells", (F.col("_at")[f.name] - 1).cast("int"))).alias(f.name)
+        for f in SHEET_SCHEMA
+    ]
+    return rows.select(*keep, *fields)
 
 
 def staged_measures(rows: DataFrame) -> DataFrame:

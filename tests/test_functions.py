@@ -149,3 +149,9 @@ def test_cheap_test_never_rejects_a_pair_above_85(spark):
     assert any(not r.l for r in rows)
     assert any(r.s > 85 for r in rows) and any(not r.m for r in rows)
     assert all(r.m for r in rows if r.s > 85)
+
+
+def test_dates_without_leading_zeros(spark):
+    rows = [("1/5/2020", "2020-01-05"), ("01/05/20", "2020-01-05"), ("12/31/69", "1969-12-31"), ("2/3/68", "2068-02-03"), ("2020-1-5", "2020-01-05"), ("", None)]
+    df = spark.createDataFrame(rows, "t string, want string").select("want", D.parse_date(F.col("t")).cast("string").alias("got"))
+    assert all(r.want == r.got for r in df.collect())

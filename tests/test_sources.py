@@ -155,7 +155,9 @@ def test_roster_measures_and_matching_jobs(spark, roster_folder):
     assert (after["Z000000001"].is_enrolled, after["Z000000001"].months_enrolled) == (1, 2)
     assert after["N000000001"].months_missed == 4 and after["N000000001"].phone_number == "707-555-1234"
     log = spark.read.parquet(mt.log).first()
-    assert log.insert_count == 2 and log.warning_message == "Clinic - Missing df values: 1\nMeasure - Missing df values: 6"
+    assert log.insert_count == 2 and log.warning_message.startswith(
+        "Clinic - without rows: 1\nMeasure - without rows: 6\nUnmapped measures: 1 in "
+    )
     got = {(r.cin, r.measure_id, r.is_compliant, r.is_qip_eligible) for r in spark.read.parquet(mt.measures).collect()}
     assert got == {("Z000000001", 5, 1, 1), ("N000000001", 5, 0, 0)}
     summary = spark.read.parquet(mt.summary).first()
@@ -252,3 +254,20 @@ def test_broadcast_only_when_small(spark):
         return df._jdf.queryExecution().optimizedPlan().toString()
 
     assert "strategy=broadcast" in plan(10) and "strategy=broadcast" not in plan(9)
+
+
+def test_sheets_are_read_by_header(spark):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from panelspark.schemas import SHEET_TO_MEASURES
+    from panelspark.sources.sheets import sheet_rows
+
+    names = list(SHEET_TO_MEASURES)
+    shuffled = ["Plan", *reversed(names)]
+    text = "title\n" + ",".join(shuffled) + "\n" + ",".join(f"{n} 1" for n in shuffled) + "\n"
+    row = sheet_rows(spark.createDataFrame([(text, "f")], "value string, path string")).first()
+    assert all(row[n] == f"{n} 1" for n in names)
+    short = spark.createDataFrame([(text.replace("PCP", "Other", 1), "f")], "value string, path string")
+    with pytest.raises(Exception, match="lacks the column PCP"):
+        sheet_rows(short).select(F.max("PCP")).collect()
