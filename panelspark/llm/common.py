@@ -60,8 +60,8 @@ def powers(value: int, n: int) -> np.ndarray:
 class Bytes:
     """The UTF-8 bytes of several texts in one array, with hashes of any of their substrings."""
 
-    def __init__(self, texts: list[str], fold_case: bool = False):
-        parts = [t.encode("utf-8", "surrogatepass") for t in texts]
+    def __init__(self, texts: list[str] | list[bytes], fold_case: bool = False):
+        parts = [t if isinstance(t, bytes) else t.encode("utf-8", "surrogatepass") for t in texts]
         self.sizes = np.fromiter(map(len, parts), np.int64, len(parts))
         self.starts = np.zeros(len(parts) + 1, np.int64)
         np.cumsum(self.sizes, out=self.starts[1:])

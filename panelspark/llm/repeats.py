@@ -7,8 +7,9 @@ Suffixes are sampled where the hash of the next SEED bytes is least among all se
 so that equal windows share their sampled suffix. Consecutive windows with one sampled suffix
 are a zone. Zones carry (key, content, id, start, length) tuples through Spark's external sorts
 and aggregates: keys that occur once are dropped; of zones with equal content the first stays and
-windows of the others are all repeats; where one key has different contents, the repeats of
-the windows between are induced from the sampled suffix by comparing the windows themselves.
+windows of the others are all repeats; where one key has different contents, the first zone of each is
+cut out and sampled anew by longer seeds. What is open after that is decided by comparing windows,
+of which each cut out run sends different ones only.
 Copies of whole documents are settled ahead by their digest.
 
 Null and empty texts have no bytes. Texts shorter than LENGTH lose nothing. Rows with a null id
@@ -27,7 +28,8 @@ from panelspark.llm.common import Batches, Bytes, map_batches, texts_of
 from panelspark.session import broadcast_if_small, materialize
 
 LENGTH = 100
-SEED = 40
+#: Seed of the first sampling, and of the second, whose zones are shorter and rarely share a key by chance.
+SEED, LONG_SEED = 40, 90
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -40,14 +42,14 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
-def zones_of(texts: list[str]) -> tuple[np.ndarray, ...]:
+def zones_of(texts: list[str] | list[bytes], seed: int = SEED) -> tuple[np.ndarray, ...]:
     """Zones of several texts: text number, start, windows, key and two content hashes."""
     bytes_ = Bytes(texts)
     n = len(bytes_.data)
     if n < LENGTH:
         return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.int64, np.int64))
-    seeds = bytes_.hashes(slice(0, n - SEED + 1), slice(SEED, n + 1))
-    least = _sliding_min(seeds, LENGTH - SEED + 1)
+    seeds = bytes_.hashes(slice(0, n - seed + 1), slice(seed, n + 1))
+    least = _sliding_min(seeds, LENGTH - seed + 1)
     starts = bytes_.starts
     owner = np.repeat(np.arange(len(texts)), bytes_.sizes)[: len(least)]
     inside = np.arange(len(least)) + LENGTH <= starts[owner + 1]
@@ -63,46 +65,99 @@ def zones_of(texts: list[str]) -> tuple[np.ndarray, ...]:
     )
 
 
-def _zones(docs: DataFrame) -> DataFrame:
+def _zones(docs: DataFrame, seed: int = SEED) -> DataFrame:
+    """Zones of the texts, or of runs cut out of them at ``base``."""
+    column = "text" if "text" in docs.columns else "cut"
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            ids, base = (np.array(batch.column(c).to_pylist(), np.int64) for c in ("doc_id", "base"))
+            texts = texts_of(batch, "text") if column == "text" else batch.column("cut").to_pylist()
+            owner, start, n, key, content, check = zones_of(texts, seed)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (key, content, check, ids[owner], base[owner], start + base[owner], n)],
+                names=["key", "content", "check", "doc_id", "base", "start", "n"])
+
+    return map_batches(
+        docs.select("doc_id", "base", column), run, "key long, content long, check long, doc_id long, base long, start long, n long")
+
+
+def _cuts(docs: DataFrame) -> DataFrame:
+    """The bytes of the listed zones, those of zones side by side in one: doc_id, base, cut."""
+
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            ids = np.array(batch.column("doc_id").to_pylist(), np.int64)
-            owner, start, n, key, content, check = zones_of(texts_of(batch, "text"))
+            keys, bases, cuts = [], [], []
+            for key, text, zones in zip(
+                    batch.column("doc_id").to_pylist(), texts_of(batch, "text"), batch.column("zones").to_pylist(), strict=True):
+                data = text.encode("utf-8", "surrogatepass")
+                for start, end in _joined(zones):
+                    keys.append(key)
+                    bases.append(start)
+                    cuts.append(data[start : end + LENGTH - 1])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (key, content, check, ids[owner], start, n)],
-                names=["key", "content", "check", "doc_id", "start", "n"])
+                [pa.array(keys, pa.int64()), pa.array(bases, pa.int64()), pa.array(cuts, pa.binary())], names=["doc_id", "base", "cut"])
 
-    return map_batches(docs, run, "key long, content long, check long, doc_id long, start long, n long")
+    return map_batches(docs.select("doc_id", "text", "zones"), run, "doc_id long, base long, cut binary")
 
 
-def _windows(docs: DataFrame) -> DataFrame:
-    """Every window of the listed zones: two hashes, doc_id, start."""
+def _joined(zones: list[dict]) -> list[list[int]]:
+    """Start and end of runs of windows from zones, where one begins at another's end in one."""
+    out: list[list[int]] = []
+    for start, n in sorted({(z["start"], z["n"]) for z in zones}):
+        if out and start <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], start + n)
+        else:
+            out.append([start, start + n])
+    return out
+
+
+def _windows(cuts: DataFrame) -> DataFrame:
+    """Every different window of the listed zones: two hashes, doc_id, start. Those that a cut repeats come without hashes, as runs."""
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            texts = texts_of(batch, "text")
-            bytes_ = Bytes(texts)
+            bytes_ = Bytes(batch.column("cut").to_pylist())
+            bases, ids = batch.column("base").to_pylist(), batch.column("doc_id").to_pylist()
             for i, zones in enumerate(batch.column("zones").to_pylist()):
-                at = np.concatenate([np.arange(z["start"], z["start"] + z["n"]) for z in zones])
-                begin = at + bytes_.starts[i]
+                at = np.concatenate([np.arange(a, b) for a, b in _joined(zones)])
+                begin = at - bases[i] + bytes_.starts[i]
+                pairs = np.stack([bytes_.hashes(begin, begin + LENGTH), bytes_.hashes(begin, begin + LENGTH, 1)], 1).view(np.int64)
+                _, first = np.unique(pairs, axis=0, return_index=True)
+                first.sort()
+                again = np.ones(len(at), bool)
+                again[first] = False
+                again = at[again]
+                new = np.ones(len(again), bool)
+                new[1:] = np.diff(again) > 1
+                runs = np.flatnonzero(new)
+                lengths = np.diff(np.append(runs, len(again)))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(bytes_.hashes(begin, begin + LENGTH).view(np.int64)),
-                    pa.array(bytes_.hashes(begin, begin + LENGTH, 1).view(np.int64)),
-                    pa.array(np.full(len(at), ids[i], np.int64)), pa.array(at),
-                ], names=["content", "check", "doc_id", "start"])
+                    pa.concat_arrays([pa.array(pairs[first, which]), pa.nulls(len(runs), pa.int64())]) for which in (0, 1)
+                ] + [
+                    pa.array(np.full(len(first) + len(runs), ids[i], np.int64)), pa.array(np.concatenate([at[first], again[runs]])),
+                    pa.array(np.concatenate([np.ones(len(first), np.int64), lengths])),
+                ], names=["content", "check", "doc_id", "start", "n"])
 
-    return map_batches(docs, run, "content long, check long, doc_id long, start long")
+    return map_batches(cuts.select("doc_id", "base", "cut", "zones"), run, "content long, check long, doc_id long, start long, n long")
 
 
 def _later(rows: DataFrame) -> DataFrame:
     """The rows whose content also occurs at an earlier place."""
     place = F.struct("doc_id", "start")
-    first = rows.groupBy("content", "check").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    first = first.filter(F.col("first") < F.col("last")).drop("last")
+    first = rows.groupBy("content", "check").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("k"))
+    first = first.filter("k > 1").drop("k")
     return rows.join(first, ["content", "check"]).filter(place > F.col("first"))
 
 
+def _open(zones: DataFrame) -> DataFrame:
+    """The first zone of each content, where a key has several contents."""
+    one = zones.groupBy("key", "content", "check").agg(F.min(F.struct("doc_id", "start", "n", "base")).alias("z"))
+    one = materialize(one, "repeats-contents")
+    mixed = one.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("key")
+    return one.join(mixed, "key").select("z.*")
+
+
 def find_repeats(docs: DataFrame) -> DataFrame:
     """doc_id and the repeated windows of each document that has some, as (start, n) runs."""
     docs = docs.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH))
@@ -111,19 +166,22 @@ def find_repeats(docs: DataFrame) -> DataFrame:
     copies = materialize(keyed.join(firsts.select("doc_id"), "doc_id", "left_anti").select("doc_id", "size"), "repeats-copies")
     own = docs.join(broadcast_if_small(copies.select("doc_id")), "doc_id", "left_anti")
 
+    own = own.withColumn("base", F.lit(0).cast("long"))
     shared = _zones(own).groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("key")
     shared = materialize(shared, "repeats-keys")
     zones = materialize(_zones(own).join(broadcast_if_small(shared, 2_000_000), "key"), "repeats-zones")
+    edges = _open(zones).groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("zones"))
+    cuts = materialize(_cuts(own.join(edges, "doc_id")), "repeats-cuts")
 
-    one = zones.groupBy("key", "content", "check").agg(F.min(F.struct("doc_id", "start", "n")).alias("z"))
-    one = materialize(one, "repeats-contents")
-    mixed = one.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("key")
-    edges = one.join(mixed, "key").select("z.*").groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("zones"))
-    windows = materialize(_windows(own.join(edges, "doc_id")), "repeats-windows")
+    inner = materialize(_zones(cuts, LONG_SEED), "repeats-inner-zones")
+    left = _open(inner).groupBy("doc_id", "base").agg(F.collect_list(F.struct("start", "n")).alias("zones"))
+    windows = materialize(_windows(cuts.join(left, ["doc_id", "base"])), "repeats-windows")
 
     runs = (
         _later(zones).select("doc_id", "start", "n")
-        .unionByName(_later(windows).select("doc_id", "start", F.lit(1).cast("long").alias("n")))
+        .unionByName(_later(inner).select("doc_id", "start", "n"))
+        .unionByName(_later(windows.filter("content is not null")).select("doc_id", "start", "n"))
+        .unionByName(windows.filter("content is null").select("doc_id", "start", "n"))
         .unionByName(copies.select("doc_id", F.lit(0).cast("long").alias("start"), (F.col("size") - LENGTH + 1).cast("long").alias("n")))
     )
     return runs.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "n"))).alias("runs"))
