@@ -118,26 +118,33 @@ def _windows(cuts: DataFrame) -> DataFrame:
     def run(batches: Batches) -> Batches:
         for batch in batches:
             bytes_ = Bytes(batch.column("cut").to_pylist())
-            bases, ids = batch.column("base").to_pylist(), batch.column("doc_id").to_pylist()
-            for i, zones in enumerate(batch.column("zones").to_pylist()):
-                at = np.concatenate([np.arange(a, b) for a, b in _joined(zones)])
-                begin = at - bases[i] + bytes_.starts[i]
-                pairs = np.stack([bytes_.hashes(begin, begin + LENGTH), bytes_.hashes(begin, begin + LENGTH, 1)], 1).view(np.int64)
-                _, first = np.unique(pairs, axis=0, return_index=True)
-                first.sort()
-                again = np.ones(len(at), bool)
-                again[first] = False
-                again = at[again]
-                new = np.ones(len(again), bool)
-                new[1:] = np.diff(again) > 1
-                runs = np.flatnonzero(new)
-                lengths = np.diff(np.append(runs, len(again)))
-                yield pa.RecordBatch.from_arrays([
-                    pa.concat_arrays([pa.array(pairs[first, which]), pa.nulls(len(runs), pa.int64())]) for which in (0, 1)
-                ] + [
-                    pa.array(np.full(len(first) + len(runs), ids[i], np.int64)), pa.array(np.concatenate([at[first], again[runs]])),
-                    pa.array(np.concatenate([np.ones(len(first), np.int64), lengths])),
-                ], names=["content", "check", "doc_id", "start", "n"])
+            bases, ids = (np.array(batch.column(c).to_pylist(), np.int64) for c in ("base", "doc_id"))
+            spans = [(i, a, b) for i, zones in enumerate(batch.column("zones").to_pylist()) for a, b in _joined(zones)]
+            row, start, end = np.array(spans, np.int64).reshape(-1, 3).T
+            sizes = end - start
+            owner = np.repeat(row, sizes)
+            at = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes - start, sizes)
+            begin = at - bases[owner] + bytes_.starts[owner]
+            content, check = (bytes_.hashes(begin, begin + LENGTH, which).view(np.int64) for which in (0, 1))
+            order = np.lexsort((at, check, content, owner))
+            same = np.ones((3, max(len(order) - 1, 0)), bool)
+            for k, x in enumerate((owner, content, check)):
+                same[k] = x[order[1:]] == x[order[:-1]]
+            repeated = np.zeros(len(order), bool)
+            repeated[order[1:]] = same.all(0)
+            first, again = np.flatnonzero(~repeated), np.flatnonzero(repeated)
+            new = np.ones(len(again), bool)
+            new[1:] = (np.diff(at[again]) != 1) | (np.diff(owner[again]) != 0)
+            runs = np.flatnonzero(new)
+            lengths = np.diff(np.append(runs, len(again)))
+            runs = again[runs]
+            places = np.concatenate([first, runs])
+            yield pa.RecordBatch.from_arrays([
+                pa.concat_arrays([pa.array(x[first]), pa.nulls(len(runs), pa.int64())]) for x in (content, check)
+            ] + [
+                pa.array(ids[owner[places]]), pa.array(at[places]),
+                pa.array(np.concatenate([np.ones(len(first), np.int64), lengths])),
+            ], names=["content", "check", "doc_id", "start", "n"])
 
     return map_batches(cuts.select("doc_id", "base", "cut", "zones"), run, "content long, check long, doc_id long, start long, n long")
 
