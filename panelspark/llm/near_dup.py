@@ -9,8 +9,8 @@ threshold are linked. Classes are the connected components of the links.
 
 Texts with equal words are one class from the start and take part as one. In a band's bucket every text
 is compared with one of them, another in each band; what is not yet in that one's component
-is then compared with the bucket's other components, so that no link between components is lost
-though a group is not expanded into all its pairs.
+is then compared with those of the bucket's other components whose folded weights allow the similarity, so
+that no link between components is lost though a group is not expanded into all its pairs.
 
 Texts without words (null, empty, symbols) are each a class of their own. Rows with a null id have
 a null class. Repeated rows repeat with the same class. An empty table gives no rows; extra
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.llm.common import Batches, map_batches, mix, texts_of, word_hashes
@@ -39,6 +39,10 @@ EMPHASIS = 0.1
 #: Random triples (r, log c, beta) of the sampling, drawn once; a shingle and a sample number pick one.
 POOL = 1 << 16
 
+#: Shingles folded by hash into so many sums of weights. Folding never lowers a weighted Jaccard similarity, so
+#: texts whose folded sums stay below the threshold are told apart without reading them.
+FOLDS = 128
+
 
 def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingles and counts of each text, where each text's begin, and its word sequence's hash."""
@@ -170,7 +174,7 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
-    """doc_id, the hashes of its word sequence, and its band keys (null without words)."""
+    """doc_id, the hashes of its word sequence, its band keys (null without words) and its folded weights."""
 
     def run(batches: Batches) -> Batches:
         sampler = Sampler(float(np.float32(idf.max(initial=1.0))))
@@ -185,12 +189,15 @@ def signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
                 for i, row in zip(some.tolist(), band_keys(samples).view(np.int64), strict=True):
                     bands[i] = row
             keys = copy_keys(texts)
+            at = np.repeat(np.arange(len(texts)) * FOLDS, np.diff(first)) + (value % np.uint64(FOLDS)).astype(np.int64)
+            folded = np.bincount(at, weights=weight, minlength=len(texts) * FOLDS).astype(np.float32)
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
                 pa.array(bands, pa.list_(pa.int64())),
-            ], names=["doc_id", "key", "check", "bands"])
+                pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * FOLDS, pa.int32()), pa.array(folded)),
+            ], names=["doc_id", "key", "check", "bands", "folded"])
 
-    return map_batches(docs, run, "doc_id long, key long, check long, bands array<long>")
+    return map_batches(docs, run, "doc_id long, key long, check long, bands array<long>, folded array<float>")
 
 
 def similarities(left: list[str], right: list[str], idf: np.ndarray) -> list[float]:
@@ -258,7 +265,8 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     signed = materialize(signatures(rows, idf), "near-dup-signatures")
     worded = signed.filter(F.col("bands").isNotNull() & F.col("doc_id").isNotNull())
     # Equal words: one of each stands for all.
-    groups = materialize(worded.groupBy("key", "check").agg(F.min("doc_id").alias("own"), F.first("bands").alias("bands")), "near-dup-groups")
+    groups = materialize(worded.groupBy("key", "check").agg(
+        F.min("doc_id").alias("own"), F.first("bands").alias("bands"), F.first("folded").alias("folded")), "near-dup-groups")
     buckets = groups.select(F.col("own").alias("id"), F.posexplode("bands").alias("band", "bucket"))
     first = buckets.groupBy("band", "bucket").agg(
         F.min_by("id", F.xxhash64("id", "band")).alias("first"), F.count(F.lit(1)).alias("size")).filter("size > 1")
@@ -266,30 +274,40 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     stars = materialize(shared.filter("id <> first").select(F.least("first", "id").alias("a"), F.greatest("first", "id").alias("b")).distinct(), "near-dup-stars")
     found = links(stars, rows, idf)
     label = components(found)
-    rest = _other_pairs(shared, label, stars)
+    rest = _other_pairs(shared, label, stars, groups.select(F.col("own").alias("id"), "folded"))
     if not rest.isEmpty():
         found = materialize(found.union(links(rest, rows, idf)), "near-dup-links")
         label = components(found)
-    named = worded.join(groups.drop("bands"), ["key", "check"]).select("doc_id", "own").distinct()
+    named = worded.join(groups.select("key", "check", "own"), ["key", "check"]).select("doc_id", "own").distinct()
     found_class = named.join(label.select(F.col("doc_id").alias("own"), "component"), "own", "left").select(
         "doc_id", F.coalesce("component", "own").alias("class_id"))
     return rows.select("doc_id").join(found_class, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
 
 
-def _other_pairs(shared: DataFrame, label: DataFrame, tried: DataFrame) -> DataFrame:
-    """Pairs of a bucket in different components that were not compared yet.
+def may_be_near(a: str, b: str) -> Column:
+    """Can texts of these folded weights reach the similarity? A millionth part is left for rounding."""
+    larger = F.aggregate(F.zip_with(a, b, lambda x, y: F.greatest(x, y).cast("double")), F.lit(0.0), lambda s, x: s + x)
+    smaller = F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y).cast("double")), F.lit(0.0), lambda s, x: s + x)
+    return smaller >= larger * (SIMILARITY * (1 - 1e-6))
+
+
+def _other_pairs(shared: DataFrame, label: DataFrame, tried: DataFrame, folded: DataFrame) -> DataFrame:
+    """Pairs of a bucket in different components that were not compared yet and may be near.
 
-    Members of the chosen one's component meet only the others, of which a bucket has few.
+    Members of the chosen one's component meet only the others, of which a bucket has few. A pair of
+    others is made once.
     """
     marked = shared.join(label.withColumnRenamed("doc_id", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     main = label.select(F.col("doc_id").alias("first"), F.col("component").alias("main"))
     marked = materialize(marked.join(main, "first", "left").withColumn("main", F.coalesce("main", "first")), "near-dup-marked")
     open_ = marked.filter(F.col("component") != F.col("main"))
-    marked = marked.join(open_.select("band", "bucket").distinct(), ["band", "bucket"])
+    marked = marked.join(open_.select("band", "bucket").distinct(), ["band", "bucket"]).join(folded, "id")
     others = marked.filter(F.col("component") != F.col("main"))
-    left = others.select("band", "bucket", F.col("id").alias("x"), F.col("component").alias("cx"))
-    right = marked.select("band", "bucket", F.col("id").alias("y"), F.col("component").alias("cy"))
-    pairs = left.join(right, ["band", "bucket"]).filter("cx <> cy")
+    left = others.select("band", "bucket", F.col("id").alias("x"), F.col("component").alias("cx"), F.col("folded").alias("fx"))
+    right = marked.select(
+        "band", "bucket", F.col("id").alias("y"), F.col("component").alias("cy"), F.col("folded").alias("fy"),
+        (F.col("component") == F.col("main")).alias("in_main"))
+    pairs = left.join(right, ["band", "bucket"]).filter((F.col("cx") != F.col("cy")) & (F.col("in_main") | (F.col("x") < F.col("y"))) & may_be_near("fx", "fy"))
     pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     return materialize(pairs.join(tried, ["a", "b"], "left_anti"), "near-dup-rest")
 

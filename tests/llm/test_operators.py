@@ -129,6 +129,27 @@ def test_near_duplicates(spark, texts):
     assert near_dup.classes(rows.limit(0)).isEmpty()
 
 
+def test_folded_weights_lose_no_link(spark):
+    """Texts that share buckets though few are near: folded weights keep every pair of 0.8, and the classes stay right."""
+    r = random.Random(5)
+    base = [f"w{i}" for i in range(60)]
+    docs = [" ".join(w if r.random() > 0.03 else f"x{r.random()}" for w in base) for _ in range(80)]
+    rows = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    idf = near_dup.inverse_frequencies(*near_dup.document_frequencies(rows))
+    signed = near_dup.signatures(rows, idf).select("doc_id", "folded")
+    both = signed.toDF("a", "fa").crossJoin(signed.toDF("b", "fb")).filter("a < b")
+    kept = {(x.a, x.b) for x in both.filter(near_dup.may_be_near("fa", "fb")).collect()}
+    pairs = [(a, b) for a in range(len(docs)) for b in range(a + 1, len(docs))]
+    near = near_dup.similarities([docs[a] for a, _ in pairs], [docs[b] for _, b in pairs], idf)
+    linked = {p for p, s in zip(pairs, near, strict=True) if s >= near_dup.SIMILARITY}
+    assert linked and linked <= kept and len(kept) < len(pairs) / 2
+    root = list(range(len(docs)))
+    for _ in docs:
+        for a, b in linked:
+            root[a] = root[b] = min(root[a], root[b])
+    assert {x.doc_id: x.class_id for x in near_dup.classes(rows).collect()} == dict(enumerate(root))
+
+
 def test_repeats(spark):
     r = random.Random(3)
 
