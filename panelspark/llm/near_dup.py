@@ -8,7 +8,7 @@ share a band are candidates, and those whose weighted Jaccard similarity reaches
 threshold are linked. Classes are the connected components of the links.
 
 Texts with equal words are one class from the start and take part as one. In a band's bucket every text
-is compared with one of them, another in each band; what is not yet in that one's component
+is compared with the one that has most neighbours over all bands; what is not yet in that one's component
 is then compared with those of the bucket's other components whose folded weights allow the similarity, so
 that no link between components is lost though a group is not expanded into all its pairs.
 
@@ -268,22 +268,35 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     groups = materialize(worded.groupBy("key", "check").agg(
         F.min("doc_id").alias("own"), F.first("bands").alias("bands"), F.first("folded").alias("folded")), "near-dup-groups")
     buckets = groups.select(F.col("own").alias("id"), F.posexplode("bands").alias("band", "bucket"))
-    first = buckets.groupBy("band", "bucket").agg(
-        F.min_by("id", F.xxhash64("id", "band")).alias("first"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-    shared = materialize(buckets.join(first.drop("size"), ["band", "bucket"]), "near-dup-buckets")
+    sizes = buckets.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    shared = materialize(buckets.join(sizes, ["band", "bucket"]), "near-dup-sizes")
+    # The text with most neighbours is the one its bucket is compared with, so a group meets its middle.
+    mates = shared.groupBy("id").agg(F.sum("size").alias("mates"))
+    first = shared.join(mates, "id").groupBy("band", "bucket").agg(F.min_by("id", F.struct(-F.col("mates"), "id")).alias("first"))
+    shared = materialize(shared.drop("size").join(first, ["band", "bucket"]), "near-dup-buckets")
     stars = materialize(shared.filter("id <> first").select(F.least("first", "id").alias("a"), F.greatest("first", "id").alias("b")).distinct(), "near-dup-stars")
-    found = links(stars, rows, idf)
-    label = components(found)
+    label = components(links(stars, rows, idf))
     rest = _other_pairs(shared, label, stars, groups.select(F.col("own").alias("id"), "folded"))
     if not rest.isEmpty():
-        found = materialize(found.union(links(rest, rows, idf)), "near-dup-links")
-        label = components(found)
+        label = _joined(label, links(rest, rows, idf))
     named = worded.join(groups.select("key", "check", "own"), ["key", "check"]).select("doc_id", "own").distinct()
     found_class = named.join(label.select(F.col("doc_id").alias("own"), "component"), "own", "left").select(
         "doc_id", F.coalesce("component", "own").alias("class_id"))
     return rows.select("doc_id").join(found_class, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
 
 
+def _joined(label: DataFrame, found: DataFrame) -> DataFrame:
+    """Labels after further links, which are between components only."""
+    def renamed(df: DataFrame, name: str) -> DataFrame:
+        known = label.select(F.col("doc_id").alias(name), F.col("component").alias("known"))
+        return df.join(known, name, "left").withColumn(name, F.coalesce("known", name)).drop("known")
+
+    top = components(renamed(renamed(found, "a"), "b").select("a", "b").distinct())
+    single = top.join(label.select(F.col("component").alias("doc_id")), "doc_id", "left_anti")
+    moved = label.join(top.toDF("component", "upper"), "component", "left").select("doc_id", F.coalesce("upper", "component").alias("component"))
+    return materialize(moved.union(single), "near-dup-labels")
+
+
 def may_be_near(a: str, b: str) -> Column:
     """Can texts of these folded weights reach the similarity? A millionth part is left for rounding."""
     larger = F.aggregate(F.zip_with(a, b, lambda x, y: F.greatest(x, y).cast("double")), F.lit(0.0), lambda s, x: s + x)
