@@ -7,6 +7,8 @@ side, so a key that holds a large share of the rows costs one row per map task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +24,16 @@ def not_in(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(keys)).join(known, list(keys), "left_anti")
 
 
+def not_in_months(df: DataFrame, history: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows that a history partitioned by year and month lacks. Only the months of the rows are read from it.
+
+    ``df`` should be stored, since its months are looked up first: a handful of numbers.
+    """
+    months = df.select("year", "month").dropna().distinct().collect()
+    wanted = [(F.col("year") == r.year) & (F.col("month") == r.month) for r in months]
+    return not_in(df, history.where(reduce(or_, wanted, F.lit(False))), [*keys, "year", "month"])
+
+
 def is_in(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(distinct_keys(other, keys), list(keys), "left_semi")
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from panelspark.operators import checks, lookup
 from panelspark.operators import reconcile as C
-from panelspark.operators.keys import coverage, not_in
+from panelspark.operators.keys import coverage, not_in_months
 from panelspark.operators.summary import measure_summary
 from panelspark.plans.audit import audited
 from panelspark.schemas import (
@@ -132,7 +132,7 @@ def run_measures_file(
                 "error",
             )
             membership = tables.write_version(changes.membership, stored.membership, version)
-            new_rows = not_in(changes.history, history, ["cin", "year", "month"])
+            new_rows = not_in_months(checks.staged(changes.history, "history-rows"), history, ["cin"])
             tables.append_history(tables.with_inserted_at(new_rows), stored.history)
             tables.publish(spark, stored.membership, version)
         # Sheets of one name and another date are other uploads.

@@ -12,7 +12,7 @@ from panelspark.functions import dates as D
 from panelspark.functions import text as X
 from panelspark.operators import checks, lookup
 from panelspark.operators import roster as R
-from panelspark.operators.keys import coverage, not_in
+from panelspark.operators.keys import coverage, not_in_months
 from panelspark.plans.audit import audited
 from panelspark.schemas import (
     MEMBERSHIP_HISTORY, MEMBERSHIP_LOG, PROCESSED_FIELDS, ROSTER_CONSTRAINTS, ROSTER_FIELDS,
@@ -145,7 +145,7 @@ def run_roster_month(
             R.apply_roster(base, roster, month, status == "rollover", run_at), stored.membership, version
         )
         history = tables.read_or_empty(spark, stored.history, MEMBERSHIP_HISTORY)
-        new_rows = not_in(R.history_rows(merged), history, ["cin", "year", "month"])
+        new_rows = not_in_months(R.history_rows(merged), history, ["cin"])
         tables.append_history(tables.with_inserted_at(new_rows), stored.history)
         log.update(R.merge_counts(merged).first().asDict())
         tables.write_report(R.arrivals(merged), f"{stored.reports}/NR_{month:02d}-{year}-{version}")

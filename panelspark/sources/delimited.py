@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from panelspark.functions.dates import parse_date
 from panelspark.functions.text import flag, null_tokens
-from panelspark.schemas import PROCESSED_FIELDS, PROCESSED_TO_MEMBERSHIP
+from panelspark.schemas import PROCESSED_TO_MEMBERSHIP
+from panelspark.session import broadcast_if_small, materialize
 
 SEPARATOR = "%"
+MAX_COLUMNS = 64
 
 
 def write_roster(df: DataFrame, folder: str, period: str = "period") -> None:
@@ -32,18 +33,35 @@ def write_roster(df: DataFrame, folder: str, period: str = "period") -> None:
 
 
 def read_processed(spark: SparkSession, folder: str) -> DataFrame:
-    """The columns of processed files that the membership uses, as texts, files united."""
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in PROCESSED_FIELDS])
-    return (
-        spark.read.schema(schema)
+    """The columns of processed files that the membership uses, as texts, files united.
+
+    Columns are found by their name in each file's first line, in any order and beside others. A
+    file without one of them fails the job. Files have MAX_COLUMNS columns at most.
+    """
+    names = [f"c{i}" for i in range(MAX_COLUMNS)]
+    rows = (
+        spark.read.schema(", ".join(f"{name} STRING" for name in names))
         .option("sep", SEPARATOR)
-        .option("header", True)
         .option("escape", '"')
-        .option("enforceSchema", True)
         .option("recursiveFileLookup", "true")
         .csv(folder)
-        .select(*PROCESSED_TO_MEMBERSHIP)
+        .select(
+            F.array(*names).alias("_cells"),
+            F.col("_metadata.file_path").alias("_path"),
+            F.col("_metadata.file_block_start").alias("_start"),
+        )
     )
+    firsts = rows.withColumn("_order", F.monotonically_increasing_id()).where("_start = 0")
+    firsts = firsts.groupBy("_path").agg(F.min_by("_cells", "_order").alias("_header"))
+    places = [F.coalesce(F.array_position("_header", name), F.lit(0)).cast("int").alias(name) for name in PROCESSED_TO_MEMBERSHIP]
+    headers = materialize(firsts.select("_path", "_header", F.struct(*places).alias("_at")), "roster-headers")
+    placed = rows.join(broadcast_if_small(headers), "_path").where(F.col("_cells") != F.col("_header"))
+    fields = [
+        F.when(F.col("_at")[name] == 0, F.raise_error(F.concat(F.lit(f"no column {name} in "), "_path")).cast("string"))
+        .otherwise(F.get("_cells", F.col("_at")[name] - 1)).alias(name)
+        for name in PROCESSED_TO_MEMBERSHIP
+    ]
+    return placed.select(*fields)
 
 
 def staged_roster(raw: DataFrame) -> DataFrame:

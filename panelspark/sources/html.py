@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,19 +11,36 @@ from pyspark.sql import functions as F
 from panelspark.functions.text import PANDAS_NULLS, null_tokens, strip
 from panelspark.sources.files import with_provenance
 
-# Character references that occur in cell texts, the ampersand last.
-ENTITIES = {
-    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": " ",
-    "&#160;": " ", "&amp;": "&",
-}
+REFERENCE = r"&(?:#\d{1,8}|#[xX][0-9a-fA-F]{1,7}|[A-Za-z][A-Za-z0-9]*);"
+NAMED = name2codepoint | {"apos": ord("'")}
+
+
+def referenced(reference: Column) -> Column:
+    """The character of a reference: a blank for the no-break space, U+FFFD for no code point, unknown names raw."""
+    name = F.regexp_replace(reference, "[&;]", "")
+    named = F.map_from_arrays(F.lit(list(NAMED)), F.lit(list(NAMED.values())))
+    code = (
+        F.when(name.rlike("^#[0-9]"), F.substring(name, 2, 8).try_cast("int"))
+        .when(name.startswith("#"), F.conv(F.substring(name, 3, 7), 16, 10).try_cast("int"))
+        .otherwise(F.try_element_at(named, name))
+    )
+    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    known = F.when(valid, code).otherwise(0xFFFD)
+    return F.when(code.isNull(), reference).when(code == 160, " ").otherwise(
+        F.decode(F.unhex(F.lpad(F.hex(known), 8, "0")), "UTF-32")
+    )
+
+
+def resolved(text: Column) -> Column:
+    """Character references resolved once, numbers and names."""
+    between, found = F.split(text, REFERENCE, -1), F.regexp_extract_all(text, F.lit(REFERENCE), 0)
+    pieces = F.zip_with(between, found, lambda part, r: F.concat(part, F.coalesce(referenced(r), F.lit(""))))
+    return F.when(text.contains("&"), F.array_join(pieces, "")).otherwise(text)
 
 
 def cell_text(cell: Column) -> Column:
     """Text of a cell: tags dropped, character references resolved, stripped."""
-    text = F.regexp_replace(cell, r"(?s)<[^>]*>", "")
-    for entity, char in ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return strip(text)
+    return strip(resolved(F.regexp_replace(cell, r"(?s)<[^>]*>", "")))
 
 
 def element(tag: str) -> Column:

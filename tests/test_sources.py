@@ -11,12 +11,12 @@ from panelspark.plans.identity import run_matching
 from panelspark.plans.roster_month import (
     RosterTables, mapped_roster, month_column, processed_rows, run_roster_month,
 )
-from panelspark.schemas import CLINIC_MAP, MEMBERSHIP, MEMBERSHIP_LOG, MEASURES_MAP, ROSTER_FIELDS
+from panelspark.schemas import CLINIC_MAP, MEMBERSHIP, MEMBERSHIP_LOG, MEASURES_MAP, PROCESSED_TO_MEMBERSHIP, ROSTER_FIELDS
 from panelspark.session import broadcast_if_small
 from panelspark.sources import tables
 from panelspark.sources.delimited import read_processed, staged_roster, write_roster
 from panelspark.sources.files import file_list, oldest_and_newest
-from panelspark.sources.html import html_table, read_html_files
+from panelspark.sources.html import cell_text, html_table, read_html_files
 from panelspark.sources.sheets import read_sheets, sheet_rows, staged_measures
 from panelspark.streaming.backlog import run_backlog
 
@@ -55,6 +55,33 @@ def test_html_table_by_field_names(spark):
     assert [tuple(r) for r in got] == [("p", "1", "Lee", None), ("p", "2 & 3", None, None)]
 
 
+def test_character_references(spark):
+    texts = {
+        "Jos&eacute; &#233; &#xE9; &#X1F600;": "Jos\u00e9 \u00e9 \u00e9 \U0001F600",
+        "a&amp;lt;b&#38;amp;": "a&lt;b&amp;",
+        "R&D; A & B &unknown; &": "R&D; A & B &unknown; &",
+        "x&nbsp;&#160;&#xa0;y&apos;": "x   y'",
+        "&#0;&#xD800;&#99999999;": "\ufffd\ufffd\ufffd",
+        "": "",
+    }
+    df = spark.createDataFrame([(k, v) for k, v in texts.items()] + [(None, None)], "cell string, want string")
+    assert [r for r in df.select("cell", "want", cell_text(F.col("cell")).alias("got")).collect() if r.want != r.got] == []
+
+
+def test_roster_files_are_read_by_header(spark, tmp_path):
+    """Files of one folder differ in the order and number of their columns."""
+    fields = list(PROCESSED_TO_MEMBERSHIP)
+    for number, names in enumerate((fields, ["Extra", *reversed(fields)])):
+        lines = ["%".join(names), *["%".join(f"{n} {number}{k}" for n in names) for k in range(3)]]
+        (tmp_path / f"site{number}.csv").write_text("\n".join(lines) + "\n")
+    got = read_processed(spark, str(tmp_path))
+    assert got.columns == fields
+    assert sorted(map(tuple, got.collect())) == sorted(tuple(f"{n} {f}{k}" for n in fields) for f in range(2) for k in range(3))
+    (tmp_path / "short.csv").write_text("%".join(fields[1:]) + "\n" + "%".join(fields[1:]) + " x\n")
+    with pytest.raises(Exception, match=f"no column {fields[0]}"):
+        read_processed(spark, str(tmp_path)).collect()
+
+
 @pytest.fixture
 def roster_folder(tmp_path):
     """Two pages of one clinic with a shared row, and a page of another clinic."""
@@ -181,16 +208,21 @@ def test_roster_checks_stop(spark, tmp_path):
     columns = "cin string, clinic_id int, clinic_text string, first_name string, last_name string, dob date, new_member int, is_enrolled int, download_date date"
     good = ("A000000001", 1, "AB", "Ann", "Lee", APR, 0, 1, MAY)
     other = ("B000000001", 2, "CD", "Bo", "Lee", APR, 0, 1, MAY)
-    cases = {
-        "Missing df values: 2": [good],
-        "Unmapped df values: ZZ": [good, other, ("C000000001", None, "ZZ", "x", "y", APR, 0, 1, MAY)],
-        "required field is null": [good, other[:4] + (None,) + other[5:]],
-        "CIN not 10 characters long: B1 in CD file": [good, ("B1",) + other[1:]],
-        "primary_key cin: 1": [good, good, other],
-    }
-    for message, rows in cases.items():
-        with pytest.raises(checks.CheckFailed, match=message):
+    # The start of each message, and the values of the violations table it names.
+    cases = [
+        ("Missing df values: 2", None, [good]),
+        ("Unmapped df values: 1 in ", ["ZZ"], [good, other, ("C000000001", None, "ZZ", "x", "y", APR, 0, 1, MAY)]),
+        ("A required field has no value", None, [good, other[:4] + (None,) + other[5:]]),
+        ("Malformed member ids: 1 in ", ["B1 in CD file"], [good, ("B1",) + other[1:]]),
+        ("Staged rows do not fit the table: primary_key cin: 1", None, [good, good, other]),
+    ]
+    for message, values, rows in cases:
+        with pytest.raises(checks.CheckFailed) as stop:
             run_roster_month(spark, spark.createDataFrame(rows, columns), clinics(spark), stored, 2024, 5, RUN)
+        text = str(stop.value)
+        assert text.startswith(message)
+        if values:
+            assert [r[0] for r in spark.read.parquet(text.split(" in ", 1)[1]).collect()] == values
     assert spark.read.parquet(stored.log).where("is_success = 0").count() == len(cases)
     assert tables.latest_version(spark, stored.membership) == 1
 
