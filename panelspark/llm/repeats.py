@@ -6,9 +6,10 @@ id, or in the same document ahead. Strings are judged on the input.
 Suffixes are sampled where the hash of the next SEED bytes is least among all seeds of a window,
 so that equal windows share their sampled suffix. Consecutive windows with one sampled suffix
 are a zone. Zones carry (key, content, id, start, length) tuples through Spark's external sorts
-and aggregates: keys that occur once are dropped; of zones with equal content the first stays and
-windows of the others are all repeats; where one key has different contents, the first zone of each is
-cut out and sampled anew by longer seeds. What is open after that is decided by comparing windows,
+and aggregates: keys that occur once are dropped, save where the sampled seed stands twice in the zone,
+as in a periodic run that may repeat its own windows; of zones with equal content the first stays and
+windows of the others are all repeats; where one key has different contents, or its seed stands twice,
+the first zone of each content is cut out and sampled anew by longer seeds. What is open after that is decided by comparing windows,
 of which each cut out run sends different ones only.
 Copies of whole documents are settled ahead by their digest.
 
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +32,19 @@ from panelspark.session import broadcast_if_small, materialize
 LENGTH = 100
 #: Seed of the first sampling, and of the second, whose zones are shorter and rarely share a key by chance.
 SEED, LONG_SEED = 40, 90
+#: Bytes of text that are hashed at once; their arrays take about a hundred times that.
+PART_BYTES = 1 << 20
+
+
+def _parts(batches: Batches, column: str) -> Batches:
+    """The batches in slices of rows with about PART_BYTES in a column."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        parts = np.cumsum(sizes.astype(np.int64)) // PART_BYTES
+        edges = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), batch.num_rows]
+        for begin, end in zip(edges, edges[1:], strict=False):
+            if end > begin:
+                yield batch.slice(begin, end - begin)
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -42,12 +57,26 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
+def _stands_twice(seeds: np.ndarray, least: np.ndarray, begin: np.ndarray, end: np.ndarray, width: int) -> np.ndarray:
+    """Whether the least seed of each zone stands at two places in it; only then can windows of one zone be equal."""
+    key = least[begin]
+    first, last = np.zeros_like(begin), np.zeros_like(begin)
+    for place, edge, order in ((first, begin, range(width)), (last, end - 1, range(width - 1, -1, -1))):
+        left = np.arange(len(begin))
+        for k in order:
+            at = edge[left] + k
+            hit = seeds[at] == key[left]
+            place[left[hit]] = at[hit]
+            left = left[~hit]
+    return first < last
+
+
 def zones_of(texts: list[str] | list[bytes], seed: int = SEED) -> tuple[np.ndarray, ...]:
-    """Zones of several texts: text number, start, windows, key and two content hashes."""
+    """Zones of several texts: text number, start, windows, key, two content hashes and whether the seed stands twice."""
     bytes_ = Bytes(texts)
     n = len(bytes_.data)
     if n < LENGTH:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.int64, np.int64))
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.int64, np.int64, bool))
     seeds = bytes_.hashes(slice(0, n - seed + 1), slice(seed, n + 1))
     least = _sliding_min(seeds, LENGTH - seed + 1)
     starts = bytes_.starts
@@ -62,6 +91,7 @@ def zones_of(texts: list[str] | list[bytes], seed: int = SEED) -> tuple[np.ndarr
     return (
         owner[begin], begin - starts[owner[begin]], end - begin, signed(least[begin]),
         signed(bytes_.hashes(begin, end + LENGTH - 1)), signed(bytes_.hashes(begin, end + LENGTH - 1, 1)),
+        _stands_twice(seeds, least, begin, end, LENGTH - seed + 1),
     )
 
 
@@ -70,16 +100,16 @@ def _zones(docs: DataFrame, seed: int = SEED) -> DataFrame:
     column = "text" if "text" in docs.columns else "cut"
 
     def run(batches: Batches) -> Batches:
-        for batch in batches:
+        for batch in _parts(batches, column):
             ids, base = (np.array(batch.column(c).to_pylist(), np.int64) for c in ("doc_id", "base"))
             texts = texts_of(batch, "text") if column == "text" else batch.column("cut").to_pylist()
-            owner, start, n, key, content, check = zones_of(texts, seed)
+            owner, start, n, key, content, check, twice = zones_of(texts, seed)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (key, content, check, ids[owner], base[owner], start + base[owner], n)],
-                names=["key", "content", "check", "doc_id", "base", "start", "n"])
+                [pa.array(x) for x in (key, content, check, ids[owner], base[owner], start + base[owner], n, twice)],
+                names=["key", "content", "check", "doc_id", "base", "start", "n", "twice"])
 
     return map_batches(
-        docs.select("doc_id", "base", column), run, "key long, content long, check long, doc_id long, base long, start long, n long")
+        docs.select("doc_id", "base", column), run, "key long, content long, check long, doc_id long, base long, start long, n long, twice boolean")
 
 
 def _cuts(docs: DataFrame) -> DataFrame:
@@ -116,7 +146,7 @@ def _windows(cuts: DataFrame) -> DataFrame:
     """Every different window of the listed zones: two hashes, doc_id, start. Those that a cut repeats come without hashes, as runs."""
 
     def run(batches: Batches) -> Batches:
-        for batch in batches:
+        for batch in _parts(batches, "cut"):
             bytes_ = Bytes(batch.column("cut").to_pylist())
             bases, ids = (np.array(batch.column(c).to_pylist(), np.int64) for c in ("base", "doc_id"))
             spans = [(i, a, b) for i, zones in enumerate(batch.column("zones").to_pylist()) for a, b in _joined(zones)]
@@ -157,11 +187,17 @@ def _later(rows: DataFrame) -> DataFrame:
     return rows.join(first, ["content", "check"]).filter(place > F.col("first"))
 
 
+def _several(zones: DataFrame) -> DataFrame:
+    """The keys of several rows, or of a seed that stands twice in a zone."""
+    return zones.groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.max("twice").alias("twice")).filter("k > 1 or twice").select("key")
+
+
 def _open(zones: DataFrame) -> DataFrame:
-    """The first zone of each content, where a key has several contents."""
-    one = zones.groupBy("key", "content", "check").agg(F.min(F.struct("doc_id", "start", "n", "base")).alias("z"))
+    """The first zone of each content, where a key has several contents or its seed stands twice."""
+    one = zones.groupBy("key", "content", "check").agg(
+        F.min(F.struct("doc_id", "start", "n", "base")).alias("z"), F.max("twice").alias("twice"))
     one = materialize(one, "repeats-contents")
-    mixed = one.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("key")
+    mixed = _several(one)
     return one.join(mixed, "key").select("z.*")
 
 
@@ -174,8 +210,7 @@ def find_repeats(docs: DataFrame) -> DataFrame:
     own = docs.join(broadcast_if_small(copies.select("doc_id")), "doc_id", "left_anti")
 
     own = own.withColumn("base", F.lit(0).cast("long"))
-    shared = _zones(own).groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("key")
-    shared = materialize(shared, "repeats-keys")
+    shared = materialize(_several(_zones(own)), "repeats-keys")
     zones = materialize(_zones(own).join(broadcast_if_small(shared, 2_000_000), "key"), "repeats-zones")
     edges = _open(zones).groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("zones"))
     cuts = materialize(_cuts(own.join(edges, "doc_id")), "repeats-cuts")

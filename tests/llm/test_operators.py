@@ -173,6 +173,28 @@ def test_repeats(spark):
     assert repeats.remove_repeats(frame(spark, docs).limit(0)).isEmpty()
 
 
+def test_repeats_inside_one_zone(spark):
+    """Periodic runs that occur once in the corpus, or in equal zones only, also those hardly longer than a window."""
+    r = random.Random(11)
+
+    def noise(n):
+        return "".join(chr(r.randint(33, 126)) for _ in range(n))
+
+    docs = [noise(200) + (noise(period) * 130)[:size] + noise(200) for period in (1, 5, 11, 30, 47, 61, 62, 80) for size in (period + 100, period + 103, 400)]
+    docs += [noise(150) + (noise(p) * 110)[: p + 101] + noise(150) for p in (1, 2, 3, 5, 7, 9) for _ in range(40)]
+    docs += ["=" * 300, noise(50) + "=" * 300, " with" * 60 + noise(120), noise(120) + " with" * 60]
+    seen, want = set(), {}
+    for i, text in enumerate(docs):
+        data, covered = text.encode(), bytearray(len(text))
+        for p in range(len(data) - 99):
+            if data[p : p + 100] in seen:
+                covered[p : p + 100] = b"\1" * 100
+            seen.add(data[p : p + 100])
+        want[i] = sum(covered)
+    got = {x.doc_id: x.n_removed for x in repeats.remove_repeats(frame(spark, docs)).collect()}
+    assert got == want
+
+
 def test_lines(spark):
     r = random.Random(4)
     choice = ["x y", " z ", "", "long " * 45, "w " * 20, "q", "\t r", "u v w"]
