@@ -25,8 +25,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that repeat earlier ones. A document of which nothing stays goes."""
-    found = lines.remove_lines(docs, removed="__removed", kept="__kept")
+    """Documents without runs of lines that repeat earlier ones, extended both ways. A document of which nothing stays goes."""
+    found = lines.remove_lines(docs, removed="__removed", kept="__kept", extend=True)
     emptied = (F.size("__removed") > 0) & (F.octet_length(F.btrim("__kept", F.lit(" \t\r\n"))) == 0)
     own = {"text": F.col("__kept").alias("text"), "n_chars": F.char_length("__kept").cast("long").alias("n_chars")}
     return found.filter(~F.coalesce(emptied, F.lit(False))).select(*(own.get(c, F.col(c)) for c in docs.columns))

@@ -222,6 +222,40 @@ def test_lines(spark):
     assert got == want
 
 
+def test_lines_extended(spark):
+    """Every line goes that lies in a run of lines which occurs earlier and holds a window."""
+    r = random.Random(6)
+    choice = ["x y", " z ", "", "long " * 45, "w " * 20, "q", "\t r", "u v w", "m " * 15, "n"]
+    docs = ["long " * 45 + "\nshort\nx", "a\n" + "long " * 45 + "\nshort\ny"]
+    docs += ["\n".join(r.choice(choice) for _ in range(r.randint(0, 10))) for _ in range(50)] + [None, ""]
+    own = [[x.strip(" \t\r") for x in (t or "").split("\n") if x.strip(" \t\r")] for t in docs]
+
+    def window(run):
+        return any(sum(len(x.split()) for x in run[a:b]) >= lines.WORDS or b - a == lines.LINES
+                   for a in range(len(run)) for b in range(a + 1, min(a + lines.LINES, len(run)) + 1))
+
+    want = {}
+    for i, late in enumerate(own):
+        gone = set()
+        for k, early in enumerate(own[: i + 1]):
+            for shift in range(-len(late), len(early)):
+                if k == i and shift >= 0:
+                    continue
+                at = 0
+                while at < len(late):
+                    end = at
+                    while end < len(late) and 0 <= end + shift < len(early) and late[end] == early[end + shift]:
+                        end += 1
+                    if window(late[at:end]):
+                        gone |= set(range(at, end))
+                    at = max(end, at + 1)
+        want[i] = sorted(gone)
+    got = {x.doc_id: x.removed_lines for x in lines.remove_lines(frame(spark, docs), extend=True).collect()}
+    assert got == want and want[1] == [1, 2]
+    cut = [x.removed_lines for x in lines.remove_lines(frame(spark, docs)).filter("doc_id = 1").collect()]
+    assert cut == [[1]]
+
+
 def test_language(spark):
     docs = table(spark, SF, "documents")
     samples = language.learn(docs, fold("doc_id", 5) != 0)

@@ -37,6 +37,13 @@ def test_stages(spark):
         assert stage(spark, empty, SF).isEmpty()
 
 
+def test_line_dedup_extends_matches(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(1, "word " * 45 + "\nshort\nmine", "en", "s", 1), (2, "own\n" + "word " * 45 + "\nshort\nother", "en", "s", 1)]
+    kept = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, spark.createDataFrame(rows, schema), SF).collect()}
+    assert kept == {1: rows[0][1], 2: "own\nother"}
+
+
 @pytest.mark.parametrize("name", list(queries.ORACLES))
 def test_sql(spark, name):
     df = queries.QUERIES[name](spark, SF)
