@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import bpe, decontaminate, html_text, language, lines, near_dup, repeats, search, token_files, toxicity
+from panelspark.llm import (
+    bpe, decontaminate, fingerprints, html_text, language, lines, near_dup, phrases, repeats, search, token_files, toxicity, whitening,
+)
 from panelspark.llm.common import fold, table
 from panelspark.session import shared_folder
 
@@ -74,6 +76,19 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.top_k(vectors, F.col("vec_id") % 20 == 0)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors))
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.next_compared(table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_near_duplicates": op2_near_duplicates,
@@ -85,6 +100,9 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_top_k": op10_top_k,
+    "op11_whitening": op11_whitening,
+    "op12_fingerprints": op12_fingerprints,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLES = {
@@ -140,5 +158,33 @@ WITH v AS (
   FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id
 ), ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+""",
+    "op13_collocations": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), runs AS (
+  SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+  FROM words, (SELECT unnest([1, 2, 3]) AS size) WHERE len(w) >= size
+), f AS (SELECT lang, size, phrase, count(*) AS n FROM runs GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+candidates AS (SELECT lang, size, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND n >= 10),
+cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:size], ' ') AS rest
+  FROM candidates, (SELECT unnest([1, 2]) AS k) WHERE k < size
+), scored AS (
+  SELECT c.lang, c.phrase, a, k, p.n AS l, q.n AS r, CAST(CAST(1000000 AS HUGEINT) * a * a // (CAST(p.n AS HUGEINT) * q.n) AS BIGINT) AS score
+  FROM cuts c JOIN f p ON p.lang = c.lang AND p.phrase = c.first AND p.size = k JOIN f q ON q.lang = c.lang AND q.phrase = c.rest
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), longer AS (
+  SELECT lang, phrase, max(a) AS most FROM (
+    SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a FROM candidates WHERE size = 3) GROUP BY ALL
+), ranked AS (
+  SELECT c.lang, row_number() OVER (PARTITION BY c.lang ORDER BY score DESC, a DESC, c.phrase) AS rank, c.phrase, a, l, r, score
+  FROM lowest c LEFT JOIN longer g ON g.lang = c.lang AND g.phrase = c.phrase WHERE most IS NULL OR 100 * most < 50 * a
+)
+SELECT lang, rank, phrase, a, l, r, t.n, score FROM ranked JOIN totals t USING (lang) WHERE rank <= 2000
 """,
 }
