@@ -17,7 +17,7 @@ the chunk unless one piece is longer. Other columns are not looked at.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cached_property, lru_cache
 
 import numpy as np
@@ -27,13 +27,13 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import Batches, Bytes, mix
+from panelspark.llm.common import Batches, Bytes, map_batches, mix
 from panelspark.session import broadcast_if_small, materialize
 
 SHARDS = 4
 
 #: Bytes of text that are mined at once, and bits of the set of candidates.
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 BITS = 1 << 27
 
 #: Keys that a frequent phrase part or a language is spread over.
@@ -52,9 +52,9 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Words:
-    """The words of a chunk: vocabulary, a code and a row for each word, and whether the next word follows in its piece."""
+    """The words of a chunk: vocabulary, a code and a part for each word, and whether the next word follows in its piece."""
 
-    def __init__(self, parts: list[bytes], rows: list[int]):
+    def __init__(self, parts: list[bytes]):
         sizes = np.fromiter(map(len, parts), np.int64, len(parts))
         data = _LOWER[np.frombuffer(b"\n".join(parts), np.uint8)]  # line feeds end pieces
         kind = _KIND[data]
@@ -66,12 +66,11 @@ class Words:
         words = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside[1:-1]])])
         coded = words.dictionary_encode()
         self.vocabulary: pa.Array = coded.dictionary
-        self.codes = coded.indices.to_numpy().astype(np.int64)
+        self.codes = coded.indices.to_numpy()
         ends = np.cumsum(kind == 2, dtype=np.int32)
         piece = ends[begin] if len(begin) else np.zeros(0, np.int32)
         self.follows = piece[1:] == piece[:-1]
-        part = np.searchsorted(np.cumsum(sizes + 1), begin, "right")
-        self.rows = np.asarray(rows, np.int64)[part]
+        self.parts = np.searchsorted(np.cumsum(sizes + 1), begin, "right").astype(np.int32)
 
     @cached_property
     def hashes(self) -> np.ndarray:
@@ -88,13 +87,17 @@ class Words:
         return np.flatnonzero(whole)
 
 
-def _chunks(batches: Batches) -> Iterator[tuple[pa.RecordBatch, Words]]:
-    """Words of about CHUNK bytes of text at a time; longer texts are cut behind a piece end."""
+def _chunks(batches: Batches) -> Iterator[tuple[list[tuple], Words]]:
+    """Words of about CHUNK bytes of text at a time, and the other columns of each part's row.
+
+    Texts that pass a chunk are cut behind a piece end.
+    """
+    parts: list[bytes] = []
+    others: list[tuple] = []
+    size = 0
     for batch in batches:
-        parts: list[bytes] = []
-        rows: list[int] = []
-        size = 0
-        for row, text in enumerate(batch.column("text")):
+        rows = zip(*(batch.column(c).to_pylist() for c in batch.schema.names if c != "text"), strict=True)
+        for text, other in zip(batch.column("text"), rows, strict=True):
             data = (text.as_py() or "").encode("utf-8", "surrogatepass")
             while data:
                 cut = len(data)
@@ -103,17 +106,17 @@ def _chunks(batches: Batches) -> Iterator[tuple[pa.RecordBatch, Words]]:
                     behind = int(np.searchsorted(ends, CHUNK))
                     cut = len(data) if not len(ends) else int(ends[behind - 1 if behind else 0]) + 1
                 parts.append(data[:cut])
-                rows.append(row)
+                others.append(other)
                 size += cut
                 data = data[cut:]
                 if size >= CHUNK:
-                    words = Words(parts, rows)
-                    parts, rows, size = [], [], 0
+                    words = Words(parts)
                     if len(words.codes):
-                        yield batch, words
-        words = Words(parts, rows)
-        if len(words.codes):
-            yield batch, words
+                        yield others, words
+                    parts, others, size = [], [], 0
+    words = Words(parts)
+    if len(words.codes):
+        yield others, words
 
 
 @lru_cache(1 << 16)
@@ -128,7 +131,7 @@ def _keys(words: Words, languages: np.ndarray, size: int) -> np.ndarray:
     key = hashes[:n]
     for i in range(1, size):
         key = mix(key * _STEP + hashes[i : i + n])
-    return mix(key * _STEP ^ languages[words.rows[:n]]) & ~np.uint64(3)
+    return mix(key * _STEP ^ languages[words.parts[:n]]) & ~np.uint64(3)
 
 
 def _in(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -145,8 +148,8 @@ def _frequent_starts(words: Words, languages: np.ndarray, sets: list[np.ndarray]
     return at
 
 
-def _languages(batch: pa.RecordBatch) -> np.ndarray:
-    return np.array([_language_hash(x) for x in batch.column("lang").to_pylist()], np.uint64)
+def _languages(names: Iterable[str]) -> np.ndarray:
+    return np.array([_language_hash(x) for x in names], np.uint64)
 
 
 def _mine(rows: DataFrame, sets: list[Broadcast], size: int) -> DataFrame:
@@ -154,18 +157,19 @@ def _mine(rows: DataFrame, sets: list[Broadcast], size: int) -> DataFrame:
 
     def run(batches: Batches) -> Batches:
         found = [s.value for s in sets]
-        for batch, words in _chunks(batches):
-            languages = _languages(batch)
+        for others, words in _chunks(batches):
+            names, shards, supports = zip(*others, strict=True)
+            languages = _languages(names)
             at = _frequent_starts(words, languages, found, size)
-            shard = batch.column("shard").to_numpy().astype(np.uint64)
+            shard = np.array(shards, np.uint64)
             keys, first, counts = np.unique(
-                _keys(words, languages, size)[at] | shard[words.rows[at]], return_index=True, return_counts=True)
-            support = batch.column("support").to_numpy()[words.rows[at[first]]]
+                _keys(words, languages, size)[at] | shard[words.parts[at]], return_index=True, return_counts=True)
+            support = np.array(supports)[words.parts[at[first]]]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int32)), pa.array(support.astype(np.int32))],
                 names=["key", "n", "support"])
 
-    met = rows.mapInArrow(run, "key long, n int, support int")
+    met = map_batches(rows.select("lang", "shard", "support", "text"), run, "key long, n int, support int")
     return met.groupBy("key").agg(F.sum("n").alias("n"), F.max("support").alias("support")).filter("n >= support")
 
 
@@ -183,36 +187,40 @@ def _bit_set(keys: DataFrame) -> np.ndarray:
     return out
 
 
+def _distinct(words: Words, lang_of: np.ndarray, keys: np.ndarray, at: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Where each different phrase of ``size`` words among those at ``at`` first stands, and how often it occurs."""
+    while len(at):
+        _, first, group, counts = np.unique(keys[at], return_index=True, return_inverse=True, return_counts=True)
+        spoken = at[first]
+        same = lang_of[at] == lang_of[spoken[group]]
+        for i in range(size):
+            same &= words.codes[at + i] == words.codes[spoken[group] + i]
+        if not same.all():
+            counts = np.bincount(group[same], minlength=len(first))
+        yield spoken, counts
+        at = at[~same]  # other phrases of equal hash
+
+
 def _count(rows: DataFrame, sets: list[Broadcast], longest: int) -> DataFrame:
     """lang, size, phrase and n of a chunk's candidates, counted by their words."""
 
     def run(batches: Batches) -> Batches:
         found = [s.value for s in sets]
-        for batch, words in _chunks(batches):
-            languages = _languages(batch)
-            names, lang_of = np.unique(np.array(batch.column("lang").to_pylist(), object), return_inverse=True)
-            lang_of = lang_of[words.rows]
+        for others, words in _chunks(batches):
+            names, lang_of = np.unique(np.array([lang for lang, in others], object), return_inverse=True)
+            languages, lang_of = _languages(names)[lang_of], lang_of[words.parts]
             vocabulary = words.vocabulary.cast(pa.string())
             for size in range(1, longest + 1):
                 at = _frequent_starts(words, languages, found, size)
                 keys = _keys(words, languages, size)
-                at = at[_in(found[size - 1], keys[at])]
-                while len(at):
-                    _, first, group, counts = np.unique(keys[at], return_index=True, return_inverse=True, return_counts=True)
-                    spoken = at[first]
-                    same = lang_of[at] == lang_of[spoken[group]]
-                    for i in range(size):
-                        same &= words.codes[at + i] == words.codes[spoken[group] + i]
-                    if not same.all():  # another phrase of equal hash: next turn
-                        counts = np.bincount(group[same], minlength=len(first))
+                for spoken, counts in _distinct(words, lang_of, keys, at[_in(found[size - 1], keys[at])], size):
                     parts = [vocabulary.take(pa.array(words.codes[spoken + i])) for i in range(size)]
                     yield pa.RecordBatch.from_arrays([
                         pa.array(names[lang_of[spoken]], pa.string()), pa.array(np.full(len(spoken), size, np.int32)),
                         pc.binary_join_element_wise(*parts, " ") if size > 1 else parts[0], pa.array(counts.astype(np.int64)),
                     ], names=["lang", "size", "phrase", "n"])
-                    at = at[~same]
 
-    return rows.mapInArrow(run, "lang string, size int, phrase string, n long")
+    return map_batches(rows.select("lang", "text"), run, "lang string, size int, phrase string, n long")
 
 
 def frequent_phrases(
