@@ -90,6 +90,21 @@ def match_best(spark, sf_dir):
     return M.best_matches(*_inputs(spark, sf_dir)).withColumn("fuzzy_score", F.round("fuzzy_score", 6))
 
 
+_LARGE = _SCORED.replace("FROM patients", "FROM block_patients").replace("FROM members", "FROM block_members")
+
+
+@register(
+    "match_large_blocks",
+    f"{_LARGE} SELECT * REPLACE (round(fuzzy_score, 6) AS fuzzy_score) FROM accepted",
+    ("block_members", "block_patients"),
+)
+def match_large_blocks(spark, sf_dir):
+    """Two blocks of half the names each, joined on tokens and on rare grams; some links hold by their tokens alone."""
+    members = roles.block_members(spark, sf_dir)
+    current = M.current_patients(roles.block_patients(spark, sf_dir), members)
+    return M.accepted_matches(members, current, pairs_per_name=16).withColumn("fuzzy_score", F.round("fuzzy_score", 6))
+
+
 @register(
     "match_links",
     f"""{_SCORED}, best AS ({_BEST})

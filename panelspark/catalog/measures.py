@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from panelspark.catalog import roles
 from panelspark.catalog.registry import register
-from panelspark.operators.latest import retain_latest, retention_counts
+from panelspark.operators.latest import last_dates, retain_latest, retention_counts
 from panelspark.operators.summary import against_goal, measure_summary
 from panelspark.plans.reports import blood_pressure_report
+from panelspark.plans.retention import run_retention
+from panelspark.session import materialize, shared_folder
 
 _SUMMARY = """
     SELECT clinic_id, measure_id, year, month, download_date,
@@ -56,7 +58,30 @@ def measures_vs_goal(spark, sf_dir):
     ("measure_rows",),
 )
 def measures_latest_retention(spark, sf_dir):
-    return retain_latest(roles.measure_rows(spark, sf_dir), ["measure_id", "year", "month"], "download_date")
+    groups = ["measure_id", "year", "month"]
+    dates = last_dates(roles.measure_dates(spark, sf_dir), groups, "download_date")
+    return retain_latest(roles.measure_rows(spark, sf_dir), groups, "download_date", dates)
+
+
+@register(
+    "retention_incremental",
+    """
+    SELECT o_custkey, clinic_id, measure_id, year, month, is_compliant, is_qip_eligible,
+           CAST(download_date AS VARCHAR) AS download_date
+    FROM measure_rows
+    QUALIFY download_date = max(download_date) OVER (PARTITION BY measure_id, year, month)""",
+    ("measure_rows",),
+)
+def retention_incremental(spark, sf_dir):
+    """All rows in four uploads, each rewriting its own months only; the last one brings rows that are late."""
+    rows = materialize(roles.measure_rows(spark, sf_dir), "measure-rows")
+    folder = shared_folder(spark, "retention")
+    day, even = F.dayofmonth("download_date"), F.col("year") % 2 == 0
+    uploads = {"first": day.between(6, 20), "even years": (day > 20) & even, "odd years": (day > 20) & ~even, "late": day <= 5}
+    for name, part in uploads.items():
+        run_retention(
+            spark, rows.where(part), name, f"{folder}/measures", f"{folder}/dates", ["measure_id", "year", "month"], "download_date")
+    return spark.read.schema(rows.schema).parquet(f"{folder}/measures").select(*rows.columns)
 
 
 def _snapshots(spark, sf_dir):

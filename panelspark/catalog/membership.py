@@ -10,6 +10,7 @@ from panelspark.catalog.roles import AS_OF, MONTH, YEAR
 from panelspark.operators import reconcile as C
 from panelspark.operators import roster as R
 from panelspark.plans.measures_file import reconcile
+from panelspark.session import materialize
 
 
 def _merged_sql(base: str, incoming: str, month: int, rollover: bool) -> str:
@@ -149,10 +150,10 @@ _RECONCILED = f"""
                          ELSE 'keep' END AS act) a"""
 
 
-def _reconciled(spark, sf_dir):
+def _reconciled(spark, sf_dir, upload=None):
     return reconcile(
-        roles.measures_upload(spark, sf_dir),
-        roles.membership(spark, sf_dir, YEAR, MONTH + 1, "F"),
+        roles.measures_upload(spark, sf_dir) if upload is None else upload,
+        roles.membership(spark, sf_dir, YEAR, MONTH + 1, finished=True),
         roles.history(spark, sf_dir),
         YEAR,
         MONTH,
@@ -171,7 +172,7 @@ def _reconciled(spark, sf_dir):
 )
 def missing_members_except(spark, sf_dir):
     upload = roles.measures_upload(spark, sf_dir)
-    members = roles.membership(spark, sf_dir, YEAR, MONTH + 1, "F")
+    members = roles.membership(spark, sf_dir, YEAR, MONTH + 1, finished=True)
     unknown = C.unknown_members(upload, members)
     unrecorded = C.unrecorded_members(upload, roles.history(spark, sf_dir), YEAR, MONTH)
     return unknown.select(F.lit("membership").alias("absent_from"), "cin").unionByName(
@@ -227,7 +228,8 @@ def reconcile_history(spark, sf_dir):
     ("upload", "finished_members"),
 )
 def measures_append(spark, sf_dir):
-    return C.with_eligibility(roles.measures_upload(spark, sf_dir), _reconciled(spark, sf_dir).membership)
+    upload = materialize(roles.measures_upload(spark, sf_dir), "upload")
+    return C.with_eligibility(upload, _reconciled(spark, sf_dir, upload).membership)
 
 
 @register(
@@ -240,4 +242,4 @@ def measures_append(spark, sf_dir):
     ("finished_members",),
 )
 def freshness_gate(spark, sf_dir):
-    return C.is_current(roles.membership(spark, sf_dir, YEAR, MONTH + 1, "F"), AS_OF)
+    return C.is_current(roles.membership(spark, sf_dir, YEAR, MONTH + 1, finished=True), AS_OF)

@@ -68,9 +68,10 @@ def measures_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def customers(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     """Member attributes that do not change between months."""
     return table(spark, sf_dir, "customer").select(
+        *more,
         member_id("c_custkey").alias("cin"),
         F.col("c_nationkey").cast("int").alias("clinic_id"),
         F.col("c_mktsegment").alias("first_name"),
@@ -79,17 +80,9 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def orders(
-    spark: SparkSession,
-    sf_dir: str,
-    status: str | None = None,
-    since: dt.date | None = None,
-    before: dt.date | None = None,
-) -> DataFrame:
+def orders(spark: SparkSession, sf_dir: str, since: dt.date | None = None, before: dt.date | None = None) -> DataFrame:
     """Orders as member activity; the filters are on stored columns, so that they reach the scan."""
     df = table(spark, sf_dir, "orders")
-    if status is not None:
-        df = df.where(F.col("o_orderstatus") == status)
     if since is not None:
         df = df.where(F.col("o_orderdate") >= F.lit(since))
     if before is not None:
@@ -99,6 +92,7 @@ def orders(
         F.col("o_orderdate").cast("date").alias("day"),
         "o_orderkey",
         "o_orderpriority",
+        "o_orderstatus",
     )
 
 
@@ -118,17 +112,16 @@ def roster(spark: SparkSession, sf_dir: str, year: int, month: int) -> DataFrame
     return seen.join(customers(spark, sf_dir), "cin").withColumn("is_enrolled", F.lit(1))
 
 
-def membership(
-    spark: SparkSession, sf_dir: str, year: int, month: int, status: str | None = None
-) -> DataFrame:
-    """The membership ahead of a month: customers with any earlier order."""
+def membership(spark: SparkSession, sf_dir: str, year: int, month: int, finished: bool = False) -> DataFrame:
+    """The membership ahead of a month: customers with any earlier order, or any that is ``finished``."""
     start = dt.date(year, month, 1)
     before = dt.date(year - (month == 1), (month - 2) % 12 + 1, 1)
     this_year = F.year("day") == year
     seen = (
-        orders(spark, sf_dir, status, before=start)
+        orders(spark, sf_dir, before=start)
         .groupBy("cin")
         .agg(
+            F.bool_or(F.col("o_orderstatus") == "F").alias("_finished"),
             F.coalesce(
                 F.bit_count(F.bit_or(F.when(this_year, F.expr("shiftleft(1, month(day))")))), F.lit(0)
             ).alias("months_enrolled"),
@@ -138,6 +131,7 @@ def membership(
             F.max("o_orderkey").cast("string").alias("record_number"),
         )
     )
+    seen = (seen.where("_finished") if finished else seen).drop("_finished")
     return seen.join(customers(spark, sf_dir), "cin").withColumns(
         {
             "new_member": F.lit(0),
@@ -148,12 +142,14 @@ def membership(
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Month history of the members with a finished order that was not urgent."""
+    """Month history: a month counts for a member once an order of it that is not urgent is finished."""
+    recorded = (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") != "1-URGENT")
     return (
-        orders(spark, sf_dir, "F")
-        .where(F.col("o_orderpriority") != "1-URGENT")
+        orders(spark, sf_dir)
         .groupBy("cin", F.year("day").alias("year"), F.month("day").alias("month"))
-        .agg(F.max("day").alias("download_date"))
+        .agg(F.max("day").alias("download_date"), F.bool_or(recorded).alias("_recorded"))
+        .where("_recorded")
+        .drop("_recorded")
         .join(customers(spark, sf_dir).select("cin", "clinic_id"), "cin")
         .withColumn("is_qip_eligible", F.lit(1))
     )
@@ -184,20 +180,36 @@ def measure_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def measure_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measure and download date of every line item."""
+    line = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_shipdate").cast("date").alias("download_date"))
+    order = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    return line.join(order, line.l_orderkey == order.o_orderkey).select(
+        F.split_part("o_orderpriority", F.lit("-"), F.lit(1)).cast("int").alias("measure_id"),
+        F.year("download_date").alias("year"),
+        F.month("download_date").alias("month"),
+        "download_date",
+    )
+
+
 def measures_upload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All line items as one file of today, with the attributes of their members."""
+    line = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linestatus")
+    order = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    members = customers(spark, sf_dir, "c_custkey")
     return (
-        measure_rows(spark, sf_dir)
+        line.join(order, line.l_orderkey == order.o_orderkey)
+        .join(members, F.col("o_custkey") == F.col("c_custkey"))
         .select(
-            member_id("o_custkey").alias("cin"),
-            "measure_id",
-            "is_compliant",
+            "cin",
+            F.split_part("o_orderpriority", F.lit("-"), F.lit(1)).cast("int").alias("measure_id"),
+            (F.col("l_linestatus") == "F").cast("int").alias("is_compliant"),
             F.lit(YEAR).alias("year"),
             F.lit(MONTH).alias("month"),
             F.lit(AS_OF).alias("download_date"),
+            "clinic_id", "first_name", "last_name", "dob",
+            F.lit(0).alias("new_member"),
         )
-        .join(customers(spark, sf_dir), "cin")
-        .withColumn("new_member", F.lit(0))
     )
 
 
@@ -259,6 +271,44 @@ def match_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _letters(first: int, size: int, salt: str = "") -> Column:
+    """Letters that a part's key stands for; different keys give unlike texts."""
+    code = F.md5(F.concat(F.col("p_partkey").cast("string"), F.lit(salt)))
+    return F.substring(F.translate(code, "0123456789abcdef", "aeioulnrstbdmkpv"), first, size)
+
+
+def block_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every part as a member, born on one of two days."""
+    return table(spark, sf_dir, "part").select(
+        member_id("p_partkey").alias("cin"),
+        F.lit(None).cast("string").alias("epic_pat_id"),
+        F.when(F.col("p_brand") < "Brand#2", F.lit(dt.date(1990, 1, 1))).otherwise(F.lit(dt.date(1990, 1, 2))).alias("dob"),
+        _letters(1, 7).alias("first_name"),
+        _letters(8, 9).alias("last_name"),
+    )
+
+
+def block_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every part as a patient: a letter short, flipped, with further names, two letters more, another person, two letters changed."""
+    kind, first, last = F.col("p_type"), _letters(1, 7), _letters(8, 9)
+
+    def by_kind(short: Column, flipped: Column, further: Column, more: Column, other: Column, changed: Column) -> Column:
+        cases = zip(("ECONOMY", "SMALL", "MEDIUM", "PROMO", "STANDARD"), (short, flipped, further, more, other), strict=True)
+        return F.coalesce(*[F.when(kind == name, value) for name, value in cases], changed)
+
+    return table(spark, sf_dir, "part").select(
+        F.concat(F.lit("E"), "p_partkey").alias("pat_id"),
+        F.concat(F.lit("n"), "p_partkey").alias("pat_name"),
+        by_kind(first, last, F.concat(first, F.lit(" "), "p_name"), F.concat(F.lit("x"), first), _letters(1, 7, "o"), first).alias("pat_first_name"),
+        by_kind(
+            F.substring(last, 2, 8), first, F.concat(last, F.lit(" "), "p_name"), F.concat(last, F.lit("x")), _letters(8, 9, "o"),
+            F.concat(F.substring(last, 1, 3), F.lit("yy"), F.substring(last, 6, 4))).alias("pat_last_name"),
+        F.when(F.col("p_brand") < "Brand#2", F.lit(dt.date(1990, 1, 1))).otherwise(F.lit(dt.date(1990, 1, 2))).alias("birth_date"),
+        F.col("p_retailprice").alias("update_date"),
+        F.col("p_partkey").alias("rec_create_date"),
+    )
+
+
 def linked_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every customer as a member linked to an external id."""
     return table(spark, sf_dir, "customer").select(
@@ -334,10 +384,10 @@ def _roster_sql(year: int, month: int) -> str:
       JOIN customers c USING (cin)"""
 
 
-def _membership_sql(year: int, month: int, status: str | None = None) -> str:
+def _membership_sql(year: int, month: int, finished: bool = False) -> str:
     start = dt.date(year, month, 1)
     before = dt.date(year - (month == 1), (month - 2) % 12 + 1, 1)
-    state = f"AND o_orderstatus = '{status}'" if status else ""
+    having = "HAVING bool_or(o_orderstatus = 'F')" if finished else ""
     return f"""
       SELECT s.*, c.* EXCLUDE (cin), 0 AS new_member,
              CAST({month - 1} - months_enrolled AS INTEGER) AS months_missed, 1 AS is_qip_eligible
@@ -349,8 +399,8 @@ def _membership_sql(year: int, month: int, status: str | None = None) -> str:
                    max(CAST(o_orderdate AS DATE)) AS download_date,
                    CAST(max(o_orderkey) AS VARCHAR) AS record_number
             FROM orders
-            WHERE o_orderdate < DATE '{start}' {state}
-            GROUP BY o_custkey) s
+            WHERE o_orderdate < DATE '{start}'
+            GROUP BY o_custkey {having}) s
       JOIN customers c USING (cin)"""
 
 
@@ -380,14 +430,13 @@ SQL = {
     "january": _roster_sql(YEAR, 1),
     "base": _membership_sql(YEAR, MONTH),
     "base_january": _membership_sql(YEAR, 1),
-    "finished_members": _membership_sql(YEAR, MONTH + 1, "F"),
+    "finished_members": _membership_sql(YEAR, MONTH + 1, finished=True),
     "history": """
       SELECT to_base(o_custkey, 36, 10) AS cin, CAST(c_nationkey AS INTEGER) AS clinic_id,
              CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
              1 AS is_qip_eligible, max(CAST(o_orderdate AS DATE)) AS download_date
       FROM orders JOIN customer ON o_custkey = c_custkey
-      WHERE o_orderstatus = 'F' AND o_orderpriority <> '1-URGENT'
-      GROUP BY ALL""",
+      GROUP BY ALL HAVING bool_or(o_orderstatus = 'F' AND o_orderpriority <> '1-URGENT')""",
     "measure_rows": f"""
       SELECT o_custkey, CAST(c_nationkey AS INTEGER) AS clinic_id, {_MEASURE_ID} AS measure_id,
              CAST(year(l_shipdate) AS INTEGER) AS year, CAST(month(l_shipdate) AS INTEGER) AS month,
@@ -446,6 +495,28 @@ SQL = {
       FROM customer JOIN nation ON c_nationkey = n_nationkey""",
 }
 
+_BLOCK_NAMES = """
+      SELECT p_partkey, p_name, p_type, p_retailprice,
+             CASE WHEN p_brand < 'Brand#2' THEN DATE '1990-01-01' ELSE DATE '1990-01-02' END AS day,
+             translate(md5(CAST(p_partkey AS VARCHAR)), '0123456789abcdef', 'aeioulnrstbdmkpv') AS w,
+             translate(md5(p_partkey || 'o'), '0123456789abcdef', 'aeioulnrstbdmkpv') AS o
+      FROM part"""
+
+SQL["block_members"] = f"""
+      SELECT to_base(p_partkey, 36, 10) AS cin, CAST(NULL AS VARCHAR) AS epic_pat_id, day AS dob,
+             substr(w, 1, 7) AS first_name, substr(w, 8, 9) AS last_name FROM ({_BLOCK_NAMES})"""
+SQL["block_patients"] = f"""
+      SELECT 'E' || p_partkey AS pat_id, 'n' || p_partkey AS pat_name, day AS birth_date,
+             CASE p_type WHEN 'SMALL' THEN substr(w, 8, 9) WHEN 'MEDIUM' THEN substr(w, 1, 7) || ' ' || p_name
+                         WHEN 'PROMO' THEN 'x' || substr(w, 1, 7) WHEN 'STANDARD' THEN substr(o, 1, 7)
+                         ELSE substr(w, 1, 7) END AS pat_first_name,
+             CASE p_type WHEN 'ECONOMY' THEN substr(w, 9, 8) WHEN 'SMALL' THEN substr(w, 1, 7)
+                         WHEN 'MEDIUM' THEN substr(w, 8, 9) || ' ' || p_name WHEN 'PROMO' THEN substr(w, 8, 9) || 'x'
+                         WHEN 'STANDARD' THEN substr(o, 8, 9)
+                         ELSE substr(w, 8, 3) || 'yy' || substr(w, 13, 4) END AS pat_last_name,
+             p_retailprice AS update_date, p_partkey AS rec_create_date
+      FROM ({_BLOCK_NAMES})"""
+
 _USES = {
     "incoming": ["customers"], "january": ["customers"], "base": ["customers"],
     "base_january": ["customers"], "finished_members": ["customers"],

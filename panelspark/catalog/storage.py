@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from panelspark.catalog import roles
@@ -14,15 +16,15 @@ from panelspark.functions import text as X
 from panelspark.operators.latest import first_per_group
 from panelspark.plans.audit import audit_row
 from panelspark.plans.measures_file import MeasureTables, run_measures_file
-from panelspark.plans.roster_month import RosterTables, mapped_roster, processed_rows, run_roster_month
+from panelspark.plans.roster_month import RosterTables, mapped_roster, month_columns, processed_rows, run_roster_month, scanned_rows
 from panelspark.schemas import MEMBERSHIP_LOG, PROCESSED_FIELDS, SHEET_TO_MEASURES
 from panelspark.session import shared_folder
 from panelspark.sources import tables
 from panelspark.sources.delimited import read_processed, staged_roster, write_roster
-from panelspark.sources.files import file_batches, file_list, file_name
+from panelspark.sources.files import file_batches, file_list, oldest_and_newest, rows_by_file, with_provenance
 from panelspark.sources.html import html_rows
-from panelspark.sources.sheets import read_sheets, sheet_rows, staged_measures
-from panelspark.streaming.backlog import run_backlog
+from panelspark.sources.sheets import read_sheets, scan_sheets, sheet_rows, staged_measures
+from panelspark.streaming.backlog import run_backlog, upload_backlog
 
 # Rows per file; files hold a range of keys, so that their number grows with the table.
 _FILE_ROWS = 50_000
@@ -84,9 +86,7 @@ def _roster_pages(spark, sf_dir):
 
 
 
-@register(
-    "roster_pages",
-    r"""
+_ROSTER_PAGES = r"""
     SELECT cin AS "BIC_HIK", n_name AS "Clinic", 'O''''' || c_name AS "LastName",
            CASE sex_code WHEN 'F' THEN 'Female' WHEN 'M' THEN 'Male' ELSE sex_code END AS "Sex",
            '1990-02-28' AS "DOB", CASE WHEN mark = '*' THEN 'TRUE' ELSE 'FALSE' END AS "NewMember",
@@ -96,9 +96,10 @@ def _roster_pages(spark, sf_dir):
                    || CASE WHEN line2 IS NULL OR line2 = '-' THEN '' ELSE trim(line2) END, '''', '''''') AS "Address",
            CAST(NULL AS VARCHAR) AS "OtherInsurance", 1 AS "SpecialMemberFlag",
            printf('%s_%02d-%d', n_name, 7, 2001) AS period
-    FROM (SELECT *, regexp_replace(coalesce(phone_raw, 'nan'), '\W+', '', 'g') AS p FROM contacts)""",
-    ("contacts",),
-)
+    FROM (SELECT *, regexp_replace(coalesce(phone_raw, 'nan'), '\W+', '', 'g') AS p FROM contacts)"""
+
+
+@register("roster_pages", _ROSTER_PAGES, ("contacts",))
 def roster_pages(spark, sf_dir):
     every = roles.clinics(spark, sf_dir).withColumn("is_active", F.lit(1))
     return processed_rows(_roster_pages(spark, sf_dir), every).select(
@@ -107,6 +108,23 @@ def roster_pages(spark, sf_dir):
     )
 
 
+@register("roster_pages_split", _ROSTER_PAGES, ("contacts",))
+def roster_pages_split(spark, sf_dir):
+    """The same pages as files that the reader cuts at row ends."""
+    every = roles.clinics(spark, sf_dir).withColumn("is_active", F.lit(1))
+    pages, folder = _roster_pages(spark, sf_dir), shared_folder(spark, "pages")
+    number = F.row_number().over(Window.partitionBy("path").orderBy("html")).cast("string")
+    named = pages.select("html", F.replace(F.split_part("path", F.lit("/"), F.lit(2)), F.lit("_1_"), F.concat(F.lit("_"), number, F.lit("_"))).alias("file"))
+    named.repartition("file").write.partitionBy("file").text(f"{folder}/written")
+    for row in file_list(spark, f"{folder}/written", ".txt", recursive=True).select("path").collect():  # as many as sites and blocks
+        source, fs = tables.file_system(spark, row.path)
+        fs.rename(source, tables.file_system(spark, f"{folder}/{source.getParent().getName().split('=', 1)[1]}")[0])
+    return scanned_rows(spark, folder, every).select(
+        "BIC_HIK", "Clinic", "LastName", "Sex", "DOB", "NewMember", "PhoneNumber", "Address",
+        "OtherInsurance", "SpecialMemberFlag", "period",
+    )
+
+
 @register(
     "roster_dedupe_union",
     """
@@ -139,9 +157,82 @@ def batches(spark, sf_dir):
     return file_batches(files, "site", "year", "month")
 
 
-@register("file_inventory")
-def file_inventory(spark, sf_dir):
-    return file_list(spark, sf_dir, ".parquet").select(file_name(F.col("path")).alias("file"), "length")
+@register(
+    "file_accounting",
+    """
+    WITH site_rows AS (
+      SELECT c_nationkey AS site, count(*) AS row_count, CAST(max(o_orderdate) AS DATE) AS day
+      FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL)
+    SELECT site, row_count, CAST(day AS VARCHAR) AS download_date, CAST(year(day) AS INTEGER) AS year, CAST(month(day) AS INTEGER) AS month,
+           row_count AS rows_in_file, 1 AS is_listed,
+           CASE WHEN row_number() OVER (ORDER BY day, 'site=' || site || '/') = 1 THEN 1 ELSE 0 END AS is_oldest,
+           CASE WHEN row_number() OVER (ORDER BY day DESC, 'site=' || site || '/' DESC) = 1 THEN 1 ELSE 0 END AS is_newest,
+           (SELECT count(*) FROM site_rows) AS file_count
+    FROM site_rows""",
+)
+def file_accounting(spark, sf_dir):
+    """Orders written to a file per site, dated by its last order, and accounted for file by file."""
+    customer = roles.table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("site"))
+    rows = roles.table(spark, sf_dir, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        "site", "o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
+    expected = rows.groupBy("site").agg(F.count("*").alias("row_count"), F.max("day").alias("day"))
+    folder = shared_folder(spark, "site-files")
+    rows.repartition("site").write.partitionBy("site").option("header", True).csv(folder)
+    listed = file_list(spark, folder, ".csv", recursive=True).drop("site")
+    site = F.regexp_extract("path", "site=([0-9]+)/", 1).cast("int")
+    days = {r.site: r.day for r in expected.select("site", "day").collect()}  # as many as there are files
+    for row in listed.select("path", site.alias("site")).collect():
+        _date_file(spark, row.path, days[row.site])
+    listed = file_list(spark, folder, ".csv", recursive=True).drop("site")
+    ends = oldest_and_newest(listed).first()
+    scan = with_provenance(spark.read.option("recursiveFileLookup", "true").option("header", True).csv(folder).select("*", "_metadata"))
+    dates = scan.select(F.col("_metadata.file_path").alias("path"), "download_date", "year", "month").distinct()
+    found = rows_by_file(scan).join(dates, "path").select(
+        site.alias("site"), F.col("row_count").alias("rows_in_file"), "download_date", "year", "month",
+        (site == _site_of(ends.oldest)).cast("int").alias("is_oldest"),
+        (site == _site_of(ends.newest)).cast("int").alias("is_newest"),
+        F.lit(ends.file_count).cast("long").alias("file_count"))
+    in_list = listed.select(site.alias("site"), F.lit(1).alias("is_listed"))
+    return found.join(in_list, "site").join(expected.select("site", "row_count"), "site")
+
+
+def _date_file(spark, path, day, minute=0):
+    path, fs = tables.file_system(spark, path)
+    fs.setTimes(path, int(dt.datetime.combine(day, dt.time(12, minute), dt.UTC).timestamp() * 1000), -1)
+
+
+def _site_of(path):
+    return int(path.split("site=", 1)[1].split("/", 1)[0])
+
+
+@register(
+    "month_columns",
+    """
+    WITH listed AS (
+      SELECT to_base(o_custkey, 36, 10) AS member, month(o_orderdate) AS m,
+             n_name || CASE r_name WHEN 'AFRICA' THEN ' CCS' WHEN 'ASIA' THEN ' Capitated' ELSE '' END AS site
+      FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+      WHERE year(o_orderdate) = 2000)
+    SELECT member AS "BIC_HIK", site AS "Clinic",
+    """
+    + ", ".join(
+        f"max(CASE WHEN m = {i} THEN 1 ELSE 0 END) AS \"{name}\""
+        for i, name in enumerate(["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"], 1)
+    )
+    + """, CASE WHEN site LIKE '%CCS%' OR site LIKE '%Capitated%' THEN 0 ELSE 1 END AS "SpecialMemberFlag"
+    FROM listed GROUP BY member, site""",
+)
+def month_columns_of_year(spark, sf_dir):
+    """The rosters of a year side by side, special sites among them."""
+    customer, clinics = roles.table(spark, sf_dir, "customer"), roles.clinics(spark, sf_dir)
+    kind = F.when(F.col("county") == "AFRICA", " CCS").when(F.col("county") == "ASIA", " Capitated").otherwise("")
+    site = F.concat("clinic_key", kind)
+    seen = roles.orders(spark, sf_dir, dt.date(2000, 1, 1), dt.date(2001, 1, 1)).withColumn("file_month", F.month("day"))
+    members = customer.join(clinics, F.col("c_nationkey") == F.col("id")).select(
+        roles.member_id("c_custkey").alias("cin"), site.alias("Clinic"))
+    rows = seen.join(members, "cin").select(
+        F.col("cin").alias("BIC_HIK"), "Clinic", "file_month", F.lit(1).alias("Month"), X.special_member(F.col("Clinic")).alias("SpecialMemberFlag"))
+    return month_columns(rows, "file_month")
 
 
 def _processed(spark, sf_dir):
@@ -227,6 +318,15 @@ _SHEET_ROWS = r"""
     FROM contacts JOIN nation USING (n_name) JOIN region ON n_regionkey = r_regionkey"""
 
 
+@register("sheet_scan_split", f"SELECT * EXCLUDE (county) FROM ({_SHEET_ROWS})", ("contacts",))
+def sheet_scan_split(spark, sf_dir):
+    """The same sheets read line by line."""
+    rows = staged_measures(scan_sheets(spark, _write_sheets(spark, sf_dir)))
+    return rows.select(
+        "cin", "clinic_text", "first_name", "sex", "new_member", "dob", "phone_number", "is_compliant"
+    )
+
+
 @register("sheet_scan", f"SELECT * EXCLUDE (county) FROM ({_SHEET_ROWS})", ("contacts",))
 def sheet_scan(spark, sf_dir):
     rows = staged_measures(sheet_rows(read_sheets(spark, _write_sheets(spark, sf_dir))))
@@ -246,9 +346,9 @@ def backlog_stream(spark, sf_dir):
     out = shared_folder(spark, "backlog-rows")
 
     def keep(batch, batch_id):
-        batch.select("cin", "path", "is_compliant").write.mode("append").parquet(out)
+        batch.select("cin", "path", "is_compliant").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    run_backlog(spark, _write_sheets(spark, sf_dir), keep)
+    run_backlog(spark, _write_sheets(spark, sf_dir), keep, shared_folder(spark, "backlog-checkpoint"))
     county = F.regexp_extract("path", r"sheet=([^-/]*)-", 1)
     return (
         spark.read.parquet(out)
@@ -257,6 +357,48 @@ def backlog_stream(spark, sf_dir):
     )
 
 
+@register(
+    "backlog_job",
+    f"""
+    SELECT n_nationkey AS clinic_id, count(*) AS measure_rows, CAST(sum(is_compliant) AS BIGINT) AS numerator,
+           count(*) AS history_rows, count(*) AS members,
+           (SELECT count(DISTINCT c_custkey // {_FILE_ROWS} || r_name) FROM customer JOIN nation ON c_nationkey = n_nationkey
+            JOIN region ON n_regionkey = r_regionkey) AS uploads
+    FROM ({_SHEET_ROWS.replace("SELECT cin,", "SELECT CAST(n_nationkey AS INTEGER) AS n_nationkey, cin,", 1)}) GROUP BY n_nationkey""",
+    ("contacts",),
+)
+def backlog_job(spark, sf_dir):
+    """All waiting sheets of one minute, one of them uploaded twice: the stream dies behind its publication."""
+    folder = _seeded(spark, sf_dir, MONTH + 1, finished=True)
+    stored = MeasureTables(*(f"{folder}/{n}" for n in ("membership", "history", "measures", "summary", "log")))
+    tables.append_history(roles.history(spark, sf_dir).withColumn("run", F.lit("seed")), stored.history, ("year", "month", "run"))
+    clinics = roles.clinics(spark, sf_dir).withColumn("is_active", F.lit(1))
+    sheets, checkpoint = _write_sheets(spark, sf_dir), shared_folder(spark, "backlog-checkpoint")
+    for minute, row in enumerate(file_list(spark, sheets, ".txt", recursive=True).select("path").collect()):  # as many as sheets
+        _date_file(spark, row.path, AS_OF, minute % 60)
+    run_at, published = dt.datetime.combine(AS_OF, dt.time(9)), []
+
+    def after(path, _):
+        published.append(path)
+        if len(published) == 1:
+            raise InterruptedError("published, and not yet recorded by the stream")
+
+    def upload():
+        upload_backlog(spark, sheets, checkpoint, clinics, roles.measures_map(spark, sf_dir), stored, lambda: run_at, after)
+
+    try:
+        upload()
+    except StreamingQueryException:
+        upload()
+    measures = spark.read.parquet(stored.measures)
+    by_clinic = measures.groupBy("clinic_id").agg(F.count("*").alias("measure_rows"), F.sum("is_compliant").cast("long").alias("numerator"))
+    of_month = (F.col("year") == YEAR) & (F.col("month") == MONTH)
+    recorded = spark.read.parquet(stored.history).where(of_month).groupBy("clinic_id").agg(F.count("*").alias("history_rows"))
+    members = tables.read_version(spark, stored.membership).groupBy("clinic_id").agg(F.count("*").alias("members"))
+    uploads = measures.select("run").distinct().count()
+    return by_clinic.join(recorded, "clinic_id").join(members, "clinic_id").withColumn("uploads", F.lit(uploads).cast("long"))
+
+
 @register(
     "report_sheet",
     """
@@ -286,10 +428,10 @@ def history_partitions(spark, sf_dir):
     return stored.where(F.col("year") == YEAR).select("cin", "clinic_id", "is_qip_eligible", "download_date")
 
 
-def _seeded(spark, sf_dir, month, status=None):
+def _seeded(spark, sf_dir, month, finished=False):
     """A published membership of the month and empty histories in a new folder."""
     folder = shared_folder(spark, "job")
-    seed = roles.membership(spark, sf_dir, YEAR, month, status)
+    seed = roles.membership(spark, sf_dir, YEAR, month, finished)
     tables.write_version(seed, f"{folder}/membership", 1)
     tables.publish(spark, f"{folder}/membership", 1)
     return folder
@@ -322,7 +464,7 @@ def roster_job(spark, sf_dir):
     ("upload",),
 )
 def measures_job(spark, sf_dir):
-    folder = _seeded(spark, sf_dir, MONTH + 1, "F")
+    folder = _seeded(spark, sf_dir, MONTH + 1, finished=True)
     clinics = roles.clinics(spark, sf_dir).withColumn("is_active", F.lit(1))
     measures_map = roles.measures_map(spark, sf_dir)
     staged = (

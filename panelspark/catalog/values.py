@@ -54,6 +54,38 @@ def map_last_contains(spark, sf_dir):
     return _map_sites(spark, sf_dir, last=True)
 
 
+def _many_keys(spark, sf_dir):
+    """Four digits of each part's key, some missing; their values and order, some missing too."""
+    part = roles.table(spark, sf_dir, "part")
+    digits = F.right(F.lpad(F.col("p_partkey").cast("string"), 9, "0"), F.lit(4))
+    return part.select(
+        F.when(F.col("p_brand") != "Brand#3", digits).alias("code"),
+        F.when(F.col("p_type") != "PROMO", F.concat("p_name", F.lit(" "), "p_partkey")).alias("name"),
+        F.when(F.col("p_size") != 7, F.col("p_retailprice") * 1000 + F.col("p_partkey")).alias("place"),
+    )
+
+
+@register(
+    "map_contained_many",
+    """
+    WITH codes AS (
+      SELECT CASE WHEN p_brand <> 'Brand#3' THEN right(lpad(CAST(p_partkey AS VARCHAR), 9, '0'), 4) END AS code,
+             CASE WHEN p_type <> 'PROMO' THEN p_name || ' ' || p_partkey END AS name,
+             CASE WHEN p_size <> 7 THEN p_retailprice * 1000 + p_partkey END AS place
+      FROM part),
+    hits AS (SELECT c_custkey, code, name, place FROM customer JOIN codes ON contains(c_name, code)),
+    firsts AS (SELECT c_custkey, name FROM hits QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY place NULLS FIRST, code) = 1),
+    lasts AS (SELECT c_custkey, name FROM hits QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY place DESC NULLS LAST, code DESC) = 1)
+    SELECT c_custkey, f.name AS first_name, l.name AS last_name
+    FROM customer LEFT JOIN firsts f USING (c_custkey) LEFT JOIN lasts l USING (c_custkey)""",
+)
+def map_contained_many(spark, sf_dir):
+    """A map of thousands of keys in the scan of the texts."""
+    texts, codes = roles.table(spark, sf_dir, "customer").select("c_custkey", "c_name"), _many_keys(spark, sf_dir)
+    labelled = lookup.map_contained(texts, "c_name", codes, "code", "name", "first_name", order="place")
+    return lookup.map_contained(labelled, "c_name", codes, "code", "name", "last_name", order="place", last=True).drop("c_name")
+
+
 def _measure_texts(spark, sf_dir):
     return roles.table(spark, sf_dir, "orders").select(
         "o_orderkey",

@@ -8,12 +8,13 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from panelspark.functions.dates import name_period
-from panelspark.operators.keys import coverage, except_keys
+from panelspark.operators.keys import coverage
 from panelspark.schemas import Constraints
 from panelspark.session import materialize, shared_folder
 
@@ -93,11 +94,8 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("copies")).where(F.col("copies") > 1)
 
 
-def row_violations(df: DataFrame, rules: Constraints) -> DataFrame:
-    """Broken NOT NULL and length rules as ``(rule, column_name, key_value)`` rows.
-
-    All rules are tested in the same scan, without a shuffle.
-    """
+def _row_rules(df: DataFrame, rules: Constraints) -> list[Column]:
+    """A struct of rule and column for each broken NOT NULL and length rule of a row, else NULL."""
     checks = [(F.col(c).isNull(), "not_null", c) for c in rules.not_null if c in df.columns]
     checks += [
         (F.length(F.col(c)) > n, "max_length", c) for c, n in rules.max_length.items() if c in df.columns
@@ -107,13 +105,23 @@ def row_violations(df: DataFrame, rules: Constraints) -> DataFrame:
         for c, n in rules.exact_length.items()
         if c in df.columns
     ]
-    found = [
+    return [
         F.when(test, F.struct(F.lit(rule).alias("rule"), F.lit(column).alias("column_name")))
         for test, rule, column in checks
     ]
-    key = F.concat_ws("|", *[F.col(c).cast("string") for c in rules.key])
+
+
+def _key_text(rules: Constraints) -> Column:
+    return F.concat_ws("|", *[F.col(c).cast("string") for c in rules.key])
+
+
+def row_violations(df: DataFrame, rules: Constraints) -> DataFrame:
+    """Broken NOT NULL and length rules as ``(rule, column_name, key_value)`` rows.
+
+    All rules are tested in the same scan, without a shuffle.
+    """
     return (
-        df.select(key.alias("key_value"), F.explode(F.array_compact(F.array(*found))).alias("v"))
+        df.select(_key_text(rules).alias("key_value"), F.explode(F.array_compact(F.array(*_row_rules(df, rules)))).alias("v"))
         .select("v.rule", "v.column_name", "key_value")
     )
 
@@ -121,25 +129,34 @@ def row_violations(df: DataFrame, rules: Constraints) -> DataFrame:
 def constraint_violations(
     df: DataFrame, rules: Constraints, references: dict[str, tuple[DataFrame, str]] | None = None
 ) -> DataFrame:
-    """Primary key, foreign key, NOT NULL and length rules of a staging table."""
-    key = F.concat_ws("|", *[F.col(c).cast("string") for c in rules.key])
-    result = row_violations(df, rules).unionByName(
-        duplicate_keys(df, rules.key).select(
-            F.lit("primary_key").alias("rule"),
-            F.lit(",".join(rules.key)).alias("column_name"),
-            key.alias("key_value"),
-        )
-    )
-    for column, (table, target) in (references or {}).items():
-        lost = except_keys(df.dropna(subset=[column]), table.select(F.col(target).alias(column)), [column])
-        result = result.unionByName(
-            lost.select(
-                F.lit("foreign_key").alias("rule"),
-                F.lit(column).alias("column_name"),
-                F.col(column).cast("string").alias("key_value"),
-            )
-        )
-    return result
+    """Primary key, foreign key, NOT NULL and length rules of a staging table.
+
+    The table is read once. Each row gives its broken rules, its key and its references; all are counted
+    by one aggregate, which combines on the map side, so that a reference costs a row per
+    value and map task. Keys that occur once and references that are known drop out behind it.
+    """
+    def fact(rule: Column | str, column: Column | str, value: Column, identity: Column | None = None) -> Column:
+        rule, column = (F.lit(x) if isinstance(x, str) else x for x in (rule, column))
+        identity = F.lit(None) if identity is None else identity
+        return F.struct(
+            rule.alias("rule"), column.alias("column_name"), value.alias("key_value"), identity.cast("array<string>").alias("identity"))
+
+    key = _key_text(rules)
+    facts = [F.when(r.isNotNull(), fact(r["rule"], r["column_name"], key)) for r in _row_rules(df, rules)]
+    facts.append(fact("primary_key", ",".join(rules.key), key, F.array(*[F.col(c).cast("string") for c in rules.key])))
+    facts += [F.when(F.col(c).isNotNull(), fact("foreign_key", c, F.col(c).cast("string"))) for c in references or {}]
+    name = ["rule", "column_name", "key_value"]
+    counted = df.select(F.inline(F.array_compact(F.array(*facts)))).groupBy(*name, "identity").agg(F.count("*").alias("n"))
+    counted = counted.where((F.col("rule") != "primary_key") | (F.col("n") > 1))
+    known = [
+        table.select(F.lit("foreign_key").alias("rule"), F.lit(column).alias("column_name"), F.col(target).cast("string").alias("key_value"))
+        for column, (table, target) in (references or {}).items()
+    ]
+    if known:
+        counted = counted.join(reduce(DataFrame.unionAll, known).dropna().distinct(), name, "left_anti")
+    # A broken row rule counts for each row, a repeated key or an unknown reference once.
+    times = F.when(F.col("rule").isin("primary_key", "foreign_key"), F.lit(1)).otherwise(F.col("n").cast("int"))
+    return counted.select(*name, F.explode(F.array_repeat(F.lit(0), times)).alias("_time")).drop("_time")
 
 
 def row_counts(**frames: DataFrame) -> DataFrame:

@@ -24,15 +24,21 @@ def latest_version(
     return first_per_group(df, keys, order)
 
 
-def retain_latest(df: DataFrame, groups: Sequence[str], day: str) -> DataFrame:
+def last_dates(df: DataFrame, groups: Sequence[str], day: str) -> DataFrame:
+    """The last date of each group, from an aggregate that combines on the map side."""
+    return df.groupBy(*groups).agg(F.max(day).alias("last_date"))
+
+
+def retain_latest(df: DataFrame, groups: Sequence[str], day: str, dates: DataFrame | None = None) -> DataFrame:
     """Keep the rows of each group's last date.
 
     A group may hold a large share of all rows, so its last date comes from an aggregate
-    and not from a window over the group. The aggregate is stored, so that its size check
-    and its join compute it once, and joins by broadcast if small.
+    and not from a window over the group. ``dates`` gives it where a caller has it from fewer columns or
+    joins, or keeps it. The aggregate is stored, so that its size check and its join compute it once,
+    and joins by broadcast if small.
     """
-    dates = df.groupBy(*groups).agg(F.max(day).alias("_last"))
-    last = broadcast_if_small(materialize(dates, "last-dates"))
+    dates = materialize(last_dates(df, groups, day) if dates is None else dates, "last-dates")
+    last = broadcast_if_small(dates.select(*groups, F.col("last_date").alias("_last")))
     return df.join(last, list(groups)).where(F.col(day) == F.col("_last")).drop("_last")
 
 

@@ -36,27 +36,29 @@ def map_contained(
     order: str | None = None,
     last: bool = False,
     max_keys: int = 200,
+    max_cells: int = 1 << 21,
 ) -> DataFrame:
     """The value of the first (or ``last``) map key that occurs in a text, else NULL.
 
     Keys rank by ``order``, which defaults to the value, then by the key; a NULL order ranks
     lowest. A NULL key occurs in no text, and a key that is found gives its value also where that is NULL. Up to
-    ``max_keys`` keys the map turns into one conditional expression, so rows are labelled in
-    their scan, without a shuffle. A larger map is joined on the substrings of the distinct
-    texts; both plans give the same labels.
+    ``max_keys`` keys the map turns into one conditional expression. A larger one becomes an automaton that
+    reads each text once for all keys; both label rows in their scan, without a shuffle. A map
+    whose automaton passes ``max_cells`` transitions is joined on the substrings of the
+    distinct texts. All plans give the same labels.
     """
     ranked = mapping.where(F.col(key).isNotNull()).select(key, value, F.col(order or value).alias("_order"))
-    few = ranked.limit(max_keys + 1).collect()
-    if len(few) <= max_keys:
-        few = [r for r in few if r["_order"] is None], [r for r in few if r["_order"] is not None]
-        few = [r for part in few for r in sorted(part, key=lambda r: (r["_order"], r[key]) if r["_order"] is not None else r[key])]
-        kind = mapping.schema[value].dataType
-        hits = [
-            F.when(F.col(text).contains(row[key]), F.struct(F.lit(row[value]).cast(kind).alias("v")))
-            for row in (reversed(few) if last else few)
-        ]
-        nothing = F.lit(None).cast(T.StructType([T.StructField("v", kind)]))
-        return df.withColumn(out, F.coalesce(*hits, nothing)["v"])
+    keys = ranked.limit(max_cells // 8 + 1).collect()
+    if len(keys) <= max_cells // 8:
+        keys = sorted(keys, key=lambda r: (r["_order"] is not None, r["_order"] if r["_order"] is not None else 0, r[key]))
+        if len(keys) <= max_keys:
+            return df.withColumn(out, _first_of_few(keys, mapping.schema[value].dataType, text, key, value, last))
+        automaton = key_automaton([r[key] for r in keys], last, max_cells)
+        if automaton is not None:
+            values = [(rank, r[value]) for rank, r in enumerate(keys)]
+            kind = T.StructType([T.StructField("_rank", T.IntegerType()), T.StructField(out, mapping.schema[value].dataType)])
+            labels = F.broadcast(df.sparkSession.createDataFrame(values, kind))  # no more rows than max_cells / 8
+            return df.withColumn("_rank", walk(text, *automaton, last)).join(labels, "_rank", "left").drop("_rank")
     by_text = _contained_by_substring(df, text, ranked, key, value, last)
     found = broadcast_if_small(materialize(by_text, "text-labels"))
     return (
@@ -66,6 +68,72 @@ def map_contained(
     )
 
 
+def _first_of_few(keys: list, kind: T.DataType, text: str, key: str, value: str, last: bool) -> Column:
+    hits = [
+        F.when(F.col(text).contains(row[key]), F.struct(F.lit(row[value]).cast(kind).alias("v")))
+        for row in (reversed(keys) if last else keys)
+    ]
+    nothing = F.lit(None).cast(T.StructType([T.StructField("v", kind)]))
+    return F.coalesce(*hits, nothing)["v"]
+
+
+def key_automaton(keys: list[str], last: bool, max_cells: int) -> tuple[str, list[int], list[int]] | None:
+    """An automaton that finds the best of many keys in one reading of a text; None if it has too many cells.
+
+    Gives the letters that occur in keys, the transitions (state by state, one for each letter behind
+    one for all others) and for each state the best rank of a key that ends there, -1 if none does.
+    """
+    alphabet = "".join(sorted({c for k in keys for c in k}))
+    classes, width = {c: i + 1 for i, c in enumerate(alphabet)}, len(alphabet) + 1
+    children: list[dict[int, int]] = [{}]
+    best: list[int] = [-1]
+
+    def better(a: int, b: int) -> int:
+        return max(a, b) if last or min(a, b) < 0 else min(a, b)
+
+    for rank, key in enumerate(keys):
+        state = 0
+        for c in key:
+            state = children[state].setdefault(classes[c], len(children))
+            if state == len(children):
+                children.append({})
+                best.append(-1)
+                if len(children) * width > max_cells:
+                    return None
+        best[state] = better(best[state], rank)
+    # Breadth first: where no key goes on, a state behaves like its longest proper end that begins a key.
+    steps: list[list[int]] = [[]] * len(children)
+    steps[0] = [children[0].get(c, 0) for c in range(width)]
+    waiting = [(child, 0) for child in children[0].values()]
+    for state, end in waiting:
+        best[state] = better(best[state], best[end])
+        steps[state] = [children[state].get(c, steps[end][c]) for c in range(width)]
+        waiting += [(child, steps[end][c]) for c, child in children[state].items()]
+    return alphabet, [s for row in steps for s in row], best
+
+
+def walk(text: str, alphabet: str, steps: list[int], best: list[int], last: bool) -> Column:
+    """The best rank that an automaton meets in a text, NULL if none or no text."""
+
+    def numbers(values: list[int]) -> Column:  # folds to one literal
+        return F.split(F.lit(",".join(map(str, values))), ",").cast("array<int>")
+
+    table, ends, width = numbers(steps), numbers(best), len(alphabet) + 1
+    letters = F.filter(F.split(F.col(text), ""), lambda c: c != "")  # an empty text splits into one
+    read = F.transform(letters, lambda c: F.position(c, F.lit(alphabet)))
+
+    def step(at: Column, c: Column) -> Column:
+        state = F.get(table, at["state"] * width + c)
+        end = F.get(ends, state)
+        kept = F.greatest(at["best"], end)
+        if not last:
+            kept = F.when(F.least(at["best"], end) >= 0, F.least(at["best"], end)).otherwise(kept)
+        return F.struct(state.alias("state"), kept.alias("best"))
+
+    start = F.struct(F.lit(0).alias("state"), F.lit(best[0]).alias("best"))
+    return F.nullif(F.aggregate(read, start, step, lambda at: at["best"]), F.lit(-1))
+
+
 def _contained_by_substring(
     df: DataFrame, text: str, ranked: DataFrame, key: str, value: str, last: bool
 ) -> DataFrame:

@@ -9,11 +9,10 @@ found by equality joins:
 
 * A block (one date of birth) whose pairs stay within a fixed number per name is joined
   whole, spread over as many salts as it needs.
-* A larger block is joined on name tokens, for the agreeing names, and on name segments, for
+* A larger block is joined on name tokens, for the agreeing names, and on grams of three characters, for
   the similar ones. A pair that scores above 85 needs at most ``max_edits`` insertions and
-  deletions. If one name is cut into one segment more than that, some segment occurs
-  unchanged in the other name, shifted by no more than the edits allow. So the segment join
-  finds every such pair.
+  deletions, which leave a number of grams in place. So it is enough to look up the rarest
+  grams of each name (prefix filtering), at places that the edits allow.
 
 Both ways feed the same exact test, and neither drops a pair that passes it.
 """
@@ -26,13 +25,16 @@ from pyspark.sql import functions as F
 from panelspark.functions import names as N
 from panelspark.operators.keys import not_in
 from panelspark.operators.latest import first_per_group, latest_version
-from panelspark.session import materialize
+from panelspark.session import broadcast_if_small, materialize
 
 PAIRS_PER_NAME = 512
 PAIRS_PER_TASK = 250_000
 MAX_TASKS = 100_000
 BROADCAST_NAMES = 100_000
 
+#: Characters of a gram.
+Q = 3
+
 MEMBER_KEY = ["m_first", "m_last"]
 PATIENT_KEY = ["p_first", "p_last", "pat_id"]
 
@@ -143,54 +145,69 @@ def _other_lengths(length: Column) -> Column:
     )
 
 
-def _with_segments(df: DataFrame) -> DataFrame:
-    """Cut a name of length ``n`` for partners of length ``m``: one row per segment."""
-    edits = N.max_edits(F.col("n"), F.col("m"))
-    return (
-        df.where(edits >= 0)
-        .withColumn("k", edits + 1)
-        .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-        .withColumn("at", F.expr("CAST(i * n div k AS INT)"))
-        .withColumn("size", F.expr("CAST((i + 1) * n div k AS INT)") - F.col("at"))
-    )
+def _grams(name: str) -> Column:
+    """All runs of Q characters of a text column behind and ahead of padding, in order."""
+    pad = "\\u0001" * (Q - 1)
+    padded = f"concat('{pad}', {name}, '{pad}')"
+    return F.expr(f"transform(sequence(1, length({name}) + {Q - 1}), at -> substring({padded}, at, {Q}))")
 
 
-def _segment_pairs(members: DataFrame, patients: DataFrame) -> DataFrame:
-    """Pairs, straight or flipped, in which a segment of one name occurs in the other.
+def _shared_grams(n: Column, m: Column) -> Column:
+    """Grams that two names of these lengths share, in an alignment that scores above 85, at least.
 
-    The cheap score test runs on the joined rows, so that few of them go on.
+    A dropped character takes Q grams of its name with it and an added one breaks Q - 1. So of the ``n + Q - 1`` grams of a name, ``L + (Q - 1)(1 - E)`` stay where
+    ``L`` characters are common and ``E`` are dropped or added; the least ``L`` leaves fewest.
     """
-    key = ["dob", "n", "m", "i", "segment"]
-    left = (
-        members.withColumn(
-            "name", F.explode(F.array_distinct(F.array("phc_name", "phc_name_flipped")))
-        )
-        .withColumn("n", F.col("m_length"))
-        .withColumn("m", F.explode(_other_lengths(F.col("n"))))
-    )
-    left = _with_segments(left).select(
-        *key[:-1], F.expr("substring(name, at + 1, size)").alias("segment"), *MEMBER_KEY, "name", "m_letters"
-    )
-    right = (
-        patients.withColumn("m", F.col("p_length"))
-        .withColumn("n", F.explode(_other_lengths(F.col("m"))))
+    common = N.min_common(n, m)
+    return common + (Q - 1) * (1 - (n + m - 2 * common))
+
+
+def _prefix(n: Column, m: Column) -> Column:
+    """How many of its rarest grams a name of length ``n`` must look up to meet every partner of length ``m``.
+
+    Of the grams that an alignment keeps, take the rarest. At least ``_shared_grams - 1`` others
+    stand behind it in the order of either name.
+    """
+    return n + Q - _shared_grams(n, m)
+
+
+def _rarest_grams(names: DataFrame, key: list[str], name: str, frequency: DataFrame, carried: list[str]) -> DataFrame:
+    """Each name's grams that any partner may have to meet, with their place ``rank`` in the order from rare to common."""
+    n = F.length(name)
+    longest = F.array_max(F.transform(_other_lengths(n), lambda m: _prefix(n, m)))
+    exploded = names.select("dob", *key, name, *carried, F.posexplode(_grams(name)).alias("at", "gram"))
+    ordered = (
+        exploded.join(broadcast_if_small(frequency), "gram")
+        .groupBy("dob", *key, name, *carried)
+        .agg(F.sort_array(F.collect_list(F.struct("n_names", "gram", "at"))).alias("grams"))  # one for each character
     )
-    common = N.min_common(F.col("n"), F.col("m"))
-    right = (
-        _with_segments(right)
-        .withColumn("lo", F.greatest(F.lit(0), F.col("at") - (F.col("n") - common)))
-        .withColumn("hi", F.least(F.col("m") - F.col("size"), F.col("at") + (F.col("m") - common)))
-        .where(F.col("lo") <= F.col("hi"))
-        .withColumn("place", F.explode(F.sequence("lo", "hi")))
-        .select(
-            *key[:-1],
-            F.expr("substring(epic_name, place + 1, size)").alias("segment"),
-            *PATIENT_KEY,
-            "epic_name", "p_letters",
-        )
+    return ordered.select("dob", *key, name, *carried, F.posexplode(F.slice("grams", 1, longest)).alias("rank", "g")).select(
+        "dob", *key, name, *carried, "rank", "g.gram", "g.at")
+
+
+def similar_candidates(members: DataFrame, patients: DataFrame) -> DataFrame:
+    """Pairs, straight or flipped, that may score above 85; a pair may repeat. None that does is missing.
+
+    Names meet on their rarest grams only, at places that lengths and edits allow. The cheap
+    score tests run on the joined rows, so that few of them go on.
+    """
+    straight_and_flipped = F.explode(F.array_distinct(F.array("phc_name", "phc_name_flipped")))
+    left = members.select("dob", *MEMBER_KEY, straight_and_flipped.alias("name"), "m_letters")
+    right = patients.select("dob", *PATIENT_KEY, "epic_name", "p_letters")
+    grams = left.select(F.explode(_grams("name")).alias("gram")).unionAll(right.select(F.explode(_grams("epic_name"))))
+    frequency = materialize(grams.groupBy("gram").agg(F.count("*").alias("n_names")), "gram-frequencies")
+    a = _rarest_grams(left, MEMBER_KEY, "name", frequency, ["m_letters"]).withColumnsRenamed({"rank": "m_rank", "at": "m_at"})
+    b = _rarest_grams(right, PATIENT_KEY, "epic_name", frequency, ["p_letters"]).withColumnsRenamed({"rank": "p_rank", "at": "p_at"})
+    a, b = a.withColumn("n", F.length("name")), b.withColumn("m", F.length("epic_name"))
+    n, m = F.col("n"), F.col("m")
+    common, moved = N.min_common(n, m), F.col("p_at") - F.col("m_at")
+    meets = (
+        (N.max_edits(n, m) >= 0)
+        & (F.col("m_rank") < _prefix(n, m)) & (F.col("p_rank") < _prefix(m, n))
+        & (moved >= common - n) & (moved <= m - common)
     )
     possible = N.letters_allow("m_letters", "p_letters", "n", "m") & N.may_exceed_85("name", "epic_name", "n", "m")
-    return left.join(right, key).where(possible)
+    return a.join(b, ["dob", "gram"]).where(meets & possible)
 
 
 def accepted_names(
@@ -220,7 +237,7 @@ def accepted_names(
         in_large = blocks.where("NOT whole").select("dob")
         large = m_names.join(in_large, "dob"), p_names.join(in_large, "dob")
         key = ["dob", *MEMBER_KEY, *PATIENT_KEY]
-        found = _token_pairs(*large).select(*key).unionByName(_segment_pairs(*large).select(*key))
+        found = _token_pairs(*large).select(*key).unionByName(similar_candidates(*large).select(*key))
         found = _with_patient_columns(_with_member_columns(found.distinct()))
         pairs = pairs.select(*found.columns).unionByName(found)
     return _accept(pairs)

@@ -5,10 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.operators.keys import except_keys, not_in
+from panelspark.operators.keys import except_keys
 from panelspark.schemas import SHEET_ATTRIBUTES
 
 HISTORY = ["cin", "clinic_id", "year", "month", "is_qip_eligible", "download_date"]
@@ -60,6 +60,43 @@ def is_current(membership: DataFrame, as_of: dt.date) -> DataFrame:
     )
 
 
+def month_bits(history: DataFrame, year: int) -> DataFrame:
+    """One number per member with history: bit 0 for any row at all, bit m for a row in month m of ``year``.
+
+    Bits combine on the map side, so a member costs one row per map task however long the history.
+    """
+    this_year = F.when(F.col("year") == year, F.expr("shiftleft(1, month)")).otherwise(F.lit(0))
+    return history.groupBy("cin").agg(F.bit_or(this_year.bitwiseOR(F.lit(1))).alias("months"))
+
+
+def side_by_side(membership: DataFrame, staged: DataFrame, history: DataFrame, year: int) -> DataFrame:
+    """Each member of either side once: stored columns ``m``, columns of the file ``s`` and history bits ``months``."""
+    rows = _joined(membership, staged, "full_outer")
+    return rows.join(month_bits(history, year), "cin", "left").withColumn("months", F.coalesce("months", F.lit(0)))
+
+
+def _joined(membership: DataFrame, staged: DataFrame, how: str) -> DataFrame:
+    m, s = (df.select("cin", F.struct(*[c for c in df.columns if c != "cin"]).alias(side)) for df, side in ((membership, "m"), (staged, "s")))
+    return m.join(s, "cin", how)
+
+
+def _is_new() -> Column:
+    return F.col("m").isNull()
+
+
+def _lacks(month: int) -> Column:
+    return F.col("s").isNotNull() & (F.col("months").bitwiseAND(F.lit(1 << month)) == 0)
+
+
+def needs(month: int) -> list[Column]:
+    """What ``side_by_side`` rows say of a file: members unknown, members without a row of the month, last download."""
+    return [
+        F.count(F.when(_is_new(), 1)).alias("unknown"),
+        F.count(F.when(_lacks(month), 1)).alias("unrecorded"),
+        F.max("m.download_date").alias("last_download"),
+    ]
+
+
 def reconcile_members(
     membership: DataFrame,
     staged: DataFrame,
@@ -73,18 +110,16 @@ def reconcile_members(
     Both happen in one full outer join on ``cin``; ``merge_action`` is ``insert``,
     ``reactivate`` or ``keep``. Every right side uses the values from before the update.
     """
+    return applied(_joined(membership, staged, "full_outer" if insert else "left"), as_of, insert, reactivate, attributes)
+
+
+def applied(
+    rows: DataFrame, as_of: dt.date, insert: bool, reactivate: bool, attributes: Sequence[str] = SHEET_ATTRIBUTES
+) -> DataFrame:
+    """The membership after a file, from rows that hold both sides."""
     month = as_of.month
-    staged = staged.select("*", F.lit(1).alias("_new"))
-    membership = membership.select("*", F.lit(1).alias("_old"))
-    m, s = membership.alias("m"), staged.alias("s")
-    known, listed = F.col("m._old").isNotNull(), F.col("s._new").isNotNull()
-    action = (
-        F.when(~known, "insert")
-        .when(listed & (F.col("m.is_enrolled") == 0) & F.lit(reactivate), "reactivate")
-        .otherwise("keep")
-    )
-    joined = m.join(s, "cin", "full_outer" if insert else "left").withColumn("merge_action", action)
-    act = F.col("merge_action")
+    stored_columns, new_columns = rows.schema["m"].dataType.names, rows.schema["s"].dataType.names
+    act = _action(reactivate)
     inserted, changed = act == "insert", act != "keep"
     enrolled = F.col("m.months_enrolled") + 1
     computed = {
@@ -95,56 +130,72 @@ def reconcile_members(
         .when(changed, month - enrolled)
         .otherwise(F.col("m.months_missed")),
         "is_enrolled": F.when(changed, 1).otherwise(F.col("m.is_enrolled")),
-        "is_qip_eligible": F.when(inserted, int(month <= 3))
-        .when(changed, F.when(month - enrolled <= 3, 1).otherwise(0))
-        .otherwise(F.col("m.is_qip_eligible")),
+        "is_qip_eligible": _eligible(month, reactivate),
         "date_new_member": F.when(inserted, F.col("s.download_date")).otherwise(
             F.col("m.date_new_member")
         ),
         "download_date": F.when(changed, F.col("s.download_date")).otherwise(F.col("m.download_date")),
     }
     for name in attributes:
-        if name in staged.columns:
+        if name in new_columns:
             value = F.col(f"s.{name}")
             if name == "first_name":
                 value = F.coalesce(value, F.lit(""))
-            computed[name] = F.when(changed, value).otherwise(F.col(f"m.{name}"))
-    passed = [c for c in membership.columns if c not in computed and c not in ("cin", "_old")]
-    return joined.select(
+            old = F.col(f"m.{name}") if name in stored_columns else F.lit(None)
+            computed[name] = F.when(changed, value).otherwise(old)
+    passed = [c for c in stored_columns if c not in computed]
+    if not insert:
+        rows = rows.where(~_is_new())
+    return rows.select(
         "cin",
         *[expr.alias(name) for name, expr in computed.items()],
         *[F.col(f"m.{c}").alias(c) for c in passed],
-        "merge_action",
+        act.alias("merge_action"),
     )
 
 
-def history_of_unlisted(membership: DataFrame, history: DataFrame) -> DataFrame:
-    """A history row for every member that has none at all."""
-    return not_in(membership, history, ["cin"]).select(
-        "cin",
-        "clinic_id",
-        F.year("download_date").alias("year"),
-        F.month("download_date").alias("month"),
-        "is_qip_eligible",
-        "download_date",
-    )
+def _action(reactivate: bool) -> Column:
+    known_again = F.col("s").isNotNull() & (F.col("m.is_enrolled") == 0) & F.lit(reactivate)
+    return F.when(_is_new(), "insert").when(known_again, "reactivate").otherwise("keep")
 
 
-def history_of_month(
-    staged: DataFrame, membership: DataFrame, history: DataFrame, year: int, month: int
-) -> DataFrame:
-    """A history row for every member of the file that lacks one for the month."""
-    missing = not_in(staged, of_month(history, year, month), ["cin"])
-    return missing.join(membership.select("cin", "is_qip_eligible"), "cin").select(
-        "cin",
-        "clinic_id",
-        F.year("download_date").alias("year"),
-        F.month("download_date").alias("month"),
-        "is_qip_eligible",
-        "download_date",
+def _eligible(month: int, reactivate: bool) -> Column:
+    act = _action(reactivate)
+    missed = F.lit(month) - (F.col("m.months_enrolled") + 1)
+    return (
+        F.when(act == "insert", int(month <= 3))
+        .when(act == "reactivate", F.when(missed <= 3, 1).otherwise(0))
+        .otherwise(F.col("m.is_qip_eligible"))
     )
 
 
+def history_of_file(rows: DataFrame, year: int, month: int, as_of: dt.date, insert: bool, reactivate: bool) -> DataFrame:
+    """The history rows that a file adds, from ``side_by_side`` rows.
+
+    Members that have none at all get one, dated by their last download (if the file has unknown
+    members); members of the file get one for its month unless they have it by now (if
+    the file has members without). Both are tests of history bits; nothing is joined again.
+    """
+    new = _is_new()
+    day = F.when(new, F.col("s.download_date")).otherwise(F.col("m.download_date"))
+    clinic = F.when(new, F.col("s.clinic_id")).otherwise(F.col("m.clinic_id"))
+    before = F.when(new, int(as_of.month <= 3)).otherwise(F.col("m.is_qip_eligible"))
+    gets_first = F.lit(insert) & (F.col("months") == 0)
+    has_month = gets_first & (F.year(day) == year) & (F.month(day) == month)
+    gets_month = F.lit(reactivate) & _lacks(month) & ~F.coalesce(has_month, F.lit(False))
+
+    def row(clinic: Column, eligible: Column, day: Column) -> Column:
+        return F.struct(
+            clinic.alias("clinic_id"), F.year(day).alias("year"), F.month(day).alias("month"),
+            eligible.alias("is_qip_eligible"), day.alias("download_date"))
+
+    first = F.when(gets_first, row(clinic, before, day))
+    of_file = F.when(gets_month, row(F.col("s.clinic_id"), _eligible(as_of.month, reactivate), F.col("s.download_date")))
+    if not insert:
+        rows = rows.where(~new)
+    return rows.where(F.col("cin").isNotNull()).select("cin", F.inline(F.array_compact(F.array(first, of_file))))
+
+
 def with_eligibility(measures: DataFrame, membership: DataFrame) -> DataFrame:
     """Measure rows of known members with their eligibility at upload."""
     return measures.join(membership.select("cin", "is_qip_eligible"), "cin").select(

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.session import broadcast_if_small
-
 
 def measure_summary(measures: DataFrame) -> DataFrame:
     """Numerators and denominators per clinic, measure and download, all and eligible."""
@@ -21,8 +19,11 @@ def measure_summary(measures: DataFrame) -> DataFrame:
 
 
 def against_goal(summary: DataFrame, goals: DataFrame) -> DataFrame:
-    """Performance in percent and whether it reaches the goal of the year."""
-    goal = broadcast_if_small(goals.select("measure_id", "year", "percentage"))
+    """Performance in percent and whether it reaches the goal of the year.
+
+    The goals may be an aggregate of their own, so the planner sizes them when they are there.
+    """
+    goal = goals.select("measure_id", "year", "percentage")
     percent = 100.0 * F.col("numerator") / F.nullif(F.col("denominator"), F.lit(0))
     return (
         summary.join(goal, ["measure_id", "year"])

@@ -9,6 +9,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from panelspark.sources.runs import Run
 from panelspark.sources.tables import append_rows
 
 
@@ -30,3 +31,23 @@ def audited(spark: SparkSession, table: str, schema: T.StructType, logged_at: dt
         raise
     finally:
         append_rows(audit_row(spark, schema, values, logged_at), table)
+
+
+@contextmanager
+def audited_run(
+    spark: SparkSession, registry: str, key: str, table: str, schema: T.StructType, logged_at: dt.datetime
+) -> Iterator[tuple[Run, dict]]:
+    """A run and the values of its audit row.
+
+    A run that succeeds publishes its outputs and its audit row together. One that fails publishes
+    nothing but the row that says so.
+    """
+    run = Run(spark, registry, key)
+    values: dict = {}
+    try:
+        yield run, values
+        run.log(audit_row(spark, schema, {**values, "is_success": 1}, logged_at), table)
+        run.commit()
+    except Exception as error:
+        append_rows(audit_row(spark, schema, {**values, "failure_step": str(error)}, logged_at), table)
+        raise

@@ -7,7 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from panelspark.operators import matching as M
-from panelspark.sources import tables
+from panelspark.session import materialize
+from panelspark.sources.runs import Run
 
 
 def run_matching(
@@ -22,19 +23,17 @@ def run_matching(
 ) -> int:
     """Publish a membership with followed and newly found links, and log both.
 
-    The matches are written first and read back, since the membership and the log both
-    derive from them.
+    The matches are stored first, since the membership and the log both derive from them; these are
+    published together, and a repeated run replaces its own.
     """
-    version = int(run_at.strftime("%Y%m%d%H%M"))
-    base = tables.read_version(spark, membership_table)
+    run = Run(spark, f"{membership_table}-runs", f"matching {run_at:%Y-%m-%d %H:%M}")
+    base = run.base(membership_table)
     followed = M.rekey_merged(base, merges, old, new)
-    best = tables.write_version(
-        M.best_matches(followed, M.current_patients(patients, followed)), f"{log_table}-matches", version
-    )
-    tables.write_version(M.apply_links(followed, best), membership_table, version)
+    best = materialize(M.best_matches(followed, M.current_patients(patients, followed)), "matches")
+    _, version = run.snapshot(M.apply_links(followed, best), membership_table, int(run_at.strftime("%Y%m%d%H%M")))
     log = M.matching_log(best).unionByName(
         M.merged_ids(base, merges, old, new), allowMissingColumns=True
     )
-    tables.append_rows(log, log_table)
-    tables.publish(spark, membership_table, version)
+    run.rows(log, log_table, partitions=())
+    run.commit()
     return version

@@ -5,19 +5,24 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.operators import checks, lookup
 from panelspark.operators import reconcile as C
 from panelspark.operators.keys import coverage, not_in_months
 from panelspark.operators.summary import measure_summary
-from panelspark.plans.audit import audited
+from panelspark.plans.audit import audited_run
 from panelspark.schemas import (
     MEASURE_MEMBER_CONSTRAINTS, MEASURES_LOG, MEMBERSHIP_HISTORY,
 )
 from panelspark.session import materialize
 from panelspark.sources import tables
+from panelspark.sources.runs import RUN
+
+
+# Fixed value: the text that the log holds for an upload ahead of the month's membership.
+STALE = "The membership is not yet updated for this month, so the measures are not uploaded"
 
 
 def mapped_measures(staged: DataFrame, clinics: DataFrame, measures_map: DataFrame) -> DataFrame:
@@ -58,41 +63,44 @@ def reconcile(
     year: int,
     month: int,
     as_of: dt.date,
+    staged: DataFrame | None = None,
 ) -> Reconciled | None:
     """Add unknown members and re-activate known ones; None if the file needs neither.
 
     Each half runs only if the file has members it concerns. A membership not loaded in the
-    month of ``as_of`` stops the upload. The distinct members of the file are stored first,
-    since every step uses them.
+    month of ``as_of`` stops the upload. Membership, distinct members of the file and their history
+    bits are joined once and stored; what the file needs is counted while they are written, and
+    the new membership and history are read off the stored rows.
     """
-    staged = materialize(C.staged_members(measures), "staged-members")
-    missing = C.missing_counts(staged, membership, history, year, month).first()
-    insert, reactivate = missing.unknown > 0, missing.unrecorded > 0
+    staged = C.staged_members(measures) if staged is None else staged
+    found = Observation("file-needs")
+    rows = materialize(C.side_by_side(membership, staged, history, year).observe(found, *C.needs(month)), "side-by-side")
+    counts = found.get
+    insert, reactivate = counts["unknown"] > 0, counts["unrecorded"] > 0
     if not (insert or reactivate):
         return None
-    if not C.is_current(membership, as_of).first().is_current:
-        raise checks.CheckFailed(
-            "The membership is not yet updated for this month, so the measures are not uploaded"
-        )
-    result = C.reconcile_members(membership, staged, as_of, insert, reactivate)
-    rows = history.select(*C.HISTORY).limit(0)
-    if insert:
-        inserted = C.reconcile_members(membership, staged, as_of, True, False)
-        rows = C.history_of_unlisted(inserted, history)
-    if reactivate:
-        seen = history.select(*C.HISTORY).unionByName(rows)
-        rows = rows.unionByName(C.history_of_month(staged, result, seen, year, month))
-    return Reconciled(result, rows)
+    last = counts["last_download"]
+    if last is None or (last.year, last.month) != (as_of.year, as_of.month):
+        raise checks.CheckFailed(STALE)
+    return Reconciled(
+        C.applied(rows, as_of, insert, reactivate), C.history_of_file(rows, year, month, as_of, insert, reactivate)
+    )
 
 
 @dataclass(frozen=True)
 class MeasureTables:
+    """Folders of the tables; jobs that share a membership share its registry of runs."""
+
     membership: str
     history: str
     measures: str
     summary: str
     log: str
 
+    @property
+    def runs(self) -> str:
+        return f"{self.membership}-runs"
+
 
 def run_measures_file(
     spark: SparkSession,
@@ -103,42 +111,47 @@ def run_measures_file(
     stored: MeasureTables,
     download_date: dt.date,
     run_at: dt.datetime,
+    key: str | None = None,
 ) -> None:
     """Apply one staged sheet (``download_date``, ``year`` and ``month`` are columns of it).
 
-    Its rows lie in folders of their own, so a run that died can be repeated.
+    Everything it changes is published together. A sheet that comes again replaces its own rows; sheets
+    of one name and another date are other uploads, unless ``key`` names the upload.
     """
-    version = int(run_at.strftime("%Y%m%d%H%M"))
-    with audited(spark, stored.log, MEASURES_LOG, run_at) as log:
+    key = key or f"sheet {download_date:%Y-%m-%d} {file_name}"
+    with audited_run(spark, stored.runs, key, stored.log, MEASURES_LOG, run_at) as (run, log):
         log.update(file_name=file_name, download_date=download_date)
         mapped = checks.staged(mapped_measures(staged, clinics, measures_map), "staged-measures")
         log["warning_message"] = check_measures(mapped, clinics, measures_map)
         rows = lookup.mapped_only(mapped, "measure_id")
+        log["insert_count"] = rows.count()
         lost = checks.stored_values(lookup.unmapped(mapped, "measure_id", "measure_text"), "measure_text")
         if lost:
             log["warning_message"] += f"\nUnmapped measures: {lost}"
-        membership = tables.read_version(spark, stored.membership).drop("merge_action")
+        again = run.replaces(stored.membership)
+        membership = run.base(stored.membership).drop("merge_action")
         history = tables.read_or_empty(spark, stored.history, MEMBERSHIP_HISTORY)
+        if again:
+            history = run.without_own(history)
+        members = materialize(C.staged_members(rows), "staged-members")
         changes = reconcile(
-            rows, membership, history, download_date.year, download_date.month, run_at.date()
+            rows, membership, history, download_date.year, download_date.month, run_at.date(), members
         )
         if changes is not None:
             broken = checks.constraint_violations(
-                C.staged_members(rows), MEASURE_MEMBER_CONSTRAINTS, {"clinic_id": (clinics, "id")}
+                members, MEASURE_MEMBER_CONSTRAINTS, {"clinic_id": (clinics, "id")}
             )
             checks.enforce(
                 broken.select(F.concat_ws(" ", "rule", "column_name", "key_value").alias("error")),
                 "Staged rows do not fit the table",
                 "error",
             )
-            membership = tables.write_version(changes.membership, stored.membership, version)
+            membership, _ = run.snapshot(changes.membership, stored.membership, int(run_at.strftime("%Y%m%d%H%M")))
             new_rows = not_in_months(checks.staged(changes.history, "history-rows"), history, ["cin"])
-            tables.append_history(tables.with_inserted_at(new_rows), stored.history)
-            tables.publish(spark, stored.membership, version)
-        # Sheets of one name and another date are other uploads.
-        upload = f"{download_date:%Y-%m-%d} {file_name}"
+            run.rows(tables.with_inserted_at(new_rows), stored.history, keep_earlier=not again)
+        elif again:  # what the earlier sheet changed is taken back
+            run.snapshot(membership, stored.membership)
+            run.rows(history.limit(0).drop(RUN), stored.history)
         appended = C.with_eligibility(rows, membership)
-        tables.put_upload(tables.with_inserted_at(appended), stored.measures, upload)
-        summary = measure_summary(appended)
-        tables.put_upload(tables.with_inserted_at(summary), stored.summary, upload)
-        log["insert_count"] = rows.count()
+        run.rows(tables.with_inserted_at(appended), stored.measures)
+        run.rows(tables.with_inserted_at(measure_summary(appended)), stored.summary)

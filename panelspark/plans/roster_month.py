@@ -13,12 +13,18 @@ from panelspark.functions import text as X
 from panelspark.operators import checks, lookup
 from panelspark.operators import roster as R
 from panelspark.operators.keys import coverage, not_in_months
-from panelspark.plans.audit import audited
+from panelspark.plans.audit import audited_run
 from panelspark.schemas import (
     MEMBERSHIP_HISTORY, MEMBERSHIP_LOG, PROCESSED_FIELDS, ROSTER_CONSTRAINTS, ROSTER_FIELDS,
 )
+from panelspark.session import materialize
 from panelspark.sources import tables
-from panelspark.sources.html import html_table
+from panelspark.sources.files import file_name
+from panelspark.sources.html import html_table, scan_html_tables
+
+
+# The texts that the log holds for a month that doesn't follow the last one.
+GATE_MESSAGES = {"duplicate": "Already updated this month", "gap": "Potentially missed a month"}
 
 
 def processed_rows(files: DataFrame, clinics: DataFrame) -> DataFrame:
@@ -27,8 +33,21 @@ def processed_rows(files: DataFrame, clinics: DataFrame) -> DataFrame:
     ``files`` has ``html``, ``path`` and ``download_date``. Site, month and year come from
     the path; a path without a known site fails the job.
     """
-    sites = lookup.map_contained(
-        files, "path", lookup.plan_sites(clinics), "phc_key", "clinic_key", "site", order="id", last=True
+    return _normalized(html_table(_with_site(files, clinics), "html", [*_SITE, "download_date"], ROSTER_FIELDS))
+
+
+def scanned_rows(spark: SparkSession, folder: str, clinics: DataFrame, glob: str = "*.xls") -> DataFrame:
+    """The same from the files of a folder, large ones read by many tasks; sites and months come from file names."""
+    rows = scan_html_tables(spark, folder, ROSTER_FIELDS, glob).withColumn("path", file_name(F.col("path")))
+    return _normalized(_with_site(rows, clinics))
+
+
+_SITE = ["site", "file_month", "file_year"]
+
+
+def _with_site(df: DataFrame, clinics: DataFrame) -> DataFrame:
+    return lookup.map_contained(
+        df, "path", lookup.plan_sites(clinics), "phc_key", "clinic_key", "site", order="id", last=True
     ).withColumns(
         {
             "site": lookup.required(F.col("site"), F.col("path")),
@@ -36,8 +55,9 @@ def processed_rows(files: DataFrame, clinics: DataFrame) -> DataFrame:
             "file_year": D.file_year(F.col("path")),
         }
     )
-    keep = ["site", "file_month", "file_year", "download_date"]
-    rows = html_table(sites, "html", keep, ROSTER_FIELDS)
+
+
+def _normalized(rows: DataFrame) -> DataFrame:
     c = F.col
     line1, line2 = c("Residential Address1"), c("Residential Address2")
     city, state, zip_ = c("Residential City"), c("Residential State"), c("Residential Zip")
@@ -76,6 +96,18 @@ def month_column(processed: DataFrame, month: int) -> DataFrame:
     return processed.withColumnRenamed("Month", D.MONTHS[month - 1][:3])
 
 
+def month_columns(processed: DataFrame, month: str) -> DataFrame:
+    """The months of a year side by side: a row per member and site, 1 in the columns of months that list it, else 0.
+
+    ``month`` is the number of a row's month. Columns are fixed, so nothing is read to find them.
+    """
+    flags = [
+        F.coalesce(F.max(F.when(F.col(month) == i, F.col("Month"))), F.lit(0)).alias(name[:3])
+        for i, name in enumerate(D.MONTHS, 1)
+    ]
+    return processed.groupBy("BIC_HIK", "Clinic").agg(*flags, F.max("SpecialMemberFlag").alias("SpecialMemberFlag"))
+
+
 def mapped_roster(staged: DataFrame, clinics: DataFrame) -> DataFrame:
     """Staged rows with the id of the first active clinic whose key the site text contains."""
     active = lookup.active_values(clinics, "clinic_key", "id")
@@ -89,29 +121,37 @@ def check_roster(roster: DataFrame, clinics: DataFrame) -> None:
     message = checks.coverage_message(coverage(label, "clinic", active, "id"))
     if message:
         raise checks.CheckFailed(message)
-    found = checks.constraint_violations(roster, ROSTER_CONSTRAINTS, {"clinic_id": (clinics, "id")})
+    found = materialize(
+        checks.constraint_violations(roster, ROSTER_CONSTRAINTS, {"clinic_id": (clinics, "id")}), "broken-rules")
     counts = {
         (row.rule, row.column_name): row["count"]
         for row in found.groupBy("rule", "column_name").count().collect()
     }
+    where = f" in {found.inputFiles()[0].rsplit('/', 1)[0]}" if counts else ""
     if any(rule == "not_null" for rule, _ in counts):
-        raise checks.CheckFailed("A required field has no value")
+        raise checks.CheckFailed(f"A required field has no value{where}")
     ids = checks.id_violations(roster, "cin", clinics, "clinic_key").select(
         F.format_string("%s in %s file", "cin", "clinic").alias("error")
     )
     checks.enforce(ids, "Malformed member ids", "error")
     if counts:
         broken = ", ".join(f"{rule} {column}: {n}" for (rule, column), n in sorted(counts.items()))
-        raise checks.CheckFailed(f"Staged rows do not fit the table: {broken}")
+        raise checks.CheckFailed(f"Staged rows do not fit the table: {broken}{where}")
 
 
 @dataclass(frozen=True)
 class RosterTables:
+    """Folders of the tables; jobs that share a membership share its registry of runs."""
+
     membership: str
     history: str
     log: str
     reports: str
 
+    @property
+    def runs(self) -> str:
+        return f"{self.membership}-runs"
+
 
 def run_roster_month(
     spark: SparkSession,
@@ -121,33 +161,34 @@ def run_roster_month(
     year: int,
     month: int,
     run_at: dt.datetime,
+    replace: bool = False,
 ) -> int:
     """Check and apply one month; returns the version it published.
 
     The staged rows are stored first, so that checks, gate and merge parse the files once.
-    The history append skips keys that are present, so a run that died ahead of its
-    publication can be repeated.
+    Membership, history, report and audit row are published together: a run that dies changes
+    nothing, and may be repeated with other rows. A month that is already published is refused,
+    unless it is to be replaced and was published last.
     """
-    version = int(run_at.strftime("%Y%m%d%H%M"))
-    with audited(spark, stored.log, MEMBERSHIP_LOG, run_at) as log:
+    key = f"roster {year}-{month:02d}"
+    with audited_run(spark, stored.runs, key, stored.log, MEMBERSHIP_LOG, run_at) as (run, log):
         log.update(year=year, month=month)
         roster = checks.staged(roster, "staged-roster")
         check_roster(roster, clinics)
-        base = tables.read_version(spark, stored.membership).drop("merge_action")
+        replace = replace and run.replaces(stored.membership)
+        base = (run.base(stored.membership) if replace else tables.read_version(spark, stored.membership)).drop("merge_action")
         status = R.continuity_gate(base, roster).first().status
         if status not in ("ok", "rollover"):
-            raise checks.CheckFailed(
-                {"duplicate": "Already updated this month", "gap": "Potentially missed a month"}.get(
-                    status, "No download date to compare"
-                )
-            )
-        merged = tables.write_version(
-            R.apply_roster(base, roster, month, status == "rollover", run_at), stored.membership, version
+            raise checks.CheckFailed(GATE_MESSAGES.get(status, "No download date to compare"))
+        merged, version = run.snapshot(
+            R.apply_roster(base, roster, month, status == "rollover", run_at), stored.membership,
+            int(run_at.strftime("%Y%m%d%H%M")),
         )
         history = tables.read_or_empty(spark, stored.history, MEMBERSHIP_HISTORY)
+        if replace:
+            history = run.without_own(history)
         new_rows = not_in_months(R.history_rows(merged), history, ["cin"])
-        tables.append_history(tables.with_inserted_at(new_rows), stored.history)
+        run.rows(tables.with_inserted_at(new_rows), stored.history, keep_earlier=not replace)
         log.update(R.merge_counts(merged).first().asDict())
-        tables.write_report(R.arrivals(merged), f"{stored.reports}/NR_{month:02d}-{year}-{version}")
-        tables.publish(spark, stored.membership, version)
+        run.report(R.arrivals(merged), f"{stored.reports}/NR_{month:02d}-{year}-{version}")
     return version

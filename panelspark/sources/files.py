@@ -27,6 +27,19 @@ def oldest_and_newest(files: DataFrame) -> DataFrame:
     )
 
 
+def rows_by_file(df: DataFrame) -> DataFrame:
+    """Rows that each file of a scan holds, with the file's size, time and date; files without rows are absent.
+
+    ``df`` is a scan, whose metadata is used. The listing of a folder (``file_list``) has the empty ones too.
+    """
+    meta = F.col("_metadata")
+    return (
+        df.select(meta["file_path"].alias("path"), meta["file_size"].alias("length"), meta["file_modification_time"].alias("modificationTime"))
+        .groupBy("path", "length", "modificationTime")
+        .agg(F.count("*").alias("row_count"))
+    )
+
+
 def file_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 

@@ -1,4 +1,4 @@
-"""Rows of HTML tables. One file is one row, so files parse in parallel."""
+"""Rows of HTML tables, from whole documents or from files cut at row ends."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.functions.text import PANDAS_NULLS, null_tokens, strip
+from panelspark.session import broadcast_if_small, materialize
 from panelspark.sources.files import with_provenance
 
 REFERENCE = r"&(?:#\d{1,8}|#[xX][0-9a-fA-F]{1,7}|[A-Za-z][A-Za-z0-9]*);"
@@ -38,9 +39,20 @@ def resolved(text: Column) -> Column:
     return F.when(text.contains("&"), F.array_join(pieces, "")).otherwise(text)
 
 
+def _untagged(cell: Column) -> Column:
+    return F.regexp_replace(cell, r"(?s)<[^>]*>", "")
+
+
 def cell_text(cell: Column) -> Column:
     """Text of a cell: tags dropped, character references resolved, stripped."""
-    return strip(resolved(F.regexp_replace(cell, r"(?s)<[^>]*>", "")))
+    return strip(resolved(_untagged(cell)))
+
+
+def cell_texts(row: Column, cell_tag: str = "td|th") -> Column:
+    """The cell texts of a row. Only rows that hold a reference are searched for them."""
+    cells = F.regexp_extract_all(row, element(cell_tag), 1)
+    return F.when(row.contains("&"), F.transform(cells, cell_text)).otherwise(
+        F.transform(cells, lambda cell: strip(_untagged(cell))))
 
 
 def element(tag: str) -> Column:
@@ -53,9 +65,7 @@ def html_rows(
 ) -> DataFrame:
     """One row per ``row_tag`` element with its position and the array of its cell texts."""
     rows = F.regexp_extract_all(F.col(html), element(row_tag), 1)
-    cells = F.transform(
-        F.regexp_extract_all(F.col("_row"), element(cell_tag), 1), lambda cell: cell_text(cell)
-    )
+    cells = cell_texts(F.col("_row"), cell_tag)
     return df.select(*keep, F.posexplode(rows).alias("row_pos", "_row")).select(
         *keep, "row_pos", cells.alias("cells")
     )
@@ -69,16 +79,40 @@ def html_table(df: DataFrame, html: str, keep: Sequence[str], fields: Sequence[s
     """
     table = F.regexp_extract(F.col(html), r"(?is)<table(?:\s[^>]*)?>(.*?)</table\s*>", 1)
     header_row = F.regexp_extract(F.col("_table"), r"(?is)<tr(?:\s[^>]*)?>(.*?)</tr\s*>", 1)
-    header = F.transform(
-        F.regexp_extract_all(header_row, element("td|th"), 1), lambda cell: cell_text(cell)
-    )
-    tables = df.select(*keep, table.alias("_table")).withColumn("_header", header)
+    tables = df.select(*keep, table.alias("_table")).withColumn("_header", cell_texts(header_row))
     rows = html_rows(tables, "_table", [*keep, "_header"]).where(F.col("row_pos") > 0)
+    return rows.select(*keep, *_named(fields))
+
+
+def _named(fields: Sequence[str]) -> list[Column]:
+    """The cells of a row below the names of its header, NULL for names that it lacks."""
     columns = []
     for field in fields:
         at = F.array_position("_header", F.lit(field)).cast("int")
         columns.append(null_tokens(F.get("cells", at - 1), PANDAS_NULLS).alias(field))
-    return rows.select(*keep, *columns)
+    return columns
+
+
+def scan_html_tables(spark: SparkSession, path: str, fields: Sequence[str], glob: str = "*.xls") -> DataFrame:
+    """Rows of files that hold one table each, with path and provenance, as ``html_table`` gives them.
+
+    The reader cuts files at ``</tr>``, so a large one is read by many tasks. Each file's header, the first row of its
+    first block, is found by a scan of its own and joined by path; there are as many as files. A
+    file that writes its tags otherwise is one piece.
+    """
+    pieces = (
+        with_provenance(
+            spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(path, lineSep="</tr>").select("value", "_metadata"))
+        .select(
+            F.concat("value", F.lit("</tr>")).alias("value"), F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_block_start").alias("_start"), "download_date", "year", "month", F.monotonically_increasing_id().alias("_order"))
+    )
+    rows = html_rows(pieces, "value", ["path", "_start", "_order", "download_date", "year", "month"])
+    place = F.struct("_order", "row_pos")
+    firsts = rows.where("_start = 0").groupBy("path").agg(F.min(place).alias("_first"), F.min_by("cells", place).alias("_header"))
+    headers = materialize(firsts, "table-headers")
+    below = (F.col("_start") > 0) | (place > F.col("_first"))
+    return rows.join(broadcast_if_small(headers), "path").where(below).select("path", "download_date", "year", "month", *_named(fields))
 
 
 def read_html_files(spark: SparkSession, path: str, glob: str = "*.xls") -> DataFrame:

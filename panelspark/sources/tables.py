@@ -2,7 +2,8 @@
 
 A snapshot is a folder ``version=<n>`` of Parquet files. It counts once it is published, so
 a job may write it, derive other tables from it and publish it last; a run that dies half-way
-leaves the current snapshot in place.
+leaves the current snapshot in place. Jobs that write several tables do so through a run
+(``panelspark.sources.runs``), which publishes them together.
 """
 
 from __future__ import annotations
@@ -22,15 +23,28 @@ def version_folder(table: str, version: int) -> str:
 def write_version(df: DataFrame, table: str, version: int) -> DataFrame:
     """Write a snapshot to its own folder and read it back; unpublished remains are replaced."""
     spark, path = df.sparkSession, version_folder(table, version)
-    if _exists(spark, f"{path}/{_MARKER}"):
+    if exists(spark, f"{path}/{_MARKER}"):
         raise FileExistsError(f"version {version} of {table} is already published")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
-def publish(spark: SparkSession, table: str, version: int) -> None:
-    path, fs = _path(spark, f"{version_folder(table, version)}/{_MARKER}")
-    fs.create(path, True).close()
+def publish(spark: SparkSession, table: str, version: int, by: str = "") -> None:
+    """Make a version count; ``by`` names the run that made it."""
+    path, fs = file_system(spark, f"{version_folder(table, version)}/{_MARKER}")
+    marker = fs.create(path, True)
+    marker.write(bytearray(by.encode()))
+    marker.close()
+
+
+def published_by(spark: SparkSession, table: str, version: int) -> str:
+    """The run that made a published version, empty where none was named."""
+    path, fs = file_system(spark, f"{version_folder(table, version)}/{_MARKER}")
+    marker = fs.open(path)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(marker)).decode()
+    finally:
+        marker.close()
 
 
 def read_version(spark: SparkSession, table: str, version: int | None = None) -> DataFrame:
@@ -40,28 +54,34 @@ def read_version(spark: SparkSession, table: str, version: int | None = None) ->
     return spark.read.parquet(version_folder(table, version))
 
 
+def published_versions(spark: SparkSession, table: str) -> list[int]:
+    """Published versions, oldest first."""
+    path, fs = file_system(spark, f"{table}/version=*/{_MARKER}")
+    return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in fs.globStatus(path) or [])
+
+
 def latest_version(spark: SparkSession, table: str) -> int:
-    path, fs = _path(spark, f"{table}/version=*/{_MARKER}")
-    found = [f.getPath().getParent().getName() for f in fs.globStatus(path) or []]
+    found = published_versions(spark, table)
     if not found:
         raise FileNotFoundError(f"no published version of {table}")
-    return max(int(name.split("=")[1]) for name in found)
+    return found[-1]
 
 
 def read_or_empty(spark: SparkSession, table: str, schema) -> DataFrame:
     """An appended table, or no rows where it does not exist yet."""
-    if _exists(spark, table):
+    if exists(spark, table):
         return spark.read.schema(schema).parquet(table)
     return spark.createDataFrame([], schema)
 
 
-def _path(spark: SparkSession, text: str):
+def file_system(spark: SparkSession, text: str):
+    """A path and the file system that holds it."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(text)
     return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _exists(spark: SparkSession, text: str) -> bool:
-    path, fs = _path(spark, text)
+def exists(spark: SparkSession, text: str) -> bool:
+    path, fs = file_system(spark, text)
     return fs.exists(path)
 
 
@@ -82,21 +102,6 @@ def append_history(df: DataFrame, table: str, partitions: Sequence[str] = ("year
     df.hint("rebalance", *partitions).write.mode("append").partitionBy(*partitions).parquet(table)
 
 
-def put_upload(df: DataFrame, table: str, upload: str) -> None:
-    """Add the rows of an upload to a table partitioned by month and upload.
-
-    Only the folders of this upload are written, and they are replaced, so that an upload
-    may be repeated.
-    """
-    (
-        df.withColumn("upload", F.lit(upload))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("year", "month", "upload")
-        .parquet(table)
-    )
-
-
 def append_rows(df: DataFrame, table: str) -> None:
     df.write.mode("append").parquet(table)
 

@@ -139,3 +139,41 @@ def test_rekey_moves_one_step(spark):
     got = {r.cin: r.epic_pat_id for r in M.rekey_merged(members, merges, "old", "new").collect()}
     assert got == {"a": "B", "b": "C", "c": None, "d": "D"}
     assert sorted(map(tuple, M.merged_ids(members, merges, "old", "new").collect())) == [("B", "a"), ("C", "b")]
+
+
+def test_enough_grams_stay():
+    """Every pair of lengths that may score above 85 shares a gram, and a prefix never passes the name."""
+    for n in range(1, 130):
+        for m in range(1, 130):
+            common = 17 * (n + m) // 40 + 1
+            if common > min(n, m):
+                continue
+            shared = common + (M.Q - 1) * (1 - (n + m - 2 * common))
+            assert 1 <= shared <= min(n, m) + M.Q - 1
+
+
+def test_rare_grams_meet_every_similar_pair_and_few_others(spark):
+    rng = random.Random(3)
+
+    def name(size):
+        return "".join(rng.choice("abcdefghijklmnop") for _ in range(size))
+
+    members, patients = [], []
+    for i in range(10_000):
+        first, last = name(rng.randint(3, 9)), name(rng.randint(3, 11))
+        members.append({"cin": f"{i:010d}", "epic_pat_id": None, "dob": DAY, "first_name": first, "last_name": last})
+        changed = last[:1] + rng.choice("qrst") + last[1:] if i % 2 else last[:-1] + "u"
+        patients.append({
+            "pat_id": f"E{i}", "pat_name": f"{i}", "pat_first_name": changed if i % 3 else first, "pat_last_name": first if i % 3 else changed,
+            "birth_date": DAY, "update_date": 1, "rec_create_date": 1,
+        })
+    m, p = frames(spark, members, patients)
+    m_names = M._with_member_columns(M._member_names(m))
+    p_names = M._with_patient_columns(M._patient_names(p))
+    found = M.similar_candidates(m_names, p_names).select("m_first", "m_last", "pat_id")
+    assert found.count() < 10_000 * 10_000 / 1000
+    got = {(r.m_first, r.m_last, r.pat_id) for r in found.collect()}
+    for i, (a, b) in enumerate(zip(members, patients, strict=True)):
+        names = f"{a['first_name']} {a['last_name']}", f"{a['last_name']} {a['first_name']}"
+        if max(ratio(x, f"{b['pat_first_name']} {b['pat_last_name']}") for x in names) > 85:
+            assert (a["first_name"], a["last_name"], f"E{i}") in got

@@ -167,3 +167,21 @@ def test_both_plans_of_a_map_agree(spark, last):
     )
     assert small == large
     assert small["bc"] == (6 if last else 5) and small["xa"] is None
+
+
+def test_large_maps_agree_with_small_ones(spark):
+    import random
+
+    rng = random.Random(9)
+    keys = ["", "a", "ab", "abc", "bca", "ca", "b\U0001f600", "\U0001f600", "zz", "É", "cab"] + ["".join(rng.choices("abcd", k=rng.randint(1, 5))) for _ in range(40)]
+    mapping = [(k, f"v{i}" if i % 5 else None, rng.choice([None, 1, 2, 3, 4, 5])) for i, k in enumerate(dict.fromkeys(keys[1:]))] + [(None, "null", 9)]
+    texts = [None, "", "x", "zz top", "ab\U0001f600z", "\U0001f600", "Éa"] + ["".join(rng.choices("abcdexyz", k=rng.randint(0, 12))) for _ in range(150)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    for rows in (mapping, [*mapping, ("", "empty", 3)], [(None, "x", 1)]):
+        m = spark.createDataFrame(rows, "k string, v string, o int")
+        for last in (False, True):
+            few, many, joined = (
+                {r.i: r.out for r in lookup.map_contained(df, "t", m, "k", "v", "out", "o", last, keys, cells).collect()}
+                for keys, cells in ((200, 1 << 21), (0, 1 << 21), (0, 1))
+            )
+            assert few == many == joined
