@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from panelspark.llm.bpe import Generations
 from panelspark.llm.common import Batches, map_batches, texts_of
-from panelspark.session import materialize
+from panelspark.session import broadcast_if_small, materialize
 
 #: Labelled rows learned from, and terms of the lexicon.
 SAMPLE_ROWS = 30_000
@@ -247,7 +247,9 @@ def learn(docs: DataFrame, labels: DataFrame, use: Column) -> Model:
     n = marked.count()
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)
     rate = min(1.0, SAMPLE_ROWS / max(n, 1))
-    rows = docs.select("doc_id", "text").filter(draw < rate).join(marked.filter(draw < rate), "doc_id").select("text", "toxic")
+    # The drawn ids are few, so the documents are filtered where they lie, and the drawn ones stored once.
+    drawn = broadcast_if_small(marked.filter(draw < rate), 2 * SAMPLE_ROWS)
+    rows = materialize(docs.select("doc_id", "text").filter(draw < rate).join(drawn, "doc_id").select("text", "toxic"), "toxic-sample")
     totals = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
     t, c = totals.get(1, 0), totals.get(0, 0)
     if not t or not c:
