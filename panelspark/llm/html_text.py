@@ -2,13 +2,15 @@
 
 A page is parsed into a tree. What is never article text is cut: scripts, styles, forms, menus, headers,
 footers, sidebars, and elements whose class, id or role names an advert, notice, comment or the
-like. Every remaining block of text passes points for its length and commas to its ancestors, half
+like. A form, or an element that such a name says something about (``no-sidebar``, ``has-comments``), is not cut where it
+holds nearly all paragraphs of the page. Every remaining block of text passes points for its length and commas to its ancestors, half
 as many a level up; a container's points are discounted by its share of link text. The best
 container is kept with those siblings that score near it, and all their blocks are the text.
 
 Null, empty and textless pages give the empty text. Broken markup is read as far as it goes: unclosed
-elements end with their parent, stray end tags are skipped. Rows are independent; extra columns
-stay, repeated rows repeat, an empty table stays empty.
+elements end with their parent, stray end tags are skipped, tags without an end are text. Time and memory grow
+with the length of a page, however deep or broken it is. Equal scores go to the outermost container. Rows are
+independent; extra columns stay, repeated rows repeat, an empty table stays empty. A column of the result's name is an error.
 """
 
 from __future__ import annotations
@@ -43,23 +45,33 @@ _NAMED = frozenset(
     "aside menu nav navbar navigation breadcrumb breadcrumbs footer masthead comment comments commentlist reply replies respond disqus "
     "discussion related recommended recommendations share sharing social toolbar pager pagination widget widgets skip "
     "search searchbox form".split())
+# Names that always mean a notice or an advert; the others may also tell how a whole page is laid out.
+_NOTICES = frozenset(
+    "ad ads advert adverts advertisement advertising adsense adslot adbox sponsor sponsored promo promotion banner cookie cookies "
+    "consent gdpr notice notices alert alerts popup modal overlay newsletter".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar status".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+_UNENDED = re.compile(r"<[!?]")
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|([^\s=/\"'>]+)")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _SEPARATOR = re.compile(r"[^a-z]+")
+#: Paragraph text that makes an element with an unwanted name the article, and how much more than elsewhere.
+_LEAST_PROSE, _MORE_PROSE = 200, 4
+
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "parent", "children", "points", "length", "linked")
+    __slots__ = ("tag", "attributes", "parent", "children", "points", "length", "linked", "why", "block")
 
     def __init__(self, tag: str, attributes: str, parent: Node | None):
         self.tag, self.attributes, self.parent = tag, attributes, parent
         self.children: list[Node | str] = []
         self.points, self.length, self.linked = 0.0, 0, 0
+        self.why: str | None = None
+        self.block: Node = self if tag in _BLOCK or parent is None else parent.block
 
 
 def parse(page: str) -> Node:
@@ -67,6 +79,7 @@ def parse(page: str) -> Node:
     root = at = Node("html", "", None)
     open_: dict[str, int] = {}
     position, ends = 0, {}
+    limit = page.rfind(">") + 1  # no tag ends behind it
 
     def close(to: Node) -> Node:
         node = at
@@ -76,12 +89,17 @@ def parse(page: str) -> Node:
         return to
 
     while True:
-        token = _TOKEN.search(page, position)
-        text = page[position : token.start() if token else len(page)]
-        if text:
-            at.children.append(text)
+        token = _TOKEN.search(page, position, limit)
+        if token and token.end() == limit and token[0][-1] != ">":
+            token = None  # a comment or declaration that does not end
         if not token:
+            rest = _UNENDED.search(page, position)
+            text = page[position : rest.start() if rest else len(page)]
+            if text:
+                at.children.append(text)
             return root
+        if token.start() > position:
+            at.children.append(page[position : token.start()])
         position = token.end()
         end, tag, attributes = (token[1], token[2], token[3]) if token[2] else (token[4], token[5], token[6])
         if not tag:
@@ -115,7 +133,7 @@ def parse(page: str) -> Node:
         if tag in _RAW:
             if tag not in ends:
                 ends[tag] = re.compile(f"</{tag}\\s*[^>]*>", re.I)
-            found = ends[tag].search(page, position)
+            found = ends[tag].search(page, position, limit)
             new.children.append(page[position : found.start() if found else len(page)])
             position = found.end() if found else len(page)
             continue
@@ -127,20 +145,64 @@ def _attributes(node: Node) -> dict[str, str]:
     return {(m[1] or m[5]).lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(node.attributes)}
 
 
-def _unwanted(node: Node) -> bool:
+def _unwanted(node: Node) -> str:
+    """Whether attributes say that an element is cut, as ``_cut`` does."""
     if not node.attributes.strip():
-        return False
+        return ""
     attributes = _attributes(node)
     if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or _HIDDEN.search(attributes.get("style", "")):
-        return True
+        return "always"
     if attributes.get("role", "").lower() in _ROLES:
-        return True
+        return "always"
     if node.tag in ("article", "main"):
-        return False
+        return ""
+    found = ""
     for name in [*attributes.get("class", "").split(), *attributes.get("id", "").split()]:
-        if not _NAMED.isdisjoint(_SEPARATOR.split(_CAMEL.sub("-", name).lower())):
-            return True
-    return False
+        words = _SEPARATOR.split(_CAMEL.sub("-", name).lower())
+        if not _NOTICES.isdisjoint(words):
+            return "always"
+        if not _NAMED.isdisjoint(words):
+            found = "layout"
+    return found
+
+
+def _cut(node: Node) -> str:
+    """Why an element is cut: "always", "layout" if it may hold the article all the same, or "" if it stays."""
+    if node.why is None:
+        if node.tag in _CUT:
+            node.why = "layout" if node.tag in ("form", "fieldset") else "always"
+        else:
+            node.why = _unwanted(node)
+    return node.why
+
+
+def _holders(root: Node) -> set[Node]:
+    """Forms and elements of unwanted names that hold nearly all paragraphs of the page, or of such an element around them."""
+    order, prose = [], {}
+    stack = [(root, False)]
+    while stack:
+        node, paragraph = stack.pop()
+        order.append(node)
+        prose[node] = sum(len(c.strip()) for c in node.children if isinstance(c, str)) if paragraph else 0
+        for child in node.children:
+            if isinstance(child, Node) and child.tag != "a" and _cut(child) != "always":
+                stack.append((child, paragraph or child.tag == "p"))
+    clean, largest = dict(prose), {}
+    for node in reversed(order):  # children first
+        parent = node.parent
+        if parent is None:
+            continue
+        prose[parent] += prose[node]
+        inner = node if _cut(node) else largest.get(node)
+        if not _cut(node):
+            clean[parent] += clean[node]
+        if inner is not None and prose[inner] >= prose.get(largest.get(parent), 0):
+            largest[parent] = inner
+    stay, scope = set(), root
+    while scope in largest and prose[largest[scope]] >= max(_LEAST_PROSE, _MORE_PROSE * clean[scope]):
+        scope = largest[scope]
+        stay.add(scope)
+    return stay
 
 
 class _Block:
@@ -154,6 +216,7 @@ class _Block:
 
 def _walk(root: Node) -> tuple[list[tuple[Node, str, int]], list[Node]]:
     """All wanted blocks in page order with their nodes, and all wanted nodes, parents first."""
+    stay = _holders(root)
     blocks: list[tuple[Node, str, int]] = []
     nodes: list[Node] = []
     current = _Block(root)
@@ -171,7 +234,7 @@ def _walk(root: Node) -> tuple[list[tuple[Node, str, int]], list[Node]]:
         node, at, links = stack.pop()
         if at == len(node.children):
             if node.tag in _BLOCK and stack:
-                flush(_block_of(node.parent))
+                flush(node.parent.block)
             continue
         stack.append((node, at + 1, links))
         child = node.children[at]
@@ -188,9 +251,9 @@ def _walk(root: Node) -> tuple[list[tuple[Node, str, int]], list[Node]]:
         if tag == "header" and _inside(child, ("article", "main")):
             # The head of an article holds its title, and bylines that are no part of it.
             child.children = [c for c in child.children if isinstance(c, Node) and c.tag in _HEADING | {"hgroup"}]
-        elif tag in _CUT or _unwanted(child):
+        elif _cut(child) and child not in stay:
             if tag in _BLOCK or tag in ("form", "nav", "header", "footer", "aside", "fieldset", "menu"):
-                flush(_block_of(node))
+                flush(node.block)
             continue
         nodes.append(child)
         if tag in _BLOCK:
@@ -200,12 +263,6 @@ def _walk(root: Node) -> tuple[list[tuple[Node, str, int]], list[Node]]:
     return blocks, nodes
 
 
-def _block_of(node: Node) -> Node:
-    while node.tag not in _BLOCK and node.parent is not None:
-        node = node.parent
-    return node
-
-
 def _inside(node: Node, tags: tuple[str, ...]) -> bool:
     while node is not None:
         if node.tag in tags:
@@ -223,21 +280,27 @@ def extract(page: str | None) -> str:
         return ""
     for node, text, linked in blocks:
         points = min(len(text) / 25, 1.0) + text.count(",") + min(len(text) / 100, 3.0)
-        points *= 1 - linked / len(text)
         up = node if node.tag in _CONTAINER else node.parent or node
-        share = 1.0
-        while up is not None:
-            up.points += points * share
-            up.length += len(text)
-            up.linked += linked
-            share /= 2
-            up = up.parent
-        # Nodes between the block and its container carry lengths too, for their link share.
-        between = node
-        while between.parent is not None and between.tag not in _CONTAINER:
-            between.length += len(text)
-            between.linked += linked
-            between = between.parent
+        up.points += points * (1 - linked / len(text))
+        up.length += len(text)
+        up.linked += linked
+    # Lengths of blocks and of what lies between them and their container, for the share of links.
+    between = {node: [0, 0] for node in nodes}
+    for node, text, linked in blocks:
+        between[node][0] += len(text)
+        between[node][1] += linked
+    for node in reversed(nodes):  # children first
+        inner, parent = node.parent is not None and node.tag not in _CONTAINER, node.parent
+        if parent is not None:
+            parent.points += node.points / 2
+            parent.length += node.length
+            parent.linked += node.linked
+            if inner:
+                between[parent][0] += between[node][0]
+                between[parent][1] += between[node][1]
+        if inner:
+            node.length += between[node][0]
+            node.linked += between[node][1]
     score = {}
     for node in nodes:
         if node.length and (node.tag in _CONTAINER or node.parent is None):
@@ -257,15 +320,16 @@ def extract(page: str | None) -> str:
             text_like = sibling.tag == "p" and sibling.length >= 80 and sibling.linked < 0.25 * sibling.length
             if sibling.tag in _HEADING or text_like or score.get(sibling, 0.0) >= max(10.0, 0.5 * score[best]):
                 kept.add(sibling)
-    out = []
-    for node, text, _ in blocks:
-        at, menu = node, False
-        while at is not None and at not in kept:
-            menu = menu or at.tag in ("ul", "ol") and at.length and at.linked > 0.8 * at.length and len(at.children) > 2
-            at = at.parent
-        if at is not None and not menu:
-            out.append(text)
-    return "\n".join(out)
+    # Whether a node lies in what is kept, and below that in a list of links.
+    inside: dict[Node, tuple[bool, bool]] = {}
+    for node in nodes:
+        if node in kept:
+            inside[node] = (True, False)
+        else:
+            within, menu = inside.get(node.parent, (False, False))
+            links = node.tag in ("ul", "ol") and node.length and node.linked > 0.8 * node.length and len(node.children) > 2
+            inside[node] = (within, bool(menu or links))
+    return "\n".join(text for node, text, _ in blocks if inside[node] == (True, False))
 
 
 def main_text(df: DataFrame, page: str = "html", text: str = "text") -> DataFrame:

@@ -3,6 +3,7 @@
 import collections
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -326,6 +327,31 @@ def test_html():
     assert html_text.extract("<div>" * 3000 + "deep") == "deep"
 
 
+PARAGRAPHS = "<p>A long paragraph, with commas, that goes on for quite a while, so that it counts for an article.</p>" * 5
+
+
+@pytest.mark.parametrize("wrapper", [
+    "<div class='content-sidebar-wrap'>%s</div>", "<div class='no-sidebar'>%s</div>", "<div class='has-comments post'>%s</div>",
+    "<div id='main-form'>%s</div>", "<form action=x>%s<input value=no></form>",
+    "<body><div class='no-sidebar'><div class='has-comments'><form>%s</form><div class=comments><p>Nice, thanks</p></div></div></div>"
+    "<div class=cookie-notice><p>We use cookies, and so on</p></div>",
+])
+def test_html_named_wrappers(wrapper):
+    assert html_text.extract(wrapper % PARAGRAPHS).split("\n") == re.findall("<p>(.*?)</p>", PARAGRAPHS)
+
+
+def test_html_notices_alone_are_no_article():
+    assert html_text.extract("<div class=cookie-notice>" + PARAGRAPHS + "</div>") == ""
+
+
+@pytest.mark.parametrize("unit", [
+    "<a ", "a<b ", '<div class="x ', "<div>x", "<ul><li>x", "<b>", "<p><form><p>x", "<!-- ", "<form>", "<div class='no-sidebar'>", "<script></script ", "</p"])
+def test_html_broken_megabyte_takes_seconds(unit):
+    started = time.perf_counter()
+    html_text.extract(unit * (1_000_000 // len(unit)))
+    assert time.perf_counter() - started < 30
+
+
 def test_html_pages(spark):
     pages = html_text.main_text(table(spark, SF, "pages")).collect()
     assert all(r.text and "<" not in r.text for r in pages)
