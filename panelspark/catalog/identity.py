@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from panelspark.catalog import roles
 from panelspark.catalog.registry import register
+from panelspark.catalog.roles import AS_OF
 from panelspark.operators import matching as M
 from panelspark.operators.latest import latest_version
+from panelspark.plans.identity import run_matching
+from panelspark.session import shared_folder
+from panelspark.sources import tables
 
 
 @register(
@@ -117,6 +123,32 @@ def match_links(spark, sf_dir):
     return M.apply_links(members, M.best_matches(members, current)).select("cin", "epic_pat_id")
 
 
+_FOLLOWED = """
+    , steps AS (SELECT patient_mrg_hist, min(pat_id) AS new_id FROM merges WHERE pat_id <> patient_mrg_hist GROUP BY ALL),
+    followed AS (SELECT m.* REPLACE (coalesce(new_id, epic_pat_id) AS epic_pat_id) FROM members m LEFT JOIN steps ON patient_mrg_hist = epic_pat_id)"""
+
+
+@register(
+    "matching_job",
+    f"""{_FOLLOWED}{_SCORED.replace("FROM members", "FROM followed")}, best AS ({_BEST})
+    SELECT epic_pat_id, cin, dob, phc_name, epic_name, round(fuzzy_score, 6) AS fuzzy_score FROM best
+    UNION ALL
+    SELECT new_id, cin, NULL, NULL, NULL, NULL FROM members JOIN steps ON patient_mrg_hist = epic_pat_id""",
+    ("members", "patients", "merges"),
+)
+def matching_job(spark, sf_dir):
+    """The log of a matching run that follows merged ids, finds links and publishes both; it is run twice."""
+    folder = shared_folder(spark, "matching")
+    tables.write_version(roles.match_members(spark, sf_dir), f"{folder}/membership", 1)
+    tables.publish(spark, f"{folder}/membership", 1)
+    for _ in range(2):
+        run_matching(
+            spark, f"{folder}/membership", f"{folder}/log", roles.match_patients(spark, sf_dir), roles.merge_history(spark, sf_dir),
+            "patient_mrg_hist", "pat_id", dt.datetime.combine(AS_OF, dt.time(7)))
+    log = spark.read.parquet(f"{folder}/log")
+    return log.drop("run").withColumn("fuzzy_score", F.round("fuzzy_score", 6))
+
+
 @register(
     "rekey_merged_ids",
     """

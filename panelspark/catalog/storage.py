@@ -13,9 +13,11 @@ from panelspark.catalog.membership import _MERGED
 from panelspark.catalog.registry import register
 from panelspark.catalog.roles import AS_OF, MONTH, YEAR
 from panelspark.functions import text as X
+from panelspark.operators.checks import CheckFailed
 from panelspark.operators.latest import first_per_group
 from panelspark.plans.audit import audit_row
-from panelspark.plans.measures_file import MeasureTables, run_measures_file
+from panelspark.plans.measures_file import MeasureTables, check_measures, mapped_measures, run_measures_file
+from panelspark.plans.roster_files import run_roster_files
 from panelspark.plans.roster_month import RosterTables, mapped_roster, month_columns, processed_rows, run_roster_month, scanned_rows
 from panelspark.schemas import MEMBERSHIP_LOG, PROCESSED_FIELDS, SHEET_TO_MEASURES
 from panelspark.session import shared_folder
@@ -108,10 +110,8 @@ def roster_pages(spark, sf_dir):
     )
 
 
-@register("roster_pages_split", _ROSTER_PAGES, ("contacts",))
-def roster_pages_split(spark, sf_dir):
-    """The same pages as files that the reader cuts at row ends."""
-    every = roles.clinics(spark, sf_dir).withColumn("is_active", F.lit(1))
+def _page_files(spark, sf_dir):
+    """The same pages as files, dated as the role; their folder."""
     pages, folder = _roster_pages(spark, sf_dir), shared_folder(spark, "pages")
     number = F.row_number().over(Window.partitionBy("path").orderBy("html")).cast("string")
     named = pages.select("html", F.replace(F.split_part("path", F.lit("/"), F.lit(2)), F.lit("_1_"), F.concat(F.lit("_"), number, F.lit("_"))).alias("file"))
@@ -119,12 +119,52 @@ def roster_pages_split(spark, sf_dir):
     for row in file_list(spark, f"{folder}/written", ".txt", recursive=True).select("path").collect():  # as many as sites and blocks
         source, fs = tables.file_system(spark, row.path)
         fs.rename(source, tables.file_system(spark, f"{folder}/{source.getParent().getName().split('=', 1)[1]}")[0])
-    return scanned_rows(spark, folder, every).select(
+        _date_file(spark, f"{folder}/{source.getParent().getName().split('=', 1)[1]}", AS_OF)
+    return folder
+
+
+@register("roster_pages_split", _ROSTER_PAGES, ("contacts",))
+def roster_pages_split(spark, sf_dir):
+    """The pages as files that the reader cuts at row ends."""
+    every = roles.clinics(spark, sf_dir).withColumn("is_active", F.lit(1))
+    return scanned_rows(spark, _page_files(spark, sf_dir), every).select(
         "BIC_HIK", "Clinic", "LastName", "Sex", "DOB", "NewMember", "PhoneNumber", "Address",
         "OtherInsurance", "SpecialMemberFlag", "period",
     )
 
 
+@register(
+    "roster_pipeline_job",
+    f"""
+    SELECT {YEAR} AS year, {MONTH} AS month, count(b.cin) AS update_count, count(*) - count(b.cin) AS insert_count,
+           count(*) AS enrolled_count, count(*) FILTER (coalesce(b.months_enrolled, 0) + 1 >= {MONTH - 3}) AS qip_eligible_count,
+           CAST(NULL AS VARCHAR) AS failure_step, 1 AS is_success, count(*) AS history_rows, CAST(NULL AS VARCHAR) AS stopped_by
+    FROM customers c LEFT JOIN base b ON b.cin = c.cin
+    UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, 'Missing clinic files: SiteZ', 0, 0, 'check'""",
+    ("customers", "base"),
+)
+def roster_pipeline_job(spark, sf_dir):
+    """Raw pages of every customer to a published month; a first try is stopped by a clinic without pages."""
+    folder, pages = _seeded(spark, sf_dir, MONTH), _page_files(spark, sf_dir)
+    # Names of which none is part of another.
+    clinics = roles.clinics(spark, sf_dir).withColumns({"is_active": F.lit(1), "clinic_key": F.concat(F.lit("Site"), F.chr(F.col("id") + 65))})
+    present = roles.table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("id")).distinct()
+    clinics = clinics.join(present, "id", "left_semi")
+    lacking = clinics.unionByName(clinics.limit(1).withColumns({"id": F.lit(99), "phc_id": F.lit(999), "clinic_key": F.lit("SiteZ")}))
+    stored = RosterTables(*(f"{folder}/{n}" for n in ("membership", "history", "log", "reports")))
+    run_at, stopped = dt.datetime.combine(AS_OF, dt.time(8)), None
+    try:
+        run_roster_files(spark, pages, f"{folder}/processed", lacking, stored, run_at)
+    except CheckFailed:
+        stopped = "check"
+    run_roster_files(spark, pages, f"{folder}/processed", clinics, stored, run_at)
+    of_month = (F.col("year") == YEAR) & (F.col("month") == MONTH)
+    recorded = spark.read.parquet(stored.history).where(of_month).count()
+    good = F.col("is_success") == 1
+    return spark.read.parquet(stored.log).drop("logged_at").withColumns(
+        {"history_rows": F.when(good, recorded).otherwise(0).cast("long"), "stopped_by": F.when(~good, F.lit(stopped))})
+
+
 @register(
     "roster_dedupe_union",
     """
@@ -456,6 +496,16 @@ def roster_job(spark, sf_dir):
     return spark.read.parquet(stored.log).drop("logged_at")
 
 
+def _staged_upload(spark, sf_dir, measures_map):
+    return (
+        roles.measures_upload(spark, sf_dir)
+        .join(F.broadcast(measures_map.select(F.col("id").alias("measure_id"), "measure")), "measure_id")
+        .withColumn("clinic_text", F.concat(F.lit("Site "), (F.col("clinic_id") + 100).cast("string")))
+        .withColumn("measure_text", F.concat("measure", F.lit(" 2001")))
+        .drop("measure", "measure_id", "clinic_id")
+    )
+
+
 @register(
     "measures_job",
     """
@@ -467,13 +517,7 @@ def measures_job(spark, sf_dir):
     folder = _seeded(spark, sf_dir, MONTH + 1, finished=True)
     clinics = roles.clinics(spark, sf_dir).withColumn("is_active", F.lit(1))
     measures_map = roles.measures_map(spark, sf_dir)
-    staged = (
-        roles.measures_upload(spark, sf_dir)
-        .join(F.broadcast(measures_map.select(F.col("id").alias("measure_id"), "measure")), "measure_id")
-        .withColumn("clinic_text", F.concat(F.lit("Site "), (F.col("clinic_id") + 100).cast("string")))
-        .withColumn("measure_text", F.concat("measure", F.lit(" 2001")))
-        .drop("measure", "measure_id", "clinic_id")
-    )
+    staged = _staged_upload(spark, sf_dir, measures_map)
     stored = MeasureTables(
         f"{folder}/membership", f"{folder}/history", f"{folder}/measures", f"{folder}/summary", f"{folder}/log"
     )
@@ -483,6 +527,25 @@ def measures_job(spark, sf_dir):
     return spark.read.parquet(stored.summary).select("measure_id", "clinic_id", "denominator", "numerator")
 
 
+@register(
+    "upload_warning",
+    """
+    SELECT 'Clinic - without rows: ' || (SELECT string_agg(CAST(900 + r_regionkey AS VARCHAR), ' & ' ORDER BY r_regionkey) FROM region)
+           || chr(10) || CASE WHEN (SELECT count(DISTINCT measure_id) FROM upload WHERE measure_id <> 4) = 4 THEN 'Measure - without rows: 99' END AS warning""",
+    ("upload",),
+)
+def upload_warning(spark, sf_dir):
+    """What a sheet's log says of mapped clinics and measures that it has no row of."""
+    clinics = roles.clinics(spark, sf_dir).withColumn("is_active", F.lit(1)).select("id", "phc_id", "clinic_key", "is_active")
+    number = (F.col("r_regionkey") + 900).cast("int")
+    further = roles.table(spark, sf_dir, "region").select(number.alias("id"), number.alias("phc_id"), F.col("r_name").alias("clinic_key"), F.lit(1).alias("is_active"))
+    known = roles.measures_map(spark, sf_dir)
+    measures_map = known.unionByName(known.limit(1).withColumns({"id": F.lit(99), "measure": F.lit("FURTHER"), "is_active": F.lit(1)}))
+    clinics = clinics.unionByName(further)
+    mapped = mapped_measures(_staged_upload(spark, sf_dir, known), clinics, measures_map)
+    return spark.createDataFrame([(check_measures(mapped, clinics, measures_map),)], "warning string")
+
+
 @register(
     "audit_row",
     f"""

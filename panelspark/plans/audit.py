@@ -33,6 +33,16 @@ def audited(spark: SparkSession, table: str, schema: T.StructType, logged_at: dt
         append_rows(audit_row(spark, schema, values, logged_at), table)
 
 
+@contextmanager
+def failure_logged(spark: SparkSession, table: str, schema: T.StructType, logged_at: dt.datetime) -> Iterator[None]:
+    """Log what stops the steps ahead of a run."""
+    try:
+        yield
+    except Exception as error:
+        append_rows(audit_row(spark, schema, {"failure_step": str(error)}, logged_at), table)
+        raise
+
+
 @contextmanager
 def audited_run(
     spark: SparkSession, registry: str, key: str, table: str, schema: T.StructType, logged_at: dt.datetime

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from panelspark.operators import checks, lookup
 from panelspark.operators import reconcile as C
-from panelspark.operators.keys import coverage, not_in_months
+from panelspark.operators.keys import coverage
 from panelspark.operators.summary import measure_summary
 from panelspark.plans.audit import audited_run
 from panelspark.schemas import (
@@ -147,8 +147,7 @@ def run_measures_file(
                 "error",
             )
             membership, _ = run.snapshot(changes.membership, stored.membership, int(run_at.strftime("%Y%m%d%H%M")))
-            new_rows = not_in_months(checks.staged(changes.history, "history-rows"), history, ["cin"])
-            run.rows(tables.with_inserted_at(new_rows), stored.history, keep_earlier=not again)
+            run.rows(tables.with_inserted_at(changes.history), stored.history, keep_earlier=not again)
         elif again:  # what the earlier sheet changed is taken back
             run.snapshot(membership, stored.membership)
             run.rows(history.limit(0).drop(RUN), stored.history)

@@ -45,16 +45,15 @@ def scanned_rows(spark: SparkSession, folder: str, clinics: DataFrame, glob: str
 _SITE = ["site", "file_month", "file_year"]
 
 
-def _with_site(df: DataFrame, clinics: DataFrame) -> DataFrame:
+def file_sites(df: DataFrame, clinics: DataFrame) -> DataFrame:
+    """Site, month and year of each path, NULL where it names none."""
     return lookup.map_contained(
         df, "path", lookup.plan_sites(clinics), "phc_key", "clinic_key", "site", order="id", last=True
-    ).withColumns(
-        {
-            "site": lookup.required(F.col("site"), F.col("path")),
-            "file_month": D.month_number(F.col("path")),
-            "file_year": D.file_year(F.col("path")),
-        }
-    )
+    ).withColumns({"file_month": D.month_number(F.col("path")), "file_year": D.file_year(F.col("path"))})
+
+
+def _with_site(df: DataFrame, clinics: DataFrame) -> DataFrame:
+    return file_sites(df, clinics).withColumn("site", lookup.required(F.col("site"), F.col("path")))
 
 
 def _normalized(rows: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ SEPARATOR = "%"
 MAX_COLUMNS = 64
 
 
-def write_roster(df: DataFrame, folder: str, period: str = "period") -> None:
+def write_roster(df: DataFrame, folder: str, period: str = "period", mode: str = "error") -> None:
     """Write processed rows as ``period=<site>_<MM-YYYY>/part-*`` files with a header.
 
     Rows are rebalanced by period: one file for most, several for a large site.
@@ -23,7 +23,8 @@ def write_roster(df: DataFrame, folder: str, period: str = "period") -> None:
     (
         df.select(*columns, period)
         .hint("rebalance", period)
-        .write.partitionBy(period)
+        .write.mode(mode)
+        .partitionBy(period)
         .option("sep", SEPARATOR)
         .option("header", True)
         .option("escape", '"')

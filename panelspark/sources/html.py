@@ -93,13 +93,8 @@ def _named(fields: Sequence[str]) -> list[Column]:
     return columns
 
 
-def scan_html_tables(spark: SparkSession, path: str, fields: Sequence[str], glob: str = "*.xls") -> DataFrame:
-    """Rows of files that hold one table each, with path and provenance, as ``html_table`` gives them.
-
-    The reader cuts files at ``</tr>``, so a large one is read by many tasks. Each file's header, the first row of its
-    first block, is found by a scan of its own and joined by path; there are as many as files. A
-    file that writes its tags otherwise is one piece.
-    """
+def _cut_rows(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    """Rows of files cut at row ends: path, block, order within the scan, position within a piece, provenance and cells."""
     pieces = (
         with_provenance(
             spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(path, lineSep="</tr>").select("value", "_metadata"))
@@ -107,11 +102,24 @@ def scan_html_tables(spark: SparkSession, path: str, fields: Sequence[str], glob
             F.concat("value", F.lit("</tr>")).alias("value"), F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_block_start").alias("_start"), "download_date", "year", "month", F.monotonically_increasing_id().alias("_order"))
     )
-    rows = html_rows(pieces, "value", ["path", "_start", "_order", "download_date", "year", "month"])
+    return html_rows(pieces, "value", ["path", "_start", "_order", "download_date", "year", "month"])
+
+
+def table_headers(spark: SparkSession, path: str, glob: str = "*.xls") -> DataFrame:
+    """Path, place and cells of the first row of each file that has one, from its first block."""
     place = F.struct("_order", "row_pos")
-    firsts = rows.where("_start = 0").groupBy("path").agg(F.min(place).alias("_first"), F.min_by("cells", place).alias("_header"))
-    headers = materialize(firsts, "table-headers")
-    below = (F.col("_start") > 0) | (place > F.col("_first"))
+    firsts = _cut_rows(spark, path, glob).where("_start = 0").groupBy("path")
+    return materialize(firsts.agg(F.min(place).alias("_first"), F.min_by("cells", place).alias("_header")), "table-headers")
+
+
+def scan_html_tables(spark: SparkSession, path: str, fields: Sequence[str], glob: str = "*.xls") -> DataFrame:
+    """Rows of files that hold one table each, with path and provenance, as ``html_table`` gives them.
+
+    The reader cuts files at ``</tr>``, so a large one is read by many tasks. Each file's header is found by a scan
+    of its own and joined by path; there are as many as files. A file that writes its tags otherwise is one piece.
+    """
+    rows, headers = _cut_rows(spark, path, glob), table_headers(spark, path, glob)
+    below = (F.col("_start") > 0) | (F.struct("_order", "row_pos") > F.col("_first"))
     return rows.join(broadcast_if_small(headers), "path").where(below).select("path", "download_date", "year", "month", *_named(fields))
 
 

@@ -1,17 +1,22 @@
 """Runs that publish together, die at any point, come again, and the jobs built on them."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from panelspark.operators.checks import CheckFailed
 from panelspark.plans.measures_file import MeasureTables, run_measures_file
 from panelspark.plans.retention import run_retention
-from panelspark.plans.roster_month import RosterTables, run_roster_month
-from panelspark.schemas import CLINIC_MAP, MEASURES_MAP, SHEET_TO_MEASURES
+from panelspark.plans.roster_files import fetch_due, run_roster_files
+from panelspark.plans.roster_month import RosterTables, run_roster_month, scanned_rows
+from panelspark.schemas import CLINIC_MAP, MEASURES_MAP, ROSTER_FIELDS, SHEET_TO_MEASURES
 from panelspark.sources import runs, tables
+from panelspark.sources.html import scan_html_tables
 from panelspark.sources.runs import Run
+from panelspark.sources.sheets import scan_sheets
 from panelspark.streaming.backlog import upload_backlog
 
 APR, MAY = dt.date(2024, 4, 20), dt.date(2024, 5, 11)
@@ -169,8 +174,6 @@ def test_backlog_uploads_each_sheet_once(spark, tmp_path):
     header = ",".join(SHEET_TO_MEASURES)
     for i, name in enumerate(("c.csv", "a.csv", "b.csv")):
         (folder / name).write_text(f"x\n{header}\nN00000000{i},Site 102,A,B,02/28/1990,1,F,Y,,Asthma 2024,Numerator\n")
-        import os
-
         when = dt.datetime(2024, 5, 12 + i, 12).timestamp()
         os.utime(folder / name, (when, when))
     seen = []
@@ -219,3 +222,79 @@ def test_retention_rewrites_changed_months_only(spark, tmp_path):
     got = sorted(r.id for r in spark.read.parquet(table).collect())
     assert got == [1, 2, 4, 5, 6, 7, 9]
     assert tables.read_version(spark, dates).count() == 6
+
+
+def page(*rows, fields=ROSTER_FIELDS):
+    values = {"First Name": "Ann", "Last Name": "Lee", "Birth": "02/28/1990", "Sex": "F", "Eff Date": "01/01/2024"}
+    head = "".join(f"<th>{f}</th>" for f in fields)
+    body = "".join("<tr>" + "".join(f"<td>{({'BIC#/HIK#': c} | values).get(f, '')}</td>" for f in fields) + "</tr>\n" for c in rows)
+    return f"<html><table>\n<tr>{head}</tr>\n{body}</table></html>"
+
+
+def pages(folder, **files):
+    folder.mkdir(parents=True)
+    for name, text in files.items():
+        (folder / f"{name}.xls").write_text(text)
+        when = dt.datetime(2024, 5, 11, 12).timestamp()
+        os.utime(folder / f"{name}.xls", (when, when))
+    return str(folder)
+
+
+def test_raw_pages_to_published_month(spark, tmp_path):
+    stored, processed = seeded(spark, tmp_path / "t"), str(tmp_path / "processed")
+    one, two = page("A000000001", "C000000001"), page("B000000001")
+    short = page("B000000001", fields=[f for f in ROSTER_FIELDS if f not in ("RP", "Birth")])
+    stops = [
+        ("No roster files", {}),
+        ("Missing clinic files: CD", {"Plan-101_1_May-2024": one}),
+        ("Unmapped clinic files: 1 in", {"Plan-101_1_May-2024": one, "Plan-102_1_May-2024": two, "Plan-777_1_May-2024": two}),
+        ("The roster files are not of one month", {"Plan-101_1_May-2024": one, "Plan-102_1_June-2024": two}),
+        ("Missing fields: 1 in", {"Plan-101_1_May-2024": one, "Plan-102_1_May-2024": short}),
+    ]
+    for i, (message, files) in enumerate(stops):
+        with pytest.raises(CheckFailed, match=message):
+            run_roster_files(spark, pages(tmp_path / f"raw{i}", **files), processed, clinics(spark), stored, RUN)
+    good = pages(tmp_path / "raw", **{"Plan-101_1_May-2024": one, "Plan-102_1_May-2024": two, "Plan-102_2_May-2024": two})
+    run_roster_files(spark, good, processed, clinics(spark), stored, RUN)
+    now = {r.cin: (r.months_enrolled, r.is_enrolled) for r in tables.read_version(spark, stored.membership).collect()}
+    assert now == {"A000000001": (5, 1), "B000000001": (1, 1), "C000000001": (1, 1), "Z000000001": (1, 0)}
+    log = spark.read.parquet(stored.log)
+    assert sorted(r.failure_step.split(":")[0] for r in log.where("is_success = 0").collect()) == sorted(m.split(":")[0] for m, _ in stops)
+    assert log.where("is_success = 1").count() == 1
+
+
+def test_fetch_is_due_once_there_is_something_newer(spark, tmp_path):
+    folder = pages(tmp_path / "sheets", a="x")
+    day = dt.date(2024, 5, 11)
+    assert fetch_due(spark, folder, day + dt.timedelta(1), dt.date(2024, 5, 12))
+    assert not fetch_due(spark, folder, day, dt.date(2024, 5, 12))
+    assert not fetch_due(spark, folder, day + dt.timedelta(30), dt.date(2024, 6, 9))
+    (tmp_path / "none").mkdir()
+    assert fetch_due(spark, str(tmp_path / "none"), day, dt.date(2024, 5, 12))
+
+
+def test_large_files_are_split(spark, tmp_path):
+    ids = [f"{i:010d}" for i in range(4000)]
+    folder = pages(tmp_path / "raw", **{"Plan-101_1_May-2024": page(*ids), "Plan-102_1_May-2024": page("B000000001").replace("tr>", "TR>")})
+    (tmp_path / "sheets").mkdir()
+    head = ",".join(SHEET_TO_MEASURES)
+    lines = [f"{c},Site 102,A,B,02/28/1990,1,F,Y,,Asthma 2024,Numerator" for c in ids]
+    (tmp_path / "sheets" / "a.csv").write_text("\n" + head + "\n" + "\n".join(lines) + "\n\n")
+    (tmp_path / "sheets" / "b.csv").write_text(f"top\nMore,{head}\nz,{lines[0]}\r\n")
+    whole = scanned_rows(spark, folder, clinics(spark)).select("BIC_HIK", "Clinic", "DOB").collect()
+    sheets = scan_sheets(spark, str(tmp_path / "sheets")).select("CIN", "PCP", "QIP Result").collect()
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        cut = scan_html_tables(spark, folder, ROSTER_FIELDS)
+        assert cut.rdd.getNumPartitions() > 5
+        assert sorted(scanned_rows(spark, folder, clinics(spark)).select("BIC_HIK", "Clinic", "DOB").collect()) == sorted(whole)
+        again = scan_sheets(spark, str(tmp_path / "sheets"))
+        assert again.rdd.getNumPartitions() > 5
+        assert sorted(again.select("CIN", "PCP", "QIP Result").collect()) == sorted(sheets)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sorted(r.BIC_HIK for r in whole) == [*ids, "B000000001"] and {r.Clinic for r in whole if r.BIC_HIK[0] == "B"} == {"CD"}
+    assert sorted(r.CIN for r in sheets) == sorted([*ids, ids[0]]) and {r["QIP Result"] for r in sheets} == {"Numerator"}
