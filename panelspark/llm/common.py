@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,19 +88,47 @@ _IS_WORD = np.zeros(256, bool)
 _IS_WORD[0x30:0x3A] = _IS_WORD[0x61:0x7B] = _IS_WORD[0x80:] = True
 
 
+#: Bytes of words that are hashed at once, so that a long text needs no powers of its length.
+_WORD_BLOCK = 1 << 20
+
+
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of several texts, and where each text's words begin (one more entry).
 
     A-Z are lower-cased; words are runs of 0-9, a-z and characters beyond ASCII.
     """
-    bytes_ = Bytes(texts, fold_case=True)
-    inside = np.zeros(len(bytes_.data) + 2, bool)
-    inside[1:-1] = _IS_WORD[bytes_.data]
+    parts = [t.encode("utf-8", "surrogatepass") for t in texts]
+    starts = np.zeros(len(parts) + 1, np.int64)
+    np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)), out=starts[1:])
+    data = _LOWER[np.frombuffer(b"".join(parts), np.uint8)]
+    inside = np.zeros(len(data) + 2, bool)
+    inside[1:-1] = _IS_WORD[data]
     opens = inside[1:] & ~inside[:-1]
     closes = ~inside[1:] & inside[:-1]
-    edges = bytes_.starts[1:-1]
-    edges = edges[(edges > 0) & (edges < len(bytes_.data))]
+    edges = starts[1:-1]
+    edges = edges[(edges > 0) & (edges < len(data))]
     joined = edges[inside[edges] & inside[edges + 1]]  # words that touch across two texts
     opens[joined] = closes[joined] = True
     begin, end = np.flatnonzero(opens), np.flatnonzero(closes)
-    return bytes_.hashes(begin, end), np.searchsorted(begin, bytes_.starts)
+    hashes = np.zeros(len(begin), np.uint64)
+    first = 0
+    while first < len(begin):
+        last = max(first + 1, int(np.searchsorted(end, begin[first] + _WORD_BLOCK, "right")))
+        low = begin[first]
+        block = Bytes([data[low : end[last - 1]].tobytes()])
+        hashes[first:last] = block.hashes(begin[first:last] - low, end[first:last] - low)
+        first = last
+    return hashes, np.searchsorted(begin, starts)
+
+
+def byte_slices(batches: Batches, *columns: str, limit: int = 1 << 20) -> Batches:
+    """The batches in slices of rows with about ``limit`` bytes in these columns; a longer text is a slice of its own."""
+    for batch in batches:
+        sizes = np.zeros(batch.num_rows, np.int64)
+        for column in columns:
+            sizes += pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        parts = np.cumsum(sizes) // limit
+        edges = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), batch.num_rows]
+        for begin, end in zip(edges, edges[1:], strict=False):
+            if end > begin:
+                yield batch.slice(begin, end - begin)

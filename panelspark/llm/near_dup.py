@@ -12,7 +12,8 @@ is compared with the one that has most neighbours over all bands; what is not ye
 is then compared with those of the bucket's other components whose folded weights allow the similarity, so
 that no link between components is lost though a group is not expanded into all its pairs.
 
-Texts without words (null, empty, symbols) are each a class of their own. Rows with a null id have
+Texts without words (null, empty, symbols) are each a class of their own. Long texts are worked on one at a time,
+at about forty times their bytes. Rows with a null id have
 a null class. Repeated rows repeat with the same class. An empty table gives no rows; extra
 columns are not looked at.
 """
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import Batches, map_batches, mix, texts_of, word_hashes
+from panelspark.llm.common import Batches, byte_slices, map_batches, mix, texts_of, word_hashes
 from panelspark.session import broadcast_if_small, materialize
 
 SHINGLE = 5
@@ -83,7 +84,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 
     def run(batches: Batches) -> Batches:
         counts, n = np.zeros(DF_BUCKETS + 1, np.int64), 0
-        for batch in batches:
+        for batch in byte_slices(batches, "text"):
             value, _, _, sizes = shingles(texts_of(batch, "text"))
             counts[:-1] += np.bincount((value >> np.uint64(48)).astype(np.int64) % DF_BUCKETS, minlength=DF_BUCKETS)
             n += int(np.count_nonzero(sizes))
@@ -178,7 +179,7 @@ def signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
 
     def run(batches: Batches) -> Batches:
         sampler = Sampler(float(np.float32(idf.max(initial=1.0))))
-        for batch in batches:
+        for batch in byte_slices(batches, "text"):
             texts = texts_of(batch, "text")
             value, counts, first, sizes = shingles(texts)
             weight = counts.astype(np.float32) * idf[(value >> np.uint64(48)).astype(np.int64) % DF_BUCKETS]
@@ -230,7 +231,7 @@ def links(pairs: DataFrame, docs: DataFrame, idf: np.ndarray) -> DataFrame:
     )
 
     def run(batches: Batches) -> Batches:
-        for batch in batches:
+        for batch in byte_slices(batches, "text_a", "text_b"):
             near = np.array(similarities(texts_of(batch, "text_a"), texts_of(batch, "text_b"), idf))
             keep = pa.array(near >= SIMILARITY, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
@@ -276,7 +277,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     shared = materialize(shared.drop("size").join(first, ["band", "bucket"]), "near-dup-buckets")
     stars = materialize(shared.filter("id <> first").select(F.least("first", "id").alias("a"), F.greatest("first", "id").alias("b")).distinct(), "near-dup-stars")
     label = components(links(stars, rows, idf))
-    rest = _other_pairs(shared, label, stars, groups.select(F.col("own").alias("id"), "folded"))
+    rest = _other_pairs(shared, label, stars, groups.select(F.col("own").alias("id"), "folded", "bands"))
     if not rest.isEmpty():
         label = _joined(label, links(rest, rows, idf))
     named = worded.join(groups.select("key", "check", "own"), ["key", "check"]).select("doc_id", "own").distinct()
@@ -307,8 +308,9 @@ def may_be_near(a: str, b: str) -> Column:
 def _other_pairs(shared: DataFrame, label: DataFrame, tried: DataFrame, folded: DataFrame) -> DataFrame:
     """Pairs of a bucket in different components that were not compared yet and may be near.
 
-    Members of the chosen one's component meet only the others, of which a bucket has few. A pair of
-    others is made once.
+    Members of the chosen one's component meet only the others, of which a bucket has few. A pair
+    is made in the first band that it shares: in any bucket it shares, one of the two is not in the chosen
+    one's component, so the pair is met there.
     """
     marked = shared.join(label.withColumnRenamed("doc_id", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     main = label.select(F.col("doc_id").alias("first"), F.col("component").alias("main"))
@@ -316,11 +318,13 @@ def _other_pairs(shared: DataFrame, label: DataFrame, tried: DataFrame, folded:
     open_ = marked.filter(F.col("component") != F.col("main"))
     marked = marked.join(open_.select("band", "bucket").distinct(), ["band", "bucket"]).join(folded, "id")
     others = marked.filter(F.col("component") != F.col("main"))
-    left = others.select("band", "bucket", F.col("id").alias("x"), F.col("component").alias("cx"), F.col("folded").alias("fx"))
+    left = others.select("band", "bucket", F.col("id").alias("x"), F.col("component").alias("cx"), F.col("folded").alias("fx"), F.col("bands").alias("bx"))
     right = marked.select(
-        "band", "bucket", F.col("id").alias("y"), F.col("component").alias("cy"), F.col("folded").alias("fy"),
+        "band", "bucket", F.col("id").alias("y"), F.col("component").alias("cy"), F.col("folded").alias("fy"), F.col("bands").alias("by"),
         (F.col("component") == F.col("main")).alias("in_main"))
-    pairs = left.join(right, ["band", "bucket"]).filter((F.col("cx") != F.col("cy")) & (F.col("in_main") | (F.col("x") < F.col("y"))) & may_be_near("fx", "fy"))
+    first_shared = F.array_position(F.zip_with("bx", "by", lambda p, q: p == q), F.lit(True)) == F.col("band") + 1
+    meets = (F.col("cx") != F.col("cy")) & (F.col("in_main") | (F.col("x") < F.col("y"))) & first_shared & may_be_near("fx", "fy")
+    pairs = left.join(right, ["band", "bucket"]).filter(meets)
     pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     return materialize(pairs.join(tried, ["a", "b"], "left_anti"), "near-dup-rest")
 
