@@ -68,5 +68,5 @@ def fetch_due(spark: SparkSession, processed: str, published: dt.date, as_of: dt
     """
     newest = file_list(spark, processed, recursive=True).agg(F.max(F.to_date("modificationTime")).alias("last_file"))
     due = checks.new_data_due(
-        F.coalesce("last_file", F.lit(dt.date.min)), F.lit(published), F.lit(as_of))
+        F.coalesce("last_file", F.lit(dt.date(1900, 1, 1))), F.lit(published), F.lit(as_of))
     return bool(newest.select(due.alias("due")).first().due)
