@@ -315,14 +315,14 @@ def delimited_round_trip(spark, sf_dir):
     )
 
 
-def _write_sheets(spark, sf_dir):
-    """Every customer as a row of a measures sheet of its region, one file per sheet."""
+def _write_sheets(spark, sf_dir, of="county"):
+    """Every customer as a row of a measures sheet of its region, or of several, one file per sheet."""
     c = (
         roles.contacts(spark, sf_dir)
         .join(roles.clinics(spark, sf_dir).select("phc_id", "county", F.col("clinic_key").alias("n_name")), "n_name")
         .select(
             F.concat_ws(
-                "-", "county", F.floor(F.conv("cin", 36, 10).cast("bigint") / _FILE_ROWS).cast("string")
+                "-", of, F.floor(F.conv("cin", 36, 10).cast("bigint") / _FILE_ROWS).cast("string")
             ).alias("sheet"),
             F.concat_ws(
                 ",", "cin", F.concat(F.lit("Site "), "phc_id"), "c_mktsegment", "c_name", F.lit("02/28/1990"),
@@ -402,7 +402,7 @@ def backlog_stream(spark, sf_dir):
     f"""
     SELECT n_nationkey AS clinic_id, count(*) AS measure_rows, CAST(sum(is_compliant) AS BIGINT) AS numerator,
            count(*) AS history_rows, count(*) AS members,
-           (SELECT count(DISTINCT c_custkey // {_FILE_ROWS} || r_name) FROM customer JOIN nation ON c_nationkey = n_nationkey
+           (SELECT count(DISTINCT c_custkey // {_FILE_ROWS} || left(r_name, 1)) FROM customer JOIN nation ON c_nationkey = n_nationkey
             JOIN region ON n_regionkey = r_regionkey) AS uploads
     FROM ({_SHEET_ROWS.replace("SELECT cin,", "SELECT CAST(n_nationkey AS INTEGER) AS n_nationkey, cin,", 1)}) GROUP BY n_nationkey""",
     ("contacts",),
@@ -413,7 +413,7 @@ def backlog_job(spark, sf_dir):
     stored = MeasureTables(*(f"{folder}/{n}" for n in ("membership", "history", "measures", "summary", "log")))
     tables.append_history(roles.history(spark, sf_dir).withColumn("run", F.lit("seed")), stored.history, ("year", "month", "run"))
     clinics = roles.clinics(spark, sf_dir).withColumn("is_active", F.lit(1))
-    sheets, checkpoint = _write_sheets(spark, sf_dir), shared_folder(spark, "backlog-checkpoint")
+    sheets, checkpoint = _write_sheets(spark, sf_dir, F.left("county", F.lit(1))), shared_folder(spark, "backlog-checkpoint")
     for minute, row in enumerate(file_list(spark, sheets, ".txt", recursive=True).select("path").collect()):  # as many as sheets
         _date_file(spark, row.path, AS_OF, minute % 60)
     run_at, published = dt.datetime.combine(AS_OF, dt.time(9)), []
