@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -34,6 +38,17 @@ def map_batches(df: DataFrame, function: Callable[[Batches], Batches], schema: s
     return df.mapInArrow(function, schema)
 
 
+def free_models(*others: str) -> None:
+    """Drop what other operators' modules keep in this worker between tasks, and give their memory back."""
+    held = [m._loaded for m in (sys.modules.get(f"panelspark.llm.{name}") for name in others) if m is not None and m._loaded]
+    for models in held:
+        models.clear()
+    if held:
+        gc.collect()
+        with contextlib.suppress(OSError, AttributeError):  # not every C library can
+            ctypes.CDLL(None).malloc_trim(0)
+
+
 def texts_of(batch: pa.RecordBatch, name: str) -> list[str]:
     """A text column; null becomes the empty text."""
     return [x or "" for x in batch.column(name).to_pylist()]

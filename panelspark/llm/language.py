@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import Batches, map_batches, texts_of
+from panelspark.llm.common import Batches, byte_slices, free_models, map_batches, texts_of
 
 #: The learned sample: so many labelled rows of a language, whole, and at most so many of their
 #: characters in the automaton. Letters beyond the most frequent of the samples match nothing.
@@ -201,12 +201,15 @@ def identify(df: DataFrame, samples: dict[str, str], text: str = "text", lang_pr
         raise ValueError(f"columns {sorted(clash)} exist already")
 
     def run(batches: Batches) -> Batches:
+        free_models("bpe", "token_files", "toxicity")
         parser = _parser(samples) if samples else None
-        for batch in batches:
+        for batch in byte_slices(batches, text, limit=4 << 20):
             texts = texts_of(batch, text)
             names, scores = parser.predict(texts) if parser and texts else (["und"] * len(texts), [0.0] * len(texts))
             columns = [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, lang_pred, score])
+        del parser
+        free_models("language")  # the automata are soon built again, and what follows needs the memory
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields]
     return map_batches(df, run, ", ".join([*fields, f"`{lang_pred}` string", f"`{score}` double"]))
