@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 # A longest-common-subsequence row fits one bigint up to this length.
-_WORD = 62
+SHORT = 62
 
 
 def normal_name(name: Column, hyphens: bool = True) -> Column:
@@ -58,8 +61,8 @@ def lcs_length(a: str, b: str) -> Column:
 
     return F.expr(
         f"""CAST(CASE WHEN {a} = '' OR {b} = '' THEN 0
-                      WHEN length({a}) <= {_WORD} THEN {bits(a, b)}
-                      WHEN length({b}) <= {_WORD} THEN {bits(b, a)}
+                      WHEN length({a}) <= {SHORT} THEN {bits(a, b)}
+                      WHEN length({b}) <= {SHORT} THEN {bits(b, a)}
                       ELSE {rows(a, b)} END AS INT)"""
     )
 
@@ -67,7 +70,7 @@ def lcs_length(a: str, b: str) -> Column:
 def letter_masks(name: str) -> Column:
     """Positions of each letter of a text column as bits, NULL beyond 62 characters."""
     return F.expr(
-        f"""CASE WHEN length({name}) <= {_WORD} THEN get(transform(
+        f"""CASE WHEN length({name}) <= {SHORT} THEN get(transform(
               array(struct(split(reverse({name}), '') AS letters, array_distinct(split({name}, '')) AS kinds)),
               t -> map_from_arrays(t.kinds, transform(t.kinds, kind ->
                 aggregate(t.letters, 0L, (mask, x) -> mask * 2L + CAST(x = kind AS BIGINT))))), 0) END"""
@@ -87,6 +90,42 @@ def lcs_length_masked(text: str, name: str, masks: str) -> Column:
     )
 
 
+def name_codes(names: list[str | None], filler: int) -> np.ndarray:
+    """Code points of the names as rows of one length; ``filler`` is no code point. Names beyond 62 characters, and missing ones, give none."""
+    short = ["" if name is None or len(name) > SHORT else name for name in names]
+    codes = np.full((len(short), max(map(len, short), default=0)), filler, "u4")
+    for row, name in zip(codes, short, strict=True):
+        row[: len(name)] = np.frombuffer(name.encode("utf-32-le"), "u4")
+    return codes
+
+
+def lcs_of_codes(patterns: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """``lcs_length`` row by row, for codes with different fillers: a row of the table is one word for each pair."""
+    rows, hits = np.full(len(patterns), 2**64 - 1, "u8"), np.zeros((len(patterns), 8), "u1")
+    for letter in texts.T:
+        bits = np.packbits(patterns == letter[:, None], axis=1, bitorder="little")
+        hits[:, : bits.shape[1]] = bits
+        mask = hits.view("<u8")[:, 0]
+        rows = (rows + (rows & mask)) | (rows & ~mask)
+    return np.bitwise_count(~rows)
+
+
+#: No code points: what fills up a member's name and a patient's.
+FILLERS = 2**32 - 1, 2**32 - 2
+
+
+@F.pandas_udf(IntegerType())
+def _lcs_of_short(a: pd.Series, b: pd.Series) -> pd.Series:
+    codes = (name_codes(names.tolist(), filler) for names, filler in zip((a, b), FILLERS, strict=True))
+    return pd.Series(lcs_of_codes(*codes).astype("i4"))
+
+
+def lcs_length_batched(a: str, b: str) -> Column:
+    """``lcs_length``, of whole batches of names at once up to 62 characters."""
+    short = (F.length(a) <= SHORT) & (F.length(b) <= SHORT)
+    return F.when(short, _lcs_of_short(F.when(short, F.col(a)), F.when(short, F.col(b)))).otherwise(lcs_length(a, b))
+
+
 def min_common(len_a: Column, len_b: Column) -> Column:
     """The least common-subsequence length that scores above 85."""
     return F.floor(17 * (len_a + len_b) / 40).cast("int") + 1
@@ -135,7 +174,7 @@ def may_exceed_85(a: str, b: str, len_a: str | None = None, len_b: str | None =
     return F.expr(f"{edits} >= 0 AND levenshtein({a}, {b}, greatest({edits}, 0)) >= 0")
 
 
-def similarity(a: str, b: str, masks_b: str | None = None) -> Column:
+def similarity(a: str, b: str, masks_b: str | None = None, batched: bool = False) -> Column:
     """Normalized insert/delete similarity of two text columns, 0 to 100."""
-    common = lcs_length_masked(a, b, masks_b) if masks_b else lcs_length(a, b)
+    common = lcs_length_masked(a, b, masks_b) if masks_b else lcs_length_batched(a, b) if batched else lcs_length(a, b)
     return F.lit(200.0) * common / (F.length(a) + F.length(b))

@@ -7,32 +7,42 @@ exceeds 85. The best patient per member wins.
 Members and patients are reduced to distinct names per date of birth, and pairs of names are
 found by equality joins:
 
-* A block (one date of birth) whose pairs stay within a fixed number per name is joined
-  whole, spread over as many salts as it needs.
-* A larger block is joined on name tokens, for the agreeing names, and on grams of three characters, for
-  the similar ones. A pair that scores above 85 needs at most ``max_edits`` insertions and
-  deletions, which leave a number of grams in place. So it is enough to look up the rarest
-  grams of each name (prefix filtering), at places that the edits allow.
-
-Both ways feed the same exact test, and neither drops a pair that passes it.
+* Names that agree in a token meet on their tokens.
+* Similar names of a block (one date of birth) whose pairs stay within a fixed number per name are
+  joined whole, spread over as many salts as it needs.
+* Those of a larger block are dealt by initial into chunks of bounded size, and every chunk of members
+  meets every chunk of patients. A pair costs a few machine words there: the letters and lengths of
+  two names that score above 85 differ by their edits at most.
+
+All ways feed the same exact test, and none drops a pair that passes it.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.functions import names as N
 from panelspark.operators.keys import not_in
 from panelspark.operators.latest import first_per_group, latest_version
-from panelspark.session import broadcast_if_small, materialize
+from panelspark.session import materialize
 
 PAIRS_PER_NAME = 512
 PAIRS_PER_TASK = 250_000
 MAX_TASKS = 100_000
 BROADCAST_NAMES = 100_000
 
-#: Characters of a gram.
+#: Names of a chunk on average, in large blocks, and their pairs per task.
+CHUNK = 2048
+LARGE_PAIRS_PER_TASK = 10_000_000
+MAX_LARGE_TASKS = 2_000
+
+#: Tasks that score the found pairs, at most.
+SCORE_TASKS = 200
+
+#: Characters of a gram. No join uses grams any more; a test of their bound reads it.
 Q = 3
 
 MEMBER_KEY = ["m_first", "m_last"]
@@ -102,9 +112,19 @@ def _with_member_columns(df: DataFrame) -> DataFrame:
 
 
 def _with_patient_columns(df: DataFrame) -> DataFrame:
-    return df.withColumns(_patient_columns()).withColumns(
-        {"p_letters": N.letter_signature("epic_name"), "p_masks": N.letter_masks("epic_name")}
-    )
+    return df.withColumns(_patient_columns()).withColumn("p_letters", N.letter_signature("epic_name"))
+
+
+def _same_initial() -> Column:
+    same = F.lit(False)
+    for mine in ("m_initial_1", "m_initial_2"):
+        for other in ("p_initial_1", "p_initial_2"):
+            same = same | F.coalesce(F.col(mine) == F.col(other), F.lit(False))
+    return same
+
+
+def _letters_allow() -> Column:
+    return N.letters_allow("m_letters", "p_letters", "m_length", "p_length")
 
 
 def _block_pairs(members: DataFrame, patients: DataFrame, blocks: DataFrame, tasks: int) -> DataFrame:
@@ -116,18 +136,18 @@ def _block_pairs(members: DataFrame, patients: DataFrame, blocks: DataFrame, tas
     salted = blocks.withColumn("salts", F.expr(f"CAST(ceil(n_members * n_patients / {PAIRS_PER_TASK}) AS INT)"))
     every = "sequence(0, salts - 1)"
 
-    def salt(split_side: str, *name: str) -> Column:
-        one = f"array(CAST(pmod(xxhash64({', '.join(name)}), salts) AS INT))"
+    def salt(split_side: str, name: str) -> Column:
+        one = f"array(CAST(pmod(xxhash64({name}), salts) AS INT))"
         return F.explode(F.expr(f"IF({split_side}, {one}, {every})"))
 
     sizes = ["n_members", "n_patients", "salts"]
-    left = members.join(salted, "dob").withColumn("salt", salt("n_members >= n_patients", *MEMBER_KEY))
-    right = patients.join(salted, "dob").withColumn("salt", salt("n_members < n_patients", *PATIENT_KEY))
+    left = members.join(salted, "dob").withColumn("salt", salt("n_members >= n_patients", "m_id"))
+    right = patients.join(salted, "dob").withColumn("salt", salt("n_members < n_patients", "p_id"))
     return left.drop(*sizes).repartition(tasks, "dob", "salt").join(right.drop(*sizes), ["dob", "salt"])
 
 
 def _token_pairs(members: DataFrame, patients: DataFrame) -> DataFrame:
-    """Pairs that share a first-name and a last-name token."""
+    """Pairs that share a first-name and a last-name token, and an initial."""
     left = members.withColumn("t_first", F.explode("m_tokens_first")).withColumn(
         "t_last", F.explode("m_tokens_last")
     )
@@ -135,89 +155,120 @@ def _token_pairs(members: DataFrame, patients: DataFrame) -> DataFrame:
         "t_last", F.explode("p_tokens_last")
     )
     key = ["dob", "t_first", "t_last"]
-    return left.select(*key, *MEMBER_KEY).join(right.select(*key, *PATIENT_KEY), key)
-
-
-def _other_lengths(length: Column) -> Column:
-    """Lengths of the names that may score above 85 with one of this length."""
-    return F.sequence(
-        F.floor(17 * length / 23).cast("int") + 1, F.ceil(23 * length / 17).cast("int") - 1
-    )
+    left = left.select(*key, "m_id", "m_initial_1", "m_initial_2")
+    right = right.select(*key, "p_id", "p_initial_1", "p_initial_2")
+    return left.join(right, key).where(_same_initial()).select("m_id", "p_id")
 
 
-def _grams(name: str) -> Column:
-    """All runs of Q characters of a text column behind and ahead of padding, in order."""
-    pad = "\\u0001" * (Q - 1)
-    padded = f"concat('{pad}', {name}, '{pad}')"
-    return F.expr(f"transform(sequence(1, length({name}) + {Q - 1}), at -> substring({padded}, at, {Q}))")
+def _by_initial(names: DataFrame, side: str) -> DataFrame:
+    """A row for each distinct initial of a name; ``x_code`` stands for it and ``x_other`` for the name's other one."""
 
+    def code(initial: str) -> str:
+        return f"IF({initial} = '', -1, ascii({initial}))"
 
-def _shared_grams(n: Column, m: Column) -> Column:
-    """Grams that two names of these lengths share, in an alignment that scores above 85, at least.
-
-    A dropped character takes Q grams of its name with it and an added one breaks Q - 1. So of the ``n + Q - 1`` grams of a name, ``L + (Q - 1)(1 - E)`` stay where
-    ``L`` characters are common and ``E`` are dropped or added; the least ``L`` leaves fewest.
-    """
-    common = N.min_common(n, m)
-    return common + (Q - 1) * (1 - (n + m - 2 * common))
+    none = -2 if side == "m" else -3
+    initials = f"array_distinct(filter(array({side}_initial_1, {side}_initial_2), x -> x IS NOT NULL))"
+    return (
+        names.withColumn("_initials", F.expr(initials))
+        .withColumn("initial", F.explode("_initials"))
+        .withColumns({
+            f"{side}_code": F.expr(code("initial")),
+            f"{side}_other": F.expr(f"coalesce(get(transform(filter(_initials, x -> x <> initial), x -> {code('x')}), 0), {none})"),
+        })
+        .drop("_initials")
+    )
 
 
-def _prefix(n: Column, m: Column) -> Column:
-    """How many of its rarest grams a name of length ``n`` must look up to meet every partner of length ``m``.
+def _chunk_pairs(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Rows of both tables that score above 85, straight or flipped, or are too long to tell.
 
-    Of the grams that an alignment keeps, take the rarest. At least ``_shared_grams - 1`` others
-    stand behind it in the order of either name.
+    Letters and lengths come first. A pair that shares two initials comes from the chunks of the smaller one only.
     """
-    return n + Q - _shared_grams(n, m)
-
-
-def _rarest_grams(names: DataFrame, key: list[str], name: str, frequency: DataFrame, carried: list[str]) -> DataFrame:
-    """Each name's grams that any partner may have to meet, with their place ``rank`` in the order from rare to common."""
-    n = F.length(name)
-    longest = F.array_max(F.transform(_other_lengths(n), lambda m: _prefix(n, m)))
-    exploded = names.select("dob", *key, name, *carried, F.posexplode(_grams(name)).alias("at", "gram"))
-    ordered = (
-        exploded.join(broadcast_if_small(frequency), "gram")
-        .groupBy("dob", *key, name, *carried)
-        .agg(F.sort_array(F.collect_list(F.struct("n_names", "gram", "at"))).alias("grams"))  # one for each character
-    )
-    return ordered.select("dob", *key, name, *carried, F.posexplode(F.slice("grams", 1, longest)).alias("rank", "g")).select(
-        "dob", *key, name, *carried, "rank", "g.gram", "g.at")
-
-
-def similar_candidates(members: DataFrame, patients: DataFrame) -> DataFrame:
-    """Pairs, straight or flipped, that may score above 85; a pair may repeat. None that does is missing.
+    letters, others = left["m_letters"].to_numpy().view("u8"), right["p_letters"].to_numpy().view("u8")
+    lengths, sizes = left["m_length"].to_numpy(), right["p_length"].to_numpy()
+    m_other, p_other = left["m_other"].to_numpy(), right["p_other"].to_numpy()
+    orders = [N.name_codes(left[c].to_pylist(), N.FILLERS[0]) for c in ("phc_name", "phc_name_flipped")]
+    texts = N.name_codes(right["epic_name"].to_pylist(), N.FILLERS[1])
+    mine, theirs = [np.empty(0, "i8")], [np.empty(0, "i8")]
+    for n in np.unique(lengths):
+        edits = n + sizes - 2 * (17 * (n + sizes) // 40 + 1)
+        near = np.flatnonzero(edits >= np.abs(n - sizes))
+        if not near.size:
+            continue
+        most, near_letters = np.minimum(edits[near], 64).astype("u1"), others[near]
+        rows = np.flatnonzero(lengths == n)
+        for some in np.array_split(rows, len(rows) // 64 + 1):  # stays in the cache
+            i, j = np.nonzero(np.bitwise_count(letters[some, None] ^ near_letters) <= most)
+            i, j = some[i], near[j]
+            first = (m_other[i] != p_other[j]) | (m_other[i] > left["m_code"][0].as_py())
+            mine.append(i[first])
+            theirs.append(j[first])
+    mine, theirs = np.concatenate(mine), np.concatenate(theirs)
+    kept = []
+    for at in range(0, len(mine), 8192):
+        i, j = mine[at : at + 8192], theirs[at : at + 8192]
+        n, m = lengths[i], sizes[j]
+        similar = np.maximum(n, m) > N.SHORT
+        for codes in orders:
+            similar |= N.lcs_of_codes(codes[i], texts[j]) > 17 * (n + m) // 40
+        kept.append(at + np.flatnonzero(similar))
+    kept = np.concatenate(kept) if kept else np.empty(0, "i8")
+    a, b = left.take(pa.array(mine[kept])), right.take(pa.array(theirs[kept]))
+    columns = {c: a[c] for c in left.column_names if c not in _PAIRED} | {c: b[c] for c in right.column_names if c not in [*_PAIRED, "dob"]}
+    return pa.table(columns)
+
+
+#: Columns that only the pairing of chunks needs.
+_PAIRED = [
+    "initial", "m_chunk", "p_chunk", "m_code", "p_code", "m_other", "p_other", "m_letters", "p_letters", "m_length", "p_length",
+    "phc_name", "phc_name_flipped", "epic_name",
+]
+
+
+def similar_candidates(
+    members: DataFrame,
+    patients: DataFrame,
+    tasks: int = 8,
+    member_key: list[str] = MEMBER_KEY,
+    patient_key: list[str] = PATIENT_KEY,
+) -> DataFrame:
+    """Pairs of names, straight or flipped, that score above 85 or are too long to tell here. None that does is missing.
 
-    Names meet on their rarest grams only, at places that lengths and edits allow. The cheap
-    score tests run on the joined rows, so that few of them go on.
+    Names meet by date of birth and initial, in chunks. A row repeats once for each chunk of the other side, so
+    no task holds more than two chunks, however large a block is.
     """
-    straight_and_flipped = F.explode(F.array_distinct(F.array("phc_name", "phc_name_flipped")))
-    left = members.select("dob", *MEMBER_KEY, straight_and_flipped.alias("name"), "m_letters")
-    right = patients.select("dob", *PATIENT_KEY, "epic_name", "p_letters")
-    grams = left.select(F.explode(_grams("name")).alias("gram")).unionAll(right.select(F.explode(_grams("epic_name"))))
-    frequency = materialize(grams.groupBy("gram").agg(F.count("*").alias("n_names")), "gram-frequencies")
-    a = _rarest_grams(left, MEMBER_KEY, "name", frequency, ["m_letters"]).withColumnsRenamed({"rank": "m_rank", "at": "m_at"})
-    b = _rarest_grams(right, PATIENT_KEY, "epic_name", frequency, ["p_letters"]).withColumnsRenamed({"rank": "p_rank", "at": "p_at"})
-    a, b = a.withColumn("n", F.length("name")), b.withColumn("m", F.length("epic_name"))
-    n, m = F.col("n"), F.col("m")
-    common, moved = N.min_common(n, m), F.col("p_at") - F.col("m_at")
-    meets = (
-        (N.max_edits(n, m) >= 0)
-        & (F.col("m_rank") < _prefix(n, m)) & (F.col("p_rank") < _prefix(m, n))
-        & (moved >= common - n) & (moved <= m - common)
-    )
-    possible = N.letters_allow("m_letters", "p_letters", "n", "m") & N.may_exceed_85("name", "epic_name", "n", "m")
-    return a.join(b, ["dob", "gram"]).where(meets & possible)
+    left = _by_initial(members.select("dob", *member_key, "phc_name", "phc_name_flipped", "m_letters", "m_length", "m_initial_1", "m_initial_2"), "m")
+    right = _by_initial(patients.select("dob", *patient_key, "epic_name", "p_letters", "p_length", "p_initial_1", "p_initial_2"), "p")
+    key = ["dob", "initial"]
+    chunks = left.groupBy(*key).agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("m_chunks")).join(
+        right.groupBy(*key).agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("p_chunks")), key)
+    chunks = materialize(chunks, "chunks")
+
+    def dealt(names: DataFrame, side: str, name: list[str]) -> DataFrame:
+        own = F.expr(f"CAST(pmod(xxhash64({', '.join(name)}), {side}_chunks) AS INT)")
+        other = "p" if side == "m" else "m"
+        return (
+            names.drop(f"{side}_initial_1", f"{side}_initial_2").join(chunks, key)
+            .withColumns({f"{side}_chunk": own, f"{other}_chunk": F.explode(F.expr(f"sequence(0, {other}_chunks - 1)"))})
+            .drop("m_chunks", "p_chunks")
+            .repartition(tasks, *key, "m_chunk", "p_chunk")
+            .groupBy(*key, "m_chunk", "p_chunk")
+        )
+
+    fields = {f.name: f for f in [*left.schema, *right.schema]}
+    schema = ", ".join(f"{c} {fields[c].dataType.simpleString()}" for c in ["dob", *member_key, *patient_key])
+    return dealt(left, "m", member_key).cogroup(dealt(right, "p", patient_key)).applyInArrow(_chunk_pairs, schema)
 
 
 def accepted_names(
     members: DataFrame, patients: DataFrame, pairs_per_name: int = PAIRS_PER_NAME
 ) -> DataFrame:
     """Accepted pairs of distinct names with score and match flag; a pair may repeat."""
-    m_names = members.select("dob", *MEMBER_KEY).distinct()
-    m_names = materialize(_with_member_columns(m_names), "member-names")
+    m_names = _with_member_columns(members.select("dob", *MEMBER_KEY).distinct())
+    m_names = materialize(m_names.withColumn("m_id", F.monotonically_increasing_id()), "member-names")
     p_names = patients.groupBy("dob", "p_first", "p_last").agg(F.min("pat_id").alias("pat_id"))
-    p_names = materialize(_with_patient_columns(p_names), "patient-names")
+    p_names = _with_patient_columns(p_names)
+    p_names = materialize(p_names.withColumn("p_id", F.monotonically_increasing_id()), "patient-names")
     blocks = (
         m_names.groupBy("dob").agg(F.count("*").alias("n_members"))
         .join(p_names.groupBy("dob").agg(F.count("*").alias("n_patients")), "dob")
@@ -225,54 +276,46 @@ def accepted_names(
     )
     totals = blocks.selectExpr(
         "coalesce(sum(IF(whole, n_members * n_patients, 0)), 0) AS pairs",
+        "coalesce(sum(IF(whole, 0, CAST(n_members * n_patients AS DOUBLE))), 0) AS large_pairs",
         "coalesce(sum(n_patients), 0) AS patients",
         "count_if(NOT whole) AS large",
     ).first()
     tasks = min(MAX_TASKS, totals.pairs // PAIRS_PER_TASK + 1)
-    if totals.large == 0 and totals.patients <= BROADCAST_NAMES:
-        spread = m_names.repartition(tasks, "dob", *MEMBER_KEY)
-        return _accept(spread.join(F.broadcast(p_names), "dob"))
-    pairs = _block_pairs(m_names, p_names, blocks.where("whole").drop("whole"), tasks)
+    large_tasks = int(min(MAX_LARGE_TASKS, totals.large_pairs // LARGE_PAIRS_PER_TASK + 1))
+    names = m_names.select("dob", "m_id", "m_letters", "m_length", "m_initial_1", "m_initial_2")
+    others = p_names.select("dob", "p_id", "p_letters", "p_length", "p_initial_1", "p_initial_2")
+    few = totals.patients <= BROADCAST_NAMES
+    if totals.large == 0 and few:
+        pairs = names.repartition(tasks, "dob", "m_id").join(F.broadcast(others), "dob")
+    else:
+        pairs = _block_pairs(names, others, blocks.where("whole").drop("whole"), tasks)
+    found = pairs.where(_letters_allow() & _same_initial()).select("m_id", "p_id").unionByName(_token_pairs(m_names, p_names))
     if totals.large > 0:
         in_large = blocks.where("NOT whole").select("dob")
-        large = m_names.join(in_large, "dob"), p_names.join(in_large, "dob")
-        key = ["dob", *MEMBER_KEY, *PATIENT_KEY]
-        found = _token_pairs(*large).select(*key).unionByName(similar_candidates(*large).select(*key))
-        found = _with_patient_columns(_with_member_columns(found.distinct()))
-        pairs = pairs.select(*found.columns).unionByName(found)
-    return _accept(pairs)
+        similar = similar_candidates(m_names.join(in_large, "dob"), p_names.join(in_large, "dob"), large_tasks, ["m_id"], ["p_id"])
+        found = found.unionByName(similar.select("m_id", "p_id"))
+    spread = found.repartition(min(SCORE_TASKS, max(large_tasks, tasks)), "m_id").distinct()
+    return _accept(spread.join(m_names, "m_id").join((F.broadcast(p_names) if few else p_names).drop("dob"), "p_id"))
 
 
 def _accept(pairs: DataFrame) -> DataFrame:
     """Initial filter, token match and exact score.
 
-    Cheap tests come first; a flipped name has the same letters. The score is computed for the few pairs they leave, and only
-    for the order of names that can reach it. The generator keeps it from being computed
-    again in the filter behind it.
+    Cheap tests come first; a flipped name has the same letters. The generator keeps the score from
+    being computed again in the filter behind it.
     """
-    same_initial = F.lit(False)
-    for mine in ("m_initial_1", "m_initial_2"):
-        for other in ("p_initial_1", "p_initial_2"):
-            same_initial = same_initial | F.coalesce(F.col(mine) == F.col(other), F.lit(False))
     same_tokens = F.coalesce(
         F.arrays_overlap("m_tokens_first", "p_tokens_first") & F.arrays_overlap("m_tokens_last", "p_tokens_last"),
         F.lit(False),
     )
     straight, flipped, name = "phc_name", "phc_name_flipped", "epic_name"
-    letters = N.letters_allow("m_letters", "p_letters", "m_length", "p_length")
-    reach = [letters & N.may_exceed_85(x, name, "m_length", "p_length") for x in (straight, flipped)]
-    tested = pairs.where(same_initial & (same_tokens | reach[0] | reach[1])).select(
-        "dob", *MEMBER_KEY, *PATIENT_KEY, straight, flipped, name, "p_masks",
-        same_tokens.alias("_match"), (same_tokens | reach[0]).alias("_straight"), (same_tokens | reach[1]).alias("_flipped"),
-    )
-    score = F.greatest(
-        F.when(F.col("_straight"), N.similarity(straight, name, "p_masks")),
-        F.when(F.col("_flipped"), N.similarity(flipped, name, "p_masks")),
+    tested = pairs.where(_same_initial() & (same_tokens | _letters_allow())).select(
+        "dob", *MEMBER_KEY, *PATIENT_KEY, straight, flipped, name, same_tokens.cast("int").alias("name_match")
     )
-    return tested.select(
-        "dob", *MEMBER_KEY, *PATIENT_KEY, straight, name,
-        F.col("_match").cast("int").alias("name_match"),
-        F.explode(F.array(score)).alias("fuzzy_score"),
+    scored = tested.withColumns({f"_{x}": N.similarity(x, name, batched=True) for x in (straight, flipped)})
+    return scored.select(
+        "dob", *MEMBER_KEY, *PATIENT_KEY, straight, name, "name_match",
+        F.explode(F.array(F.greatest(f"_{straight}", f"_{flipped}"))).alias("fuzzy_score"),
     ).where((F.col("name_match") == 1) | (F.col("fuzzy_score") > 85))
 
 

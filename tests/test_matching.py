@@ -177,3 +177,32 @@ def test_rare_grams_meet_every_similar_pair_and_few_others(spark):
         names = f"{a['first_name']} {a['last_name']}", f"{a['last_name']} {a['first_name']}"
         if max(ratio(x, f"{b['pat_first_name']} {b['pat_last_name']}") for x in names) > 85:
             assert (a["first_name"], a["last_name"], f"E{i}") in got
+
+
+def test_chunks_give_each_similar_pair_once_and_no_other(spark, monkeypatch):
+    """Names of few words share most of their letters and often both initials."""
+    monkeypatch.setattr(M, "CHUNK", 7)
+    rng = random.Random(5)
+    words = ["hot", "old", "large", "green", "ring", "anvil", "gear", "", "Ödön", "hot-ring", "g" * 70]
+    people = [(rng.choice(words), rng.choice(words)) for _ in range(60)]
+    members = [{"cin": f"{i}", "epic_pat_id": None, "dob": DAY, "first_name": a, "last_name": b} for i, (a, b) in enumerate(sorted(set(people)))]
+    patients = [
+        {"pat_id": f"E{i}", "pat_name": f"{i}", "pat_first_name": b[1:], "pat_last_name": a, "birth_date": DAY, "update_date": 1, "rec_create_date": 1}
+        for i, (a, b) in enumerate(sorted(set(people)))
+    ]
+    m, p = frames(spark, members, patients)
+    m_names = M._with_member_columns(M._member_names(m))
+    p_names = M._with_patient_columns(M._patient_names(p))
+    found = M.similar_candidates(m_names, p_names).select("m_first", "m_last", "pat_id")
+    got = [tuple(r) for r in found.collect() if max(map(len, r)) < 60]
+    expected = set()
+    for a in members:
+        first, last = (a[c].lower().replace("-", " ") for c in ("first_name", "last_name"))
+        for b in patients:
+            other = b["pat_first_name"].lower(), b["pat_last_name"].lower()
+            initials = {first[:1], last[:1]} & {other[0][:1], other[1][:1]}
+            if initials and max(ratio(x, " ".join(other)) for x in (f"{first} {last}", f"{last} {first}")) > 85:
+                expected.add((a["first_name"].lower(), a["last_name"].lower(), b["pat_id"]))
+    long = {f"E{i}" for i, b in enumerate(patients) if len(b["pat_first_name"]) + len(b["pat_last_name"]) > 60}
+    assert sorted(x for x in got if x[2] not in long) == sorted(x for x in expected if x[2] not in long and max(map(len, x)) < 60)
+    assert {x for x in expected if x[2] in long} <= {tuple(r) for r in found.collect()}
