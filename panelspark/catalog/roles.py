@@ -11,6 +11,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelspark.session import spread_by_rows
+
 # The roster month the registered queries apply, and the day they count as today.
 AS_OF = dt.date(2001, 7, 31)
 YEAR, MONTH = AS_OF.year, AS_OF.month
@@ -194,7 +196,7 @@ def measure_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def measures_upload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All line items as one file of today, with the attributes of their members."""
-    line = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linestatus")
+    line = spread_by_rows(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linestatus"), "l_orderkey")
     order = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     members = customers(spark, sf_dir, "c_custkey")
     return (

@@ -16,7 +16,7 @@ from panelspark.plans.audit import audited_run
 from panelspark.schemas import (
     MEASURE_MEMBER_CONSTRAINTS, MEASURES_LOG, MEMBERSHIP_HISTORY,
 )
-from panelspark.session import materialize
+from panelspark.session import materialize, spread_by_rows
 from panelspark.sources import tables
 from panelspark.sources.runs import RUN
 
@@ -151,6 +151,6 @@ def run_measures_file(
         elif again:  # what the earlier sheet changed is taken back
             run.snapshot(membership, stored.membership)
             run.rows(history.limit(0).drop(RUN), stored.history)
-        appended = C.with_eligibility(rows, membership)
+        appended = C.with_eligibility(spread_by_rows(rows, "cin"), membership)
         run.rows(tables.with_inserted_at(appended), stored.measures)
         run.rows(tables.with_inserted_at(measure_summary(appended)), stored.summary)

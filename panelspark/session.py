@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Rows that a task sorts for a join, about.
+ROWS_PER_TASK = 500_000
+
 
 def local_session(cores: int | str = 8, app: str = "panelspark") -> SparkSession:
     return (
@@ -45,6 +48,15 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+def spread_by_rows(df: DataFrame, key: str) -> DataFrame:
+    """Deal the rows of a large scan by a key, to as many tasks as they need.
+
+    A fixed number of shuffle partitions gives each task, and each sort in it, a share that grows with the table.
+    """
+    tasks = df.count() // ROWS_PER_TASK + 1
+    return df.repartition(tasks, key) if tasks > 1 else df
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate result that is used several times to a shared folder and read it.
 

@@ -3,6 +3,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from panelspark import session
+from panelspark.catalog import roles
 from panelspark.operators import checks, keys, latest, lookup
 from panelspark.operators.summary import against_goal, measure_summary
 from panelspark.plans.reports import blood_pressure_report
@@ -185,3 +187,27 @@ def test_large_maps_agree_with_small_ones(spark):
                 for keys, cells in ((200, 1 << 21), (0, 1 << 21), (0, 1))
             )
             assert few == many == joined
+
+
+def test_tasks_of_a_large_scan_grow_with_its_rows(spark, monkeypatch):
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 100)
+    few, many = (session.spread_by_rows(spark.range(n), "id") for n in (99, 3000))
+    assert "Exchange" not in few._jdf.queryExecution().toString()
+    assert many.rdd.getNumPartitions() == 31
+    assert max(len(part) for part in many.rdd.glom().collect()) < 200
+    assert sorted(r.id for r in many.collect()) == list(range(3000))
+
+
+def test_upload_is_joined_in_tasks_that_grow_with_the_line_items(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 10)
+    rows = {
+        "lineitem": [(i // 4, 1, 1, i % 4, 1.0, 1.0, 0.0, 0.0, "N", "FO"[i % 2], dt.datetime(2001, 7, 1)) for i in range(200)],
+        "orders": [(i, i % 5, "F", 1.0, dt.datetime(2001, 7, 1), "2-HIGH") for i in range(50)],
+        "customer": [(i, f"c{i}", 1, 1.0, "X") for i in range(5)],
+    }
+    for name, values in rows.items():
+        spark.createDataFrame(values, roles.SCHEMAS[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    upload = roles.measures_upload(spark, str(tmp_path))
+    assert "REPARTITION_BY_NUM" in upload._jdf.queryExecution().toString()
+    assert sorted(tuple(r) for r in upload.groupBy("cin", "is_compliant").count().collect()) == [
+        (f"{c:010d}", hit, 20) for c in range(5) for hit in (0, 1)]
