@@ -151,6 +151,7 @@ def run_measures_file(
         elif again:  # what the earlier sheet changed is taken back
             run.snapshot(membership, stored.membership)
             run.rows(history.limit(0).drop(RUN), stored.history)
-        appended = C.with_eligibility(spread_by_rows(rows, "cin"), membership)
-        run.rows(tables.with_inserted_at(appended), stored.measures)
+        spread = spread_by_rows(rows, "cin")
+        appended = C.with_eligibility(spread, membership)
+        run.rows(tables.with_inserted_at(appended), stored.measures, rebalance=spread is rows)
         run.rows(tables.with_inserted_at(measure_summary(appended)), stored.summary)

@@ -82,14 +82,15 @@ class Run:
         df.write.parquet(folder)
         return self.spark.read.parquet(folder), version
 
-    def rows(self, df: DataFrame, table: str, partitions: Sequence[str] = ("year", "month"), keep_earlier: bool = False) -> None:
+    def rows(self, df: DataFrame, table: str, partitions: Sequence[str] = ("year", "month"), keep_earlier: bool = False, rebalance: bool = True) -> None:
         """Rows of a partitioned table, in place of those that this key wrote before.
 
-        Rows are rebalanced by partition at run time: a small month gets one file, a large one many.
+        Rows are rebalanced by partition at run time: a small month gets one file, a large one many. Rows that
+        come in tasks of bounded size are written from these, so that the writer sorts no more than one's rows.
         """
         folder = self._stage("rows", table, keep=keep_earlier, depth=len(partitions))
         named = df.withColumn(RUN, F.lit(self.value))
-        (named.hint("rebalance", *partitions) if partitions else named).write.partitionBy(*partitions, RUN).parquet(folder)
+        (named.hint("rebalance", *partitions) if partitions and rebalance else named).write.partitionBy(*partitions, RUN).parquet(folder)
 
     def partitions(self, df: DataFrame, table: str, partitions: Sequence[str], values: list[tuple]) -> None:
         """Whole partitions of a table, named by ``values``, in place of the stored ones; rows say which run they are of."""
