@@ -105,7 +105,7 @@ _LARGE = _SCORED.replace("FROM patients", "FROM block_patients").replace("FROM m
     ("block_members", "block_patients"),
 )
 def match_large_blocks(spark, sf_dir):
-    """Two blocks of half the names each, joined on tokens and on rare grams; some links hold by their tokens alone."""
+    """Two blocks of half the names each, joined on tokens and, by initial, in chunks; some links hold by their tokens alone."""
     members = roles.block_members(spark, sf_dir)
     current = M.current_patients(roles.block_patients(spark, sf_dir), members)
     return M.accepted_matches(members, current, pairs_per_name=16).withColumn("fuzzy_score", F.round("fuzzy_score", 6))
