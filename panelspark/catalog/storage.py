@@ -424,7 +424,7 @@ def backlog_job(spark, sf_dir):
             raise InterruptedError("published, and not yet recorded by the stream")
 
     def upload():
-        upload_backlog(spark, sheets, checkpoint, clinics, roles.measures_map(spark, sf_dir), stored, lambda: run_at, after)
+        upload_backlog(spark, sheets, checkpoint, clinics, roles.measures_map(spark, sf_dir), stored, lambda: run_at, after, per_batch=500)
 
     try:
         upload()

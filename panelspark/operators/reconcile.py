@@ -45,10 +45,10 @@ def missing_counts(
     )
 
 
-def staged_members(measures: DataFrame, attributes: Sequence[str] = SHEET_ATTRIBUTES) -> DataFrame:
-    """The distinct member rows of a file."""
+def staged_members(measures: DataFrame, attributes: Sequence[str] = SHEET_ATTRIBUTES, by: Sequence[str] = ()) -> DataFrame:
+    """The distinct member rows of a file, or of several that ``by`` tells apart."""
     present = [c for c in attributes if c in measures.columns]
-    return measures.select("cin", *present, "download_date").distinct()
+    return measures.select(*by, "cin", *present, "download_date").distinct()
 
 
 def is_current(membership: DataFrame, as_of: dt.date) -> DataFrame:
@@ -196,6 +196,92 @@ def history_of_file(rows: DataFrame, year: int, month: int, as_of: dt.date, inse
     return rows.where(F.col("cin").isNotNull()).select("cin", F.inline(F.array_compact(F.array(first, of_file))))
 
 
+def sheets_side_by_side(membership: DataFrame, staged: DataFrame, history: DataFrame, year: int) -> DataFrame:
+    """Each member of either side once: stored columns ``m``, its rows ``e`` of the sheets in their order, history bits.
+
+    ``staged`` numbers the sheets in ``sheet`` and has a member once in each.
+    """
+    entry = F.struct("sheet", *[c for c in staged.columns if c not in ("cin", "sheet")])
+    sheets = staged.groupBy("cin").agg(F.sort_array(F.collect_list(entry)).alias("e"))
+    m = membership.select("cin", F.struct(*[c for c in membership.columns if c != "cin"]).alias("m"))
+    rows = m.join(sheets, "cin", "full_outer").join(month_bits(history, year), "cin", "left")
+    return rows.withColumn("months", F.coalesce("months", F.lit(0)))
+
+
+def _first_entry() -> Column:
+    return F.get("e", F.lit(0))
+
+
+def first_inserting() -> Column:
+    """The first sheet with a member that the membership lacks, an aggregate of ``sheets_side_by_side``; NULL if none."""
+    return F.min(F.when(_is_new(), _first_entry()["sheet"]))
+
+
+def _gets_first(inserting: int | None) -> Column:
+    """Whether a member gets a first history row: a new one by its own sheet, a known one by the first sheet
+    that inserts, unless an earlier sheet has recorded it."""
+    if inserting is None:
+        return F.lit(False)
+    by_then = F.col("e").isNull() | (_first_entry()["sheet"] >= inserting)
+    return (F.col("months") == 0) & (_is_new() | by_then)
+
+
+def recording_sheets(rows: DataFrame, year: int, month: int, inserting: int | None) -> DataFrame:
+    """The sheets with a member that has no row of the month ahead of them: ``sheet``.
+
+    A member is recorded behind the first sheet that lists it, so only that one counts; a first row
+    that an earlier sheet has given it may be of the month.
+    """
+    day = F.col("m.download_date")
+    earlier = F.lit(False) if inserting is None else (
+        _gets_first(inserting) & ~_is_new() & (_first_entry()["sheet"] > inserting) & (F.year(day) == year) & (F.month(day) == month))
+    lacks = F.col("e").isNotNull() & (F.col("months").bitwiseAND(F.lit(1 << month)) == 0) & ~F.coalesce(earlier, F.lit(False))
+    return rows.where(lacks).select(_first_entry()["sheet"].alias("sheet")).distinct()
+
+
+def with_acting(rows: DataFrame, recording: Sequence[int]) -> DataFrame:
+    """``sheets_side_by_side`` rows with the one sheet's row ``s`` that changes the member, NULL if none does.
+
+    A new member is inserted by the first sheet that lists it. A known one that is not enrolled is
+    re-activated by the first sheet listing it that re-activates at all.
+    """
+    again = F.filter("e", lambda x: x["sheet"].isin(list(recording)))
+    acting = F.when(_is_new(), _first_entry()).when(F.col("m.is_enrolled") == 0, F.get(again, F.lit(0)))
+    return rows.withColumn("s", acting)
+
+
+def history_of_sheets(rows: DataFrame, year: int, month: int, as_of: dt.date, inserting: int | None) -> DataFrame:
+    """The history rows that several sheets of a month add one after the other, each with its ``sheet``."""
+    new, entry = _is_new(), _first_entry()
+    day = F.when(new, entry["download_date"]).otherwise(F.col("m.download_date"))
+    first_clinic = F.when(new, entry["clinic_id"]).otherwise(F.col("m.clinic_id"))
+    before = F.when(new, int(as_of.month <= 3)).otherwise(F.col("m.is_qip_eligible"))
+    giver = F.when(new, entry["sheet"]).otherwise(F.lit(inserting).cast("int"))
+    gets_first = _gets_first(inserting)
+    has_month = F.coalesce(gets_first & (F.year(day) == year) & (F.month(day) == month), F.lit(False))
+    gets_month = F.col("e").isNotNull() & (F.col("months").bitwiseAND(F.lit(1 << month)) == 0) & ~has_month
+
+    def row(clinic: Column, eligible: Column, day: Column, sheet: Column) -> Column:
+        return F.struct(
+            clinic.alias("clinic_id"), F.year(day).alias("year"), F.month(day).alias("month"),
+            eligible.alias("is_qip_eligible"), day.alias("download_date"), sheet.alias("sheet"))
+
+    first = F.when(gets_first, row(first_clinic, before, day, giver))
+    of_sheet = F.when(gets_month, row(entry["clinic_id"], _eligible(as_of.month, True), entry["download_date"], entry["sheet"]))
+    return rows.where(F.col("cin").isNotNull()).select("cin", F.inline(F.array_compact(F.array(first, of_sheet))))
+
+
+def with_eligibility_then(measures: DataFrame, rows: DataFrame, as_of: dt.date) -> DataFrame:
+    """Rows of several sheets with the eligibility behind their own sheet, which a later one may change."""
+    changed = F.when(_action(True) != "keep", F.col("s.sheet"))
+    states = rows.select(
+        "cin", changed.alias("_from"), F.col("m.is_qip_eligible").alias("_before"), _eligible(as_of.month, True).alias("_after"))
+    joined = measures.join(states, "cin").withColumn(
+        "is_qip_eligible", F.when(F.col("sheet") < F.col("_from"), F.col("_before")).otherwise(F.col("_after")))
+    return joined.select(
+        "cin", "clinic_id", "measure_id", "year", "month", "is_compliant", "is_qip_eligible", "download_date", "sheet")
+
+
 def with_eligibility(measures: DataFrame, membership: DataFrame) -> DataFrame:
     """Measure rows of known members with their eligibility at upload."""
     return measures.join(membership.select("cin", "is_qip_eligible"), "cin").select(

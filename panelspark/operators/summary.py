@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def measure_summary(measures: DataFrame) -> DataFrame:
-    """Numerators and denominators per clinic, measure and download, all and eligible."""
+def measure_summary(measures: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Numerators and denominators per clinic, measure and download, all and eligible; ``by`` names further groups."""
     hit = F.col("is_compliant") == 1
     eligible = F.col("is_qip_eligible") == 1
-    return measures.groupBy("clinic_id", "measure_id", "year", "month", "download_date").agg(
+    return measures.groupBy("clinic_id", "measure_id", "year", "month", "download_date", *by).agg(
         F.count(F.when(hit & eligible, 1)).alias("qip_numerator"),
         F.count(F.when(eligible, 1)).alias("qip_denominator"),
         F.count(F.when(hit, 1)).alias("numerator"),

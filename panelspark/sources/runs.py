@@ -11,6 +11,9 @@ rows lie in partitions named after it, and a snapshot made by it is left out of
 other runs were built on the earlier one meanwhile, the repeat starts from their state: rows of
 uploads are still replaced, and rows that were added for good (``keep_earlier``) stay beside the new ones.
 
+A run may do several uploads at once. Then each has a key of its own, its rows bear that key's name
+(``value_of``), and a later run of any of these keys replaces them.
+
 Moves are renames, so tables and registry must share a file system. One run at a time
 may use a registry, as with any job that replaces a snapshot.
 """
@@ -24,7 +27,7 @@ import time
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.sources import tables
@@ -35,13 +38,18 @@ RUN = "run"
 _MANIFEST = "manifest.json"
 
 
+def _name(key: str) -> str:
+    return f"{re.sub(r'[^A-Za-z0-9]+', '-', key)[:60]}-{hashlib.md5(key.encode()).hexdigest()[:8]}"
+
+
 class Run:
     """One run of a job. Nothing that it writes is visible before ``commit``."""
 
-    def __init__(self, spark: SparkSession, registry: str, key: str):
+    def __init__(self, spark: SparkSession, registry: str, key: str, uploads: Sequence[str] = ()):
         recover(spark, registry)
         self.spark, self.registry, self.key = spark, registry, key
-        self.name = f"{re.sub(r'[^A-Za-z0-9]+', '-', key)[:60]}-{hashlib.md5(key.encode()).hexdigest()[:8]}"
+        self.name = _name(key)
+        self.names = [_name(upload) for upload in uploads] or [self.name]
         self.attempt = uuid.uuid4().hex[:12]
         self.folder = f"{registry}/{self.name}.{self.attempt}"
         self.moves: list[dict] = []
@@ -55,6 +63,10 @@ class Run:
         """What names this run in a partitioned table."""
         return f"{self.name}.{self.attempt}"
 
+    def value_of(self, upload: Column) -> Column:
+        """What names an upload of this run in a partitioned table, by its number."""
+        return F.get(F.array(*[F.lit(f"{name}.{self.attempt}") for name in self.names]), upload)
+
     def base(self, table: str) -> DataFrame:
         """The snapshot this run starts from: the newest one, but for those this key made last."""
         return tables.read_version(self.spark, table, self._base_version(table))
@@ -73,7 +85,7 @@ class Run:
 
     def without_own(self, rows: DataFrame) -> DataFrame:
         """Rows of a partitioned table but for those that this key wrote before."""
-        return rows.where(~F.col(RUN).startswith(f"{self.name}.")) if RUN in rows.columns else rows
+        return rows.where(~F.substring_index(RUN, ".", 1).isin(self.names)) if RUN in rows.columns else rows
 
     def snapshot(self, df: DataFrame, table: str, stamp: int = 0) -> tuple[DataFrame, int]:
         """The next snapshot of a table and its version, which is ``stamp`` where that is free."""
@@ -87,9 +99,10 @@ class Run:
 
         Rows are rebalanced by partition at run time: a small month gets one file, a large one many. Rows that
         come in tasks of bounded size are written from these, so that the writer sorts no more than one's rows.
+        Rows of several uploads bear their names (``value_of``).
         """
         folder = self._stage("rows", table, keep=keep_earlier, depth=len(partitions))
-        named = df.withColumn(RUN, F.lit(self.value))
+        named = df if RUN in df.columns else df.withColumn(RUN, F.lit(self.value))
         (named.hint("rebalance", *partitions) if partitions and rebalance else named).write.partitionBy(*partitions, RUN).parquet(folder)
 
     def partitions(self, df: DataFrame, table: str, partitions: Sequence[str], values: list[tuple]) -> None:
@@ -107,7 +120,7 @@ class Run:
 
     def commit(self) -> None:
         """Publish everything. From the manifest on, ``recover`` completes what a crash cuts short."""
-        text = json.dumps({"run": self.name, "attempt": self.attempt, "at": time.time_ns(), "moves": self.moves})
+        text = json.dumps({"run": self.name, "names": self.names, "attempt": self.attempt, "at": time.time_ns(), "moves": self.moves})
         path, fs = file_system(self.spark, f"{self.folder}/{_MANIFEST}")
         part, _ = file_system(self.spark, f"{self.folder}/_{_MANIFEST}")
         out = fs.create(part, True)
@@ -153,16 +166,18 @@ def _text(spark: SparkSession, folder: str) -> str:
 def _complete(spark: SparkSession, folder: str) -> None:
     """Do the moves of a manifest that are not done yet, then drop the run's folder."""
     manifest = json.loads(_text(spark, folder))
-    own = f"{RUN}={manifest['run']}.{manifest['attempt']}"
+    names = set(manifest.get("names", [manifest["run"]]))
     for move in manifest["moves"]:
         source, target = f"{folder}/{move['from']}", move["to"]
         if move["kind"] == "rows":
             pattern = "/*" * move["depth"]
             if not move["keep"]:
-                for earlier in _found(spark, f"{target}{pattern}/{RUN}={manifest['run']}.*"):
-                    if earlier.getName() != own:
+                only = f"{min(names)}.*" if len(names) == 1 else "*"  # many names are looked up in one listing
+                for earlier in _found(spark, f"{target}{pattern}/{RUN}={only}"):
+                    name, _, attempt = earlier.getName().removeprefix(f"{RUN}=").partition(".")
+                    if name in names and attempt != manifest["attempt"]:
                         earlier.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(earlier, True)
-            for part in _found(spark, f"{source}{pattern}/{own}"):
+            for part in _found(spark, f"{source}{pattern}/{RUN}=*.{manifest['attempt']}"):
                 inner = part.toString().split(f"/{folder.rsplit('/', 1)[-1]}/{move['from']}/", 1)[1]
                 _move(spark, part.toString(), f"{target}/{inner}")
         elif move["kind"] == "partitions":

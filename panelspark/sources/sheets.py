@@ -21,14 +21,15 @@ SHEET_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in SHE
 
 
 def read_sheets(spark: SparkSession, folder: str, stream: bool = False, per_batch: int = 1) -> DataFrame:
-    """Whole sheets, in batch or as a stream of ``per_batch`` files at a time, oldest first."""
+    """Whole sheets, in batch or as a stream of ``per_batch`` files at a time, oldest first, with their time ``modified_at``."""
     reader = spark.readStream if stream else spark.read
     reader = reader.format("text").option("wholetext", True).option("recursiveFileLookup", "true")
     if stream:
         reader = reader.option("maxFilesPerTrigger", per_batch)
     raw = reader.load(folder)
+    modified = [F.col("_metadata.file_modification_time").alias("modified_at")] if stream else []
     return with_provenance(
-        raw.select("value", F.col("_metadata.file_path").alias("path"), "_metadata")
+        raw.select("value", F.col("_metadata.file_path").alias("path"), *modified, "_metadata")
     ).drop("_metadata")
 
 

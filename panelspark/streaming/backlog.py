@@ -1,4 +1,4 @@
-"""Backlog of measures sheets: one per micro-batch, oldest first, until none is left."""
+"""Backlog of measures sheets: one per micro-batch, or several at a time, oldest first, until none is left."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.plans.measures_file import MeasureTables, run_measures_file
+from panelspark.plans.measures_file import MeasureTables, Sheet, run_measures_sheets
 from panelspark.session import materialize
 from panelspark.sources.files import file_name
 from panelspark.sources.sheets import read_sheets, sheet_rows, staged_measures
@@ -64,18 +64,19 @@ def upload_backlog(
 
     An upload is keyed by query, batch and file, and all of it is published at once. So each sheet counts exactly
     once: a batch that comes again, after a crash between its publication and the stream's own
-    record of it, replaces what it wrote. ``after`` is called for each sheet that is published, to archive
+    record of it, replaces what it wrote. Sheets of one micro-batch share a run where they can, with the
+    same result, so that membership and history are read once for up to ``per_batch`` sheets. ``after`` is called for each sheet that is published, to archive
     it, and may be called again for the same one.
     """
 
     def upload(batch: DataFrame, query_id: str, batch_id: int) -> None:
         rows = materialize(batch, "backlog-batch")
-        files = rows.select("path", "download_date", file_name(F.col("path")).alias("name")).distinct()
-        for file in files.orderBy("download_date", "path").collect():  # per_batch files at most
-            run_measures_file(
-                spark, rows.where(F.col("path") == file.path), file.name, clinics, measures_map, stored,
-                file.download_date, clock(), key=f"backlog {query_id} {batch_id} {file.path}",
-            )
-            after(file.path, file.download_date)
+        files = rows.select("path", "download_date", "modified_at", file_name(F.col("path")).alias("name")).distinct()
+        sheets = [
+            Sheet(f.path, f.name, f.download_date, f"backlog {query_id} {batch_id} {f.path}")
+            for f in files.orderBy("modified_at", "path").collect()  # per_batch files at most
+        ]
+        for sheet in run_measures_sheets(spark, rows.drop("modified_at"), sheets, clinics, measures_map, stored, clock):
+            after(sheet.path, sheet.download_date)
 
     _run(spark, folder, upload, checkpoint, per_batch)

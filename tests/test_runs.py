@@ -298,3 +298,59 @@ def test_large_files_are_split(spark, tmp_path):
             spark.conf.set(key, value)
     assert sorted(r.BIC_HIK for r in whole) == [*ids, "B000000001"] and {r.Clinic for r in whole if r.BIC_HIK[0] == "B"} == {"CD"}
     assert sorted(r.CIN for r in sheets) == sorted([*ids, ids[0]]) and {r["QIP Result"] for r in sheets} == {"Numerator"}
+
+
+def test_sheets_of_one_run_count_as_if_one_by_one(spark, tmp_path):
+    from panelspark.plans.measures_file import Sheet, run_measures_sheets
+
+    staged_columns = "cin string, clinic_text string, measure_text string, first_name string, last_name string, dob date, sex string, " \
+        "phone_number string, new_member int, is_compliant int, path string, download_date date, year int, month int"
+    listed = {  # K..: known without history, M..: enrolled or not, with a row of the month or not; N..: not known
+        "b": ["M0", "M1"], "a": ["M0", "K1", "K2"], "d": ["N1", "M2", "K2", "K3"], "c": ["N1", "N2", "M2", "K4", "M5"], "e": ["N2", "M1", "M0"],
+        "wrong": ["N3"], "late": ["N4"]}
+    days = {path: dt.date(2024, 5, 2 + i) for i, path in enumerate(listed)}
+    rows = [
+        (f"{cin}00000000", "nowhere" if path == "wrong" else f"Site 10{1 + n % 2}", f"{m} 2024", path + cin, "L", APR, "Male", None, 0, n % 2, path, days[path], 2024, 5)
+        for path, members in listed.items() for n, cin in enumerate(members) for m in ("Asthma", "Other")[: 1 + (path == "a")]]
+    staged = spark.createDataFrame(rows, staged_columns)
+    base = [  # member, enrolled, last download, months of the history
+        ("M0", 0, APR, [5]), ("M1", 0, APR, [5]), ("M2", 0, MAY, [4]), ("M5", 1, MAY, [3]), ("K1", 0, APR, []), ("K2", 1, MAY, []), ("K3", 0, APR, []),
+        ("K4", 0, dt.date(2024, 5, 1), []), ("K5", 1, MAY, []), ("K6", None, None, [])]
+    one, many = seeded(spark, tmp_path / "one"), seeded(spark, tmp_path / "many")
+    like = tables.read_version(spark, one.membership).schema
+    seed = [(f"{c}00000000", None, 1, c, "L", APR, 1, 3, on, 1 if c != "M2" else 0, 0, APR, day, None, None) for c, on, day, _ in base]
+    past = [(f"{c}00000000", 1, 1, dt.date(2024, m, 3), 2024, m, "seed") for c, _, _, months in base for m in months]
+    for stored in (one, many):
+        tables.write_version(spark.createDataFrame(seed, like), stored.membership, 2)
+        tables.publish(spark, stored.membership, 2)
+        history = spark.createDataFrame(past, "cin string, clinic_id int, is_qip_eligible int, download_date date, year int, month int, run string")
+        tables.append_history(history, stored.history, ("year", "month", "run"))
+    sheets = [Sheet(path, path, days[path], f"backlog {path}") for path in listed]
+    for sheet in sheets[:5]:
+        run_measures_file(
+            spark, staged.where(F.col("path") == sheet.path), sheet.name, clinics(spark), measures_map(spark), measure_tables(one),
+            sheet.download_date, RUN, key=sheet.key)
+
+    def together():
+        done = []
+        with pytest.raises(CheckFailed, match="Unmapped clinics"):
+            for sheet in run_measures_sheets(spark, staged, sheets, clinics(spark), measures_map(spark), measure_tables(many), lambda: RUN):
+                done.append(sheet.path)
+        assert done == list(listed)[:5]  # what comes behind a sheet that fails waits
+        mt = measure_tables(many)
+        assert state(spark, many, mt.measures, mt.summary) == state(spark, one, mt.measures.replace("many", "one"), mt.summary.replace("many", "one"))
+        for table in ("history", "measures", "summary"):  # each sheet's rows are its own
+            by_sheet = [
+                sorted(
+                    (tuple(str(v) for v in r)) for r in spark.read.parquet(getattr(measure_tables(t), table))
+                    .withColumn("run", F.substring_index("run", ".", 1)).drop("inserted_at").collect())
+                for t in (one, many)]
+            assert by_sheet[0] == by_sheet[1]
+
+    together()
+    assert len(tables.published_versions(spark, many.membership)) == 3  # one run for five sheets
+    logs = [
+        sorted(str(r) for r in spark.read.parquet(measure_tables(t).log).where("is_success = 1").drop("logged_at").withColumn(
+            "warning_message", F.regexp_replace("warning_message", "in /.*", "")).collect()) for t in (one, many)]
+    assert logs[0] == logs[1] and len(logs[0]) == 5
+    together()  # a batch that comes again replaces what it wrote
