@@ -49,6 +49,12 @@ def free_models(*others: str) -> None:
             ctypes.CDLL(None).malloc_trim(0)
 
 
+def forget_shuffles(spark: SparkSession) -> None:
+    """Have Spark's cleaner drop the shuffle files of plans that nothing refers to any more; else they wait for chance."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def texts_of(batch: pa.RecordBatch, name: str) -> list[str]:
     """A text column; null becomes the empty text."""
     return [x or "" for x in batch.column(name).to_pylist()]

@@ -16,7 +16,6 @@ the chunk unless one piece is longer. Other columns are not looked at.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterable, Iterator
 from functools import cached_property, lru_cache
@@ -28,7 +27,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import Batches, Bytes, map_batches, mix
+from panelspark.llm.common import Batches, Bytes, forget_shuffles, map_batches, mix
 from panelspark.session import broadcast_if_small, materialize
 
 SHARDS = 4
@@ -202,12 +201,6 @@ def _distinct(words: Words, lang_of: np.ndarray, keys: np.ndarray, at: np.ndarra
         at = at[~same]  # other phrases of equal hash
 
 
-def _forget_shuffles(spark: SparkSession) -> None:
-    """Have Spark's cleaner drop the shuffle files of plans that nothing refers to any more; else they wait for chance."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def _count(rows: DataFrame, sets: list[Broadcast], longest: int) -> DataFrame:
     """lang, size, phrase and n of a chunk's candidates, counted by their words."""
 
@@ -248,13 +241,13 @@ def frequent_phrases(
     sets: list[Broadcast] = []
     for size in range(1, longest + 1):
         sets.append(spark.sparkContext.broadcast(_bit_set(_mine(rows, sets, size))))
-        _forget_shuffles(spark)
+        forget_shuffles(spark)
     counted = _count(rows, sets, longest).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
     found = materialize(counted, "phrase-counts")
     for s in sets:
         s.destroy()
     del counted
-    _forget_shuffles(spark)
+    forget_shuffles(spark)
     return found, totals
 
 

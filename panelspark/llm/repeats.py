@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import Batches, Bytes, map_batches, texts_of
+from panelspark.llm.common import Batches, Bytes, forget_shuffles, map_batches, texts_of
 from panelspark.session import broadcast_if_small, materialize
 
 LENGTH = 100
@@ -179,6 +179,13 @@ def _windows(cuts: DataFrame) -> DataFrame:
     return map_batches(cuts.select("doc_id", "base", "cut", "zones"), run, "content long, check long, doc_id long, start long, n long")
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a stored table, without the shuffle files that led to them."""
+    table = materialize(df, name)
+    forget_shuffles(df.sparkSession)
+    return table
+
+
 def _later(rows: DataFrame) -> DataFrame:
     """The rows whose content also occurs at an earlier place."""
     place = F.struct("doc_id", "start")
@@ -196,7 +203,7 @@ def _open(zones: DataFrame) -> DataFrame:
     """The first zone of each content, where a key has several contents or its seed stands twice."""
     one = zones.groupBy("key", "content", "check").agg(
         F.min(F.struct("doc_id", "start", "n", "base")).alias("z"), F.max("twice").alias("twice"))
-    one = materialize(one, "repeats-contents")
+    one = _stored(one, "repeats-contents")
     mixed = _several(one)
     return one.join(mixed, "key").select("z.*")
 
@@ -206,27 +213,29 @@ def find_repeats(docs: DataFrame) -> DataFrame:
     docs = docs.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH))
     keyed = docs.select("doc_id", F.octet_length("text").alias("size"), F.md5("text").alias("digest"))
     firsts = keyed.groupBy("digest", "size").agg(F.min("doc_id").alias("doc_id"))
-    copies = materialize(keyed.join(firsts.select("doc_id"), "doc_id", "left_anti").select("doc_id", "size"), "repeats-copies")
+    copies = _stored(keyed.join(firsts.select("doc_id"), "doc_id", "left_anti").select("doc_id", "size"), "repeats-copies")
     own = docs.join(broadcast_if_small(copies.select("doc_id")), "doc_id", "left_anti")
 
     own = own.withColumn("base", F.lit(0).cast("long"))
-    shared = materialize(_several(_zones(own)), "repeats-keys")
-    zones = materialize(_zones(own).join(broadcast_if_small(shared, 2_000_000), "key"), "repeats-zones")
+    shared = _stored(_several(_zones(own)), "repeats-keys")
+    zones = _stored(_zones(own).join(broadcast_if_small(shared, 2_000_000), "key"), "repeats-zones")
     edges = _open(zones).groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("zones"))
-    cuts = materialize(_cuts(own.join(edges, "doc_id")), "repeats-cuts")
+    cuts = _stored(_cuts(own.join(edges, "doc_id")), "repeats-cuts")
 
-    inner = materialize(_zones(cuts, LONG_SEED), "repeats-inner-zones")
+    inner = _stored(_zones(cuts, LONG_SEED), "repeats-inner-zones")
     left = _open(inner).groupBy("doc_id", "base").agg(F.collect_list(F.struct("start", "n")).alias("zones"))
-    windows = materialize(_windows(cuts.join(left, ["doc_id", "base"])), "repeats-windows")
+    windows = _stored(_windows(cuts.join(left, ["doc_id", "base"])), "repeats-windows")
 
+    later = [
+        _stored(_later(rows).select("doc_id", "start", "n"), "repeats-later")
+        for rows in (zones, inner, windows.filter("content is not null"))
+    ]
     runs = (
-        _later(zones).select("doc_id", "start", "n")
-        .unionByName(_later(inner).select("doc_id", "start", "n"))
-        .unionByName(_later(windows.filter("content is not null")).select("doc_id", "start", "n"))
+        later[0].unionByName(later[1]).unionByName(later[2])
         .unionByName(windows.filter("content is null").select("doc_id", "start", "n"))
         .unionByName(copies.select("doc_id", F.lit(0).cast("long").alias("start"), (F.col("size") - LENGTH + 1).cast("long").alias("n")))
     )
-    return runs.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "n"))).alias("runs"))
+    return _stored(runs.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "n"))).alias("runs")), "repeats-runs")
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
