@@ -16,6 +16,8 @@ from __future__ import annotations
 import os
 import re
 import struct
+import sys
+from array import array
 
 import numpy as np
 import public_tokenizers
@@ -25,13 +27,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm.bpe import Generations
+from panelspark.llm.bpe import Generations, byte_symbols
 from panelspark.llm.common import Batches, map_batches, texts_of
 
 #: A segment is closed at the first document that reaches this many tokens.
 SEGMENT_TOKENS = 1 << 20
 _BLOCK = 512
 _PIECES = regex.compile(public_tokenizers.PATTERN)
+_LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
+#: Characters below this one are letters, digits or none in all versions of Unicode in use.
+_SETTLED = "\u0500"
 
 
 def pack(ids: np.ndarray) -> bytes:
@@ -117,18 +122,38 @@ class Encoder:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
         added = self.library.get_added_tokens_decoder().values()
         self.special = [t.content for t in added]
-        self.by_piece = Generations(self._library, 400_000)
-        self.by_chunk = Generations(lambda chunk: b"".join(map(self.by_piece.__getitem__, _PIECES.findall(chunk))))
+        self.model, self.symbols = self.library.model, byte_symbols()
+        cut = self.library.pre_tokenizer
+        self.plain = self.library.normalizer is None and isinstance(cut, ByteLevel) and cut.use_regex and not cut.add_prefix_space
+        self.by_piece = Generations(self._piece, 400_000)
+        self.by_word = Generations(self._chunk)
 
     def _library(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _piece(self, piece: str) -> bytes:
+        """Packed ids of a piece, from the library's model alone where its other steps would pass the piece on whole."""
+        if not (self.plain and (piece.isascii() or max(piece) < _SETTLED)):
+            return self._library(piece)
+        tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(self.symbols))
+        return array("I", [t.id for t in tokens]).tobytes() if _LITTLE else np.array([t.id for t in tokens], "<u4").tobytes()
+
+    def _chunk(self, word: str) -> bytes:
+        """Packed ids of a blank and what follows it up to the next one."""
+        if word.isascii() and word.isalpha():  # one piece
+            return self.by_piece[" " + word]
+        return self._cut(" " + word)
+
+    def _cut(self, chunk: str) -> bytes:
+        return b"".join(map(self.by_piece.__getitem__, _PIECES.findall(chunk)))
+
     def encode(self, text: str) -> bytes:
         """Packed ids of a text.
 
@@ -139,7 +164,7 @@ class Encoder:
         if not text or _runs(text) or any(s in text for s in self.special):
             return self._library(text)
         first, *rest = text.split(" ")
-        return self.by_chunk[first] + b"".join(map(self.by_chunk.__getitem__, map(" ".__add__, rest)))
+        return self._cut(first) + b"".join(map(self.by_word.__getitem__, rest))
 
 
 def _runs(text: str) -> bool:
