@@ -369,3 +369,23 @@ def test_search(spark):
     for query in (i for i in whole if i % 20 == 0):
         want = sorted(((sum(a * b for a, b in zip(whole[query], v)), i) for i, v in whole.items() if i != query), key=lambda x: (-x[0], x[1]))[:20]
         assert got[query] == want
+
+
+def test_words_need_the_library_model_only():
+    encoder = token_files.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    library = encoder.library
+    text = "The cafés, naïve 42 times: " + " ".join(f"wörd{i}ing, Привет don't" for i in range(20))
+    want = np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    settled = [f"a{chr(c)}b {chr(c)}1{chr(c)}" for c in range(0x21, ord(token_files._SETTLED))]
+    assert all(encoder.encode(x) == encoder._library(x) for x in settled if not token_files._runs(x))
+    encoder.library = None  # whole calls cost three times the merging
+    assert encoder.encode(text) == want
+
+
+def test_repeats_forget_the_shuffles_of_finished_steps(spark, monkeypatch):
+    steps = []
+    monkeypatch.setattr(repeats, "forget_shuffles", lambda session: steps.append(1))
+    copy = "".join(chr(97 + i * i % 26) + str(i) for i in range(90))
+    rows = spark.createDataFrame([(1, copy), (2, "x" + copy), (3, "y" * 300)], "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in repeats.remove_repeats(rows).collect()}
+    assert got == {1: 0, 2: len(copy), 3: 299} and len(steps) >= 9
