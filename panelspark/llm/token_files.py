@@ -28,8 +28,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.llm.bpe import Generations, byte_symbols
-from panelspark.llm.common import Batches, map_batches, texts_of
+from panelspark.llm.common import Batches, byte_slices, map_batches, texts_of
 
+#: Bytes of text that are encoded at once, so that a piece that comes often is met once.
+CHUNK = 4 << 20
 #: A segment is closed at the first document that reaches this many tokens.
 SEGMENT_TOKENS = 1 << 20
 _BLOCK = 512
@@ -37,6 +39,10 @@ _PIECES = regex.compile(public_tokenizers.PATTERN)
 _LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 #: Characters below this one are letters, digits or none in all versions of Unicode in use.
 _SETTLED = "\u0500"
+#: The kind of white space; letters, digits and others have 0 to 2.
+_WHITE = 3
+_SHORT = np.zeros(256, bool)
+_SHORT[[*b"stmd"]] = True
 
 
 def pack(ids: np.ndarray) -> bytes:
@@ -117,7 +123,7 @@ class Packed:
 
 
 class Encoder:
-    """The tokenizers library on the distinct chunks of the texts, between single blanks."""
+    """The tokenizers library on the distinct pieces of the texts."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -134,28 +140,37 @@ class Encoder:
         self.plain = self.library.normalizer is None and isinstance(cut, ByteLevel) and cut.use_regex and not cut.add_prefix_space
         self.by_piece = Generations(self._piece, 400_000)
         self.by_word = Generations(self._chunk)
+        self.kinds = self._kinds() if self.plain else None
+
+    def _kinds(self) -> np.ndarray:
+        """Letter, digit, other or white space, as the library's own cut of two characters tells, for settled characters."""
+        def joins(pair: str) -> bool:
+            return len(self.library.pre_tokenizer.pre_tokenize_str(pair)) == 1
+
+        settled = map(chr, range(ord(_SETTLED)))
+        return np.array([next((k for k, x in enumerate("a1!") if joins(x + c)), _WHITE) for c in settled], np.uint8)
 
     def _library(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _piece(self, piece: str) -> bytes:
+    def _piece(self, piece: bytes) -> bytes:
         """Packed ids of a piece, from the library's model alone where its other steps would pass the piece on whole."""
-        if not (self.plain and (piece.isascii() or max(piece) < _SETTLED)):
-            return self._library(piece)
-        tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(self.symbols))
+        if not (self.plain and (piece.isascii() or max(piece.decode()) < _SETTLED)):
+            return self._library(piece.decode())
+        tokens = self.model.tokenize(piece.decode("latin-1").translate(self.symbols))
         return array("I", [t.id for t in tokens]).tobytes() if _LITTLE else np.array([t.id for t in tokens], "<u4").tobytes()
 
     def _chunk(self, word: str) -> bytes:
         """Packed ids of a blank and what follows it up to the next one."""
         if word.isascii() and word.isalpha():  # one piece
-            return self.by_piece[" " + word]
+            return self.by_piece[b" " + word.encode()]
         return self._cut(" " + word)
 
     def _cut(self, chunk: str) -> bytes:
-        return b"".join(map(self.by_piece.__getitem__, _PIECES.findall(chunk)))
+        return b"".join([self.by_piece[p.encode()] for p in _PIECES.findall(chunk)])
 
-    def encode(self, text: str) -> bytes:
-        """Packed ids of a text.
+    def _unsettled(self, text: str) -> bytes:
+        """Packed ids of a text by itself.
 
         The vocabulary's words begin at a blank, so a text without runs of white space can be cut
         there, and chunks and their pieces of the pattern be encoded once. Texts with such runs, which the word pattern
@@ -166,6 +181,76 @@ class Encoder:
         first, *rest = text.split(" ")
         return self._cut(first) + b"".join(map(self.by_word.__getitem__, rest))
 
+    def encode_all(self, texts: list[str], end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """The ids of several texts, ``end`` behind each, and how many each has.
+
+        Texts of settled characters are cut into pieces together, and each different piece is encoded once.
+        """
+        alone = {
+            i: self._unsettled(x) for i, x in enumerate(texts)
+            if self.kinds is None or x and (not (x.isascii() or max(x) < _SETTLED) or any(s in x for s in self.special))
+        }
+        parts = [b"" if i in alone else x.encode() for i, x in enumerate(texts)]
+        edges = np.zeros(len(parts) + 1, np.int64)
+        np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)), out=edges[1:])
+        joined = b"".join(parts)
+        starts = _piece_starts(np.frombuffer(joined, np.uint8), edges[:-1], self.kinds)
+        offsets = np.append(starts, len(joined)).astype(np.int32)
+        pieces = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(joined)]).dictionary_encode()
+        entries = list(map(self.by_piece.__getitem__, pieces.dictionary.to_numpy(zero_copy_only=False).tolist()))
+        # Behind the pieces of each text comes its end, with the ids of a text encoded alone ahead of it.
+        tails = np.full(len(texts), len(entries))
+        tails[list(alone)] = len(entries) + 1 + np.arange(len(alone))
+        entries += [end, *(ids + end for ids in alone.values())]
+        behind = np.searchsorted(starts, edges[1:]) + np.arange(len(texts))
+        code = np.zeros(len(starts) + len(texts), np.int64)
+        inside = np.ones(len(code), bool)
+        inside[behind] = False
+        code[inside], code[behind] = pieces.indices.to_numpy(), tails
+        sizes = np.fromiter(map(len, entries), np.int64, len(entries)) // 4
+        ids = np.frombuffer(b"".join(entries), "<u4")
+        counts = sizes[code]
+        closes = np.cumsum(counts)
+        at = np.repeat((np.cumsum(sizes) - sizes)[code] - closes + counts, counts)
+        at += np.arange(len(at))
+        return ids[at], np.diff(closes[behind], prepend=0)
+
+    def encode(self, text: str) -> bytes:
+        """Packed ids of a text."""
+        return self.encode_all([text])[0].tobytes()
+
+
+def _piece_starts(data: np.ndarray, texts: np.ndarray, kinds: np.ndarray | None) -> np.ndarray:
+    """Where the pieces of the word pattern start in texts of settled characters; ``texts`` tells where the texts start."""
+    if not len(data):
+        return np.zeros(0, np.int64)
+    kind = kinds[data]
+    lead = np.flatnonzero(data >= 0xC0)  # all of two bytes
+    if len(lead):
+        kind[lead] = kinds[(data[lead] & 0x1F).astype(np.int64) << 6 | data[lead + 1] & 0x3F]
+        kind[lead + 1] = kind[lead]
+    first = np.zeros(len(data) + 1, bool)
+    first[texts] = first[-1] = True
+    opens = first.copy()
+    opens[1:-1] |= kind[1:] != kind[:-1]
+    # The last white space of a run stands by itself, or with what follows if it is a blank.
+    follow = np.flatnonzero(opens[1:] & ~first[1:] & (kind == _WHITE)) + 1
+    last = follow - 1 - (data[follow - 1] >> 6 == 2)
+    opens[last] = True
+    opens[follow[data[last] == 0x20]] = False
+    # 's, 't, 'm, 'd, 're, 've and 'll are pieces where a piece starts.
+    quote = np.flatnonzero((data == 0x27) & opens[:-1])
+    quote = quote[~first[quote + 1]]
+    if len(quote):
+        one = data[quote + 1]
+        two = np.where(first[quote + 2], 0, data[np.minimum(quote + 2, len(data) - 1)])
+        short = _SHORT[one]
+        long = ((one == 0x72) | (one == 0x76)) & (two == 0x65) | (one == 0x6C) & (two == 0x6C)
+        opens[quote[short | long] + 1] = False
+        opens[quote[short] + 2] = True
+        opens[quote[long] + 3] = True
+    return np.flatnonzero(opens[:-1])
+
 
 def _runs(text: str) -> bool:
     return bool(re.search(r"\s\s", text))
@@ -202,24 +287,26 @@ def write_token_files(df: DataFrame, path: str, vocabulary: str, end_id: int = 0
         encoder, part, first = _encoder(vocabulary), TaskContext.get().partitionId(), 0
         doc_ids: list = []
         ends: list[int] = []
-        parts: list[bytes] = []
+        parts: list[np.ndarray] = []
         size = 0
 
         def segment() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(parts), "<u4")
+            ids = np.concatenate(parts)
             return pa.RecordBatch.from_arrays([
                 pa.array([part], pa.int32()), pa.array([first], pa.int64()), pa.array([size], pa.int64()),
                 pa.array([doc_ids], pa.list_(pa.int64())), pa.array([ends], pa.list_(pa.int64())),
                 pa.array([pack(ids)], pa.binary()),
             ], names=["part", "first", "n_tokens", "doc_ids", "ends", "payload"])
 
-        for batch in batches:
-            for key, value in zip(batch.column("doc_id").to_pylist(), texts_of(batch, "text"), strict=True):
-                packed = encoder.encode(value) + end
-                size += len(packed) // 4
+        for batch in byte_slices(batches, "text", limit=CHUNK):
+            ids, counts = encoder.encode_all(texts_of(batch, "text"), end)
+            at = 0
+            for key, count in zip(batch.column("doc_id").to_pylist(), counts.tolist(), strict=True):
+                size += count
                 doc_ids.append(key)
                 ends.append(size)
-                parts.append(packed)
+                parts.append(ids[at : at + count])
+                at += count
                 if size >= SEGMENT_TOKENS:
                     yield segment()
                     first, size, doc_ids, ends, parts = first + size, 0, [], [], []
@@ -247,15 +334,14 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
             for part_id, first, keys, ends, payload in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
                 first += bases[part_id]
                 codes = Packed(payload)
-                begins = [0, *ends[:-1]]
+                edges = np.array([0, *ends], np.int64)
                 for at in range(0, len(keys), 1000):
-                    part = slice(at, at + 1000)
-                    ids = [codes.range(a, b).astype("<u4").tobytes() for a, b in zip(begins[part], ends[part], strict=True)]
+                    part = edges[at : at + 1001]
+                    ids = codes.range(int(part[0]), int(part[-1])).astype("<u4", copy=False)
+                    offsets = ((part - part[0]) * 4).astype(np.int32)
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(keys[part], pa.int64()),
-                        pa.array([first + a for a in begins[part]], pa.int64()),
-                        pa.array([b - a for a, b in zip(begins[part], ends[part], strict=True)], pa.int64()),
-                        pa.array(ids, pa.binary()),
+                        pa.array(keys[at : at + 1000], pa.int64()), pa.array(first + part[:-1], pa.int64()), pa.array(np.diff(part), pa.int64()),
+                        pa.Array.from_buffers(pa.binary(), len(part) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(ids)]),
                     ], names=["doc_id", "start", "n_tokens", "ids"])
 
     names = ["part", "first", "doc_ids", "ends", "payload"]

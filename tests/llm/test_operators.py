@@ -382,6 +382,28 @@ def test_words_need_the_library_model_only():
     assert encoder.encode(text) == want
 
 
+def test_pieces_of_a_batch_are_looked_up_once():
+    encoder = token_files.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    r = random.Random(5)
+    parts = ["a", "s", "t", "m", "d", "re", "ve", "ll", "'", "'", "-", "1", "²", "ß", "Ж", "\xa0", "\x85", "\x1c", "\t", "\n", " ", " ", " ", "."]
+    rare = ["東", "\u3000", "’", "é", "é", *encoder.special]
+    texts = ["".join(r.choices(parts + rare * (i % 3 == 0), k=r.randint(0, 30))) for i in range(3000)] + ["", " ", "a ", " a", "\n", "a\n", "'", "'r", "'re", "x'll"]
+    want = [encoder._library(x) for x in texts]
+    ids, counts = encoder.encode_all(texts, b"\0\0\0\0")
+    assert ids.tobytes() == b"".join(x + b"\0\0\0\0" for x in want) and (counts * 4 - 4).tolist() == list(map(len, want))
+    asked = collections.Counter()
+    known = encoder.by_piece
+
+    class Asked(dict):
+        def __getitem__(self, piece):
+            asked[piece] += 1
+            return known[piece]
+
+    encoder.by_piece = Asked()
+    assert encoder.encode_all(["it's red, it's blue", "blue it's"] * 200)[1].sum() == 2000
+    assert set(asked) == {b"it", b"'s", b" red", b",", b" it", b" blue", b"blue"} and max(asked.values()) == 1
+
+
 def test_repeats_forget_the_shuffles_of_finished_steps(spark, monkeypatch):
     steps = []
     monkeypatch.setattr(repeats, "forget_shuffles", lambda session: steps.append(1))
