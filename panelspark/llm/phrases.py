@@ -3,11 +3,12 @@
 Rows are dealt to SHARDS shards by a hash of their text. A phrase that occurs ``least`` times in a language
 occurs in some shard at least ``least`` times that shard's share of the language's words, so mining every shard
 completely at that support, rounded up, misses none. A shard is mined level by level: phrases of a length are
-counted only if both phrases one word shorter are frequent in some shard. The union of what is
-frequent in shards is a bit set of hashed phrases of fixed size (BITS), which drivers and workers hold; a
+counted only if both phrases one word shorter are candidates. Of what is frequent in shards, phrases whose shards
+together stay below ``least`` are dropped, as their hashes count all their occurrences or more. The rest is a bit
+set of hashed phrases of fixed size (BITS), which drivers and workers hold; a
 collision adds a candidate and loses none. Last, all occurrences of the candidates are counted by their words,
 so counts, and with them the result, don't depend on any hash. Tasks add up the occurrences of a chunk of
-text before they are shuffled, so frequent phrases cost a row per chunk.
+text before they are shuffled, so frequent phrases cost a row per chunk, or an entry of one while shards are mined.
 
 Null texts are empty, null languages are ``und``, repeated rows count each time, and texts without words and
 empty tables give no phrases. Ties are broken by the phrase. Long texts are cut at piece ends, so memory depends on
@@ -36,6 +37,11 @@ SHARDS = 4
 CHUNK = 2 << 20
 BITS = 1 << 27
 
+#: Occurrences of phrases whose keys are added up at once, and the least number of such ranges of keys. They follow the
+#: words only: rows by chunk and range must not grow with shuffle partitions.
+RANGE = 1_000_000
+RANGES = 256
+
 #: Keys that a frequent phrase part or a language is spread over.
 SALTS = 16
 
@@ -152,8 +158,13 @@ def _languages(names: Iterable[str]) -> np.ndarray:
     return np.array([_language_hash(x) for x in names], np.uint64)
 
 
-def _mine(rows: DataFrame, sets: list[Broadcast], size: int) -> DataFrame:
-    """key and support of the phrases of ``size`` words that reach their shard's support; the key names the shard too."""
+def _mine(rows: DataFrame, sets: list[Broadcast], size: int, least: int, ranges: int) -> DataFrame:
+    """key of the phrases of ``size`` words that reach a shard's support and, by hash, ``least`` in all shards.
+
+    Tasks send the sorted keys of a chunk, with the shard in the last two bits, as one row for each of ``ranges`` (a
+    power of two) ranges of keys; a range, with all shards of its phrases, is added up at once.
+    """
+    shift = np.uint64(64 - ranges.bit_length() + 1)
 
     def run(batches: Batches) -> Batches:
         found = [s.value for s in sets]
@@ -161,16 +172,40 @@ def _mine(rows: DataFrame, sets: list[Broadcast], size: int) -> DataFrame:
             names, shards, supports = zip(*others, strict=True)
             languages = _languages(names)
             at = _frequent_starts(words, languages, found, size)
-            shard = np.array(shards, np.uint64)
-            keys, first, counts = np.unique(
-                _keys(words, languages, size)[at] | shard[words.parts[at]], return_index=True, return_counts=True)
-            support = np.array(supports)[words.parts[at[first]]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int32)), pa.array(support.astype(np.int32))],
-                names=["key", "n", "support"])
-
-    met = map_batches(rows.select("lang", "shard", "support", "text"), run, "key long, n int, support int")
-    return met.groupBy("key").agg(F.sum("n").alias("n"), F.max("support").alias("support")).filter("n >= support")
+            keys = _keys(words, languages, size)[at] | np.array(shards, np.uint64)[words.parts[at]]
+            needed = np.array(supports, np.int32)[words.parts[at]]
+            for support in np.unique(needed).tolist():
+                met, counts = np.unique(keys[needed == support], return_counts=True)
+                bucket = (met >> shift).astype(np.int32)
+                first = np.flatnonzero(np.diff(bucket, prepend=-1))
+                edges = np.append(first, len(met))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(bucket[first]), pa.array(np.full(len(first), support, np.int32)),
+                    _packed(met, edges), _packed(counts.astype(np.int32), edges),
+                ], names=["bucket", "support", "keys", "n"])
+
+    def add_up(table: pa.Table) -> pa.Table:
+        supports = table.column("support").to_numpy()
+        keys, counts = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("keys", np.uint64), ("n", np.int32)))
+        support = np.repeat(supports, pc.binary_length(table.column("keys")).to_numpy() // 8)
+        order = np.argsort(keys)
+        keys, counts, support = keys[order], counts[order].astype(np.int64), support[order]
+        in_shard = np.flatnonzero(np.diff(keys, prepend=keys[:1] + np.uint64(1)))
+        counts = np.add.reduceat(counts, in_shard)
+        reached = counts >= np.minimum.reduceat(support, in_shard)
+        phrases = keys[in_shard] & ~np.uint64(3)
+        whole = np.flatnonzero(np.diff(phrases, prepend=phrases[:1] + np.uint64(1)))
+        kept = np.logical_or.reduceat(reached, whole) & (np.add.reduceat(counts, whole) >= least)
+        return pa.table({"key": phrases[whole][kept].view(np.int64)})
+
+    met = map_batches(rows.select("lang", "shard", "support", "text"), run, "bucket int, support int, keys binary, n binary")
+    return met.groupBy("bucket").applyInArrow(add_up, "key long")
+
+
+def _packed(values: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """Slices of an array as binary values."""
+    offsets = (edges * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(values)])
 
 
 def _bit_set(keys: DataFrame) -> np.ndarray:
@@ -231,16 +266,18 @@ def frequent_phrases(
     spark = df.sparkSession
     rows = df.select(F.coalesce(lang, F.lit("und")).alias("lang"), F.coalesce(text, F.lit("")).alias("text")).withColumn(
         "shard", F.pmod(F.xxhash64("text"), F.lit(min(shards, 4))).cast("int"))
-    n_words = F.regexp_count("text", F.lit(WORD))
-    shares = materialize(rows.groupBy("lang", "shard").agg(F.sum(n_words).alias("n")), "phrase-shares")
+    counted_words = F.regexp_count("text", F.lit(WORD))
+    shares = materialize(rows.groupBy("lang", "shard").agg(F.sum(counted_words).alias("n")), "phrase-shares")
     totals = shares.groupBy("lang").agg(F.sum("n").alias("n"))
     # ceil(least * part / whole) in whole numbers
     support = F.expr(f"cast(({least}L * s.n + t.n - 1) div t.n AS INT)")
     supports = shares.alias("s").join(totals.alias("t"), "lang").filter("s.n > 0").select("lang", "shard", support.alias("support"))
     rows = rows.join(broadcast_if_small(supports), ["lang", "shard"])
+    n_words = shares.agg(F.sum("n")).first()[0] or 0
+    ranges = 1 << (max(n_words // RANGE, RANGES) - 1).bit_length()
     sets: list[Broadcast] = []
     for size in range(1, longest + 1):
-        sets.append(spark.sparkContext.broadcast(_bit_set(_mine(rows, sets, size))))
+        sets.append(spark.sparkContext.broadcast(_bit_set(_mine(rows, sets, size, least, ranges))))
         forget_shuffles(spark)
     counted = _count(rows, sets, longest).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
     found = materialize(counted, "phrase-counts")

@@ -128,6 +128,26 @@ def test_nothing_frequent(spark, rows):
     assert check(spark, rows) == []
 
 
+def test_rare_phrases_are_no_candidates(spark, monkeypatch):
+    """What a shard's lowered support lets through goes where all shards together hold too few."""
+    rows = [(f"x{i} rare{i % 60} pair{i % 60}. common words here", "en") for i in range(300)]
+    whole = counted(rows, 3)["en"]
+    sizes = []
+    count = phrases._count
+    monkeypatch.setattr(phrases, "_count", lambda rows, sets, longest: sizes.extend(
+        int(np.bitwise_count(s.value).sum()) for s in sets) or count(rows, sets, longest))
+    check(spark, rows)
+    assert sizes == [sum(n >= 10 and p.count(" ") == k for p, n in whole.items()) for k in range(3)] == [3, 2, 1]
+
+
+def test_key_ranges(spark, monkeypatch):
+    """Any number of key ranges gives the same phrases."""
+    for words, least in ((3, 256), (10**6, 2)):
+        monkeypatch.setattr(phrases, "RANGE", words)
+        monkeypatch.setattr(phrases, "RANGES", least)
+        check(spark, corpus(6, 40))
+
+
 def test_bit_set(spark):
     keys = [0, 4, 8, 2**62 + 12, -(2**63), -4]
     bits = phrases._bit_set(spark.createDataFrame([(k,) for k in keys], "key long"))
