@@ -57,23 +57,30 @@ def find_hits(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: s
 
     The documents are split into words once, and never leave their task: a word that is an anchor
     meets the windows around it, which are compared whole. Each document also sends the empty
-    word, which meets a row of its own, so that clean documents come through the same join.
+    word, which meets a row of its own, so that clean documents come through the same join. What is
+    grouped holds no words: a sort of rows with all words of their documents takes several times the text.
     """
     spark = docs.sparkSession
     found = materialize(item_windows(items), "benchmark-windows")
     size = found.agg(F.sum(F.octet_length(F.array_join("window", "")) + F.size("items") * 16 + 100)).first()[0] or 0
     mark = spark.createDataFrame([("", 0, 0, [], [])], found.schema)
     known = found.unionByName(mark)
-    if size <= BROADCAST_BYTES:
+    few = size <= BROADCAST_BYTES
+    split = docs.select(F.col(doc_id).alias("doc_key"), words(text).alias("w"))
+    scanned = split.select("doc_key", "w", F.size("w").alias("n_words"), F.posexplode(F.concat(F.array(F.lit("")), "w")).alias("position", "word"))
+    first = F.lit(1)
+    if few:
         known = F.broadcast(known)
-    scanned = docs.select(F.col(doc_id).alias("doc_key"), words(text).alias("w")).select(
-        "doc_key", "w", F.posexplode(F.concat(F.array(F.lit("")), "w")).alias("position", "word"))
+    else:  # a word is sent with as much as a window can hold around it
+        first = F.greatest(F.col("position") - (WIDTH - 1), F.lit(1))
+        scanned = scanned.withColumn("w", F.slice("w", first, 2 * WIDTH - 1))
     begin = F.col("position") - F.col("offset") + 1
-    same = (F.col("n") == 0) | ((begin >= 1) & (F.slice("w", F.greatest(begin, F.lit(1)), F.greatest("n", F.lit(1))) == F.col("window")))
-    met = scanned.join(known, (F.col("word") == F.col("anchor")) & same)
+    same = (F.col("n") == 0) | ((begin >= 1) & (F.slice("w", F.greatest(begin - first + 1, F.lit(1)), F.greatest("n", F.lit(1))) == F.col("window")))
+    met = scanned.join(known, (F.col("word") == F.col("anchor")) & same).select(
+        "doc_key", "n_words", F.when(F.col("n") > 0, F.struct(begin.alias("at"), "n")).alias("hit"), "items")
     return met.groupBy("doc_key").agg(
-        F.max(F.size("w")).cast("long").alias("n_words"),
-        F.array_sort(F.collect_set(F.when(F.col("n") > 0, F.struct(begin.alias("at"), F.col("n"))))).alias("hits"),
+        F.max("n_words").cast("long").alias("n_words"),
+        F.array_sort(F.collect_set("hit")).alias("hits"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
     )
 

@@ -104,6 +104,22 @@ def test_decontamination(spark):
     assert decontaminate.report(frame(spark, docs), item_rows.limit(0)).filter("contaminated").isEmpty()
 
 
+@pytest.mark.parametrize("most", [decontaminate.BROADCAST_BYTES, 0])
+def test_grouping_of_hits_takes_no_words(spark, monkeypatch, most):
+    """A row with all words of its document, for the document and each hit, is a multiple of the text in memory."""
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", most)
+    text = " ".join(f"w{i}" for i in range(40))
+    items = spark.createDataFrame([("a", text), ("b", "w3 w4"), ("c", "w39")], "item_id string, text string")
+    found = decontaminate.find_hits(frame(spark, ["x " * 30 + text, text, "w5 w3", "", None]), items)
+    plan = found._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() != "Aggregate":
+        plan = plan.children().head()
+    sent = plan.children().head().output().mkString(" ")
+    assert "n_words" in sent and "w#" not in sent.replace("n_words", "")
+    got = {r.doc_key: (r.n_words, len(r.hits), r["items"]) for r in found.collect()}
+    assert got == {0: (70, 33, ["a", "b", "c"]), 1: (40, 33, ["a", "b", "c"]), 2: (2, 0, []), 3: (0, 0, []), 4: (0, 0, [])}
+
+
 def test_near_duplicates(spark, texts):
     r = random.Random(5)
     base = [w for t in texts[:3] for w in words(t)][:200]
