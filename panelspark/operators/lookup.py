@@ -45,10 +45,14 @@ def map_contained(
     ``max_keys`` keys the map turns into one conditional expression. A larger one becomes an automaton that
     reads each text once for all keys; both label rows in their scan, without a shuffle. A map
     whose automaton passes ``max_cells`` transitions is joined on the substrings of the
-    distinct texts. All plans give the same labels.
+    distinct texts. A map of more than ``max_cells / 8`` rows is first reduced to the row of each key that
+    ranks first (or ``last``), of equal ones by the value's text. All plans give the same labels.
     """
     ranked = mapping.where(F.col(key).isNotNull()).select(key, value, F.col(order or value).alias("_order"))
     keys = ranked.limit(max_cells // 8 + 1).collect()
+    if len(keys) > max_cells // 8:
+        ranked = materialize(_one_per_key(ranked, key, value, last), "lookup-keys")
+        keys = ranked.limit(max_cells // 8 + 1).collect()
     if len(keys) <= max_cells // 8:
         keys = sorted(keys, key=lambda r: (r["_order"] is not None, r["_order"] if r["_order"] is not None else 0, r[key]))
         if len(keys) <= max_keys:
@@ -68,6 +72,13 @@ def map_contained(
     )
 
 
+def _one_per_key(ranked: DataFrame, key: str, value: str, last: bool) -> DataFrame:
+    """The row of each key that can win, so that a text meets a key once however often it repeats."""
+    pick = F.max_by if last else F.min_by
+    best = pick(F.struct(value, "_order"), F.struct("_order", F.col(value).cast("string").alias("_text")))
+    return ranked.groupBy(key).agg(best.alias("_best")).select(key, "_best.*")
+
+
 def _first_of_few(keys: list, kind: T.DataType, text: str, key: str, value: str, last: bool) -> Column:
     hits = [
         F.when(F.col(text).contains(row[key]), F.struct(F.lit(row[value]).cast(kind).alias("v")))

@@ -189,6 +189,18 @@ def test_large_maps_agree_with_small_ones(spark):
             assert few == many == joined
 
 
+@pytest.mark.parametrize("last", [False, True])
+def test_repeated_keys_of_a_large_map_are_reduced_first(spark, monkeypatch, last):
+    """A map of many rows and few keys needs no join, in which a text would meet every row of its keys."""
+    monkeypatch.setattr(lookup, "_contained_by_substring", lambda *_: pytest.fail("joined"))
+    rows = [(k, f"{k}{i}" if i % 7 else None, None if i == 20 else i // 2) for i in range(40) for k in ("a", "ab", "b")] + [(None, "null", -1)]
+    mapping = spark.createDataFrame(rows, "k string, v string, o int").repartition(5)
+    texts = spark.createDataFrame([("xa",), ("xab",), ("b",), ("none",), (None,), ("",)], "t string")
+    got = {r.t: r.out for r in lookup.map_contained(texts, "t", mapping, "k", "v", "out", "o", last, max_keys=2, max_cells=400).collect()}
+    want = {"xa": "a39", "xab": "b39", "b": "b39"} if last else {"xa": "a20", "xab": "a20", "b": "b20"}
+    assert got == {"none": None, None: None, "": None} | want
+
+
 def test_tasks_of_a_large_scan_grow_with_its_rows(spark, monkeypatch):
     monkeypatch.setattr(session, "ROWS_PER_TASK", 100)
     few, many = (session.spread_by_rows(spark.range(n), "id") for n in (99, 3000))
