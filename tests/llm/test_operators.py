@@ -387,6 +387,51 @@ def test_search(spark):
         assert got[query] == want
 
 
+def best_rows(queries, rows, k):
+    """The k best of (id, vector) rows for each query row."""
+    out = []
+    for query, q in queries:
+        scored = [(-sum(a * b for a, b in zip(q, v)), i) for i, v in rows if i != query]
+        out += [(query, i, -score) for score, i in sorted(scored)[:k]]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("most", [1, 3, 40, 10**5, 10**8])
+def test_shards_hand_their_scores_on(monkeypatch, most):
+    """Few queries and seeds at a time, equal vectors, ids that repeat, terms that hardly add."""
+    monkeypatch.setattr(search, "QUERIES", 7)
+    r = np.random.default_rng(most)
+    for seeds, width, k, few in [(5, 0, 3, 1.0), (20, 1, 20, 1.0), (9, 6, 5, 1.0), (64, 12, 8, 0.1), (16, 40, 4, 0.05)]:
+        monkeypatch.setattr(search, "SEED", seeds)
+        ids, x = np.sort(r.integers(0, 300, 200)), r.integers(-most, most + 1, (200, width))
+        x[:, 2:] *= r.random((200, max(width - 2, 0))) < few
+        x[r.random(200) < 0.3] = x[0]
+        shards = [(ids[at : at + 30], x[at : at + 30]) for at in range(0, 200, 30)]
+        asked = r.random(200) < 0.2
+        got = search.tile_top((ids[asked], x[asked]), shards, k)
+        rows = list(zip(ids.tolist(), x.tolist(), strict=True))
+        assert sorted(zip(*(c.tolist() for c in got), strict=True)) == best_rows([y for y, q in zip(rows, asked, strict=True) if q], rows, k)
+
+
+def test_search_in_tiles_and_lanes(spark, monkeypatch):
+    """Vectors are stored with as many bytes as their numbers need; parts are bounded and meet each other once."""
+    for name, value in [("SHARD", 8), ("TILE_BYTES", (64, 128)), ("LANE_BYTES", (64, 400)), ("SEED", 4)]:
+        monkeypatch.setattr(search, name, value)
+    r = np.random.default_rng(4)
+    rows = [(i, [float(c) for c in r.integers(-3, 3, 8)]) for i in range(300)]
+    data = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    blocks = search._blocks(search.quantise(data), 8, "shards")
+    assert {x.kind for x in blocks.collect()} == {"<i2"} and max(len(x.grid) for x in blocks.collect()) == 8 * 8 * 2
+    assert {x.kind for x in search._blocks(search.quantise(data, 1), 8, "shards").collect()} == {"<i1"}
+    dealt, parts = search._deal(blocks, "lane", *search.LANE_BYTES)
+    assert parts > 8 and 8 < len({x.lane for x in dealt.collect()}) <= parts and dealt.count() == blocks.count()
+    got = search.top_k(search.quantise(data), F.col("vec_id") % 20 == 0, 6).collect()
+    whole = [(i, [int(64 * c) for c in v]) for i, v in rows]
+    assert sorted((x.query_id, x.vec_id, x.score) for x in got) == best_rows(whole[::20], whole, 6)
+    assert all(sorted(x.rank for x in got if x.query_id == i) == [1, 2, 3, 4, 5, 6] for i in range(0, 300, 20))
+    assert search.top_k(search.quantise(data), F.col("vec_id") < 0).isEmpty()
+
+
 def test_words_need_the_library_model_only():
     encoder = token_files.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
     library = encoder.library
