@@ -99,6 +99,18 @@ def name_codes(names: list[str | None], filler: int) -> np.ndarray:
     return codes
 
 
+def gram_bits(codes: np.ndarray, filler: int) -> np.ndarray:
+    """The pairs of neighbouring letters of each row of codes, as hashed bits of one word.
+
+    An insertion or deletion changes three pairs at most, so two texts differ in three bits for each edit at most.
+    """
+    bits, one = np.zeros(len(codes), "u8"), np.uint64(1)
+    for a, b in zip(codes.T[:-1], codes.T[1:], strict=True):
+        at = (a.astype("u8") * np.uint64(0x9E3779B97F4A7C15) + b * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(58)
+        bits |= np.where(b == filler, np.uint64(0), one << at)
+    return bits
+
+
 def lcs_of_codes(patterns: np.ndarray, texts: np.ndarray) -> np.ndarray:
     """``lcs_length`` row by row, for codes with different fillers: a row of the table is one word for each pair."""
     rows, hits = np.full(len(patterns), 2**64 - 1, "u8"), np.zeros((len(patterns), 8), "u1")

@@ -34,9 +34,15 @@ PAIRS_PER_TASK = 250_000
 MAX_TASKS = 100_000
 BROADCAST_NAMES = 100_000
 
-#: Names of a chunk on average, in large blocks, and their pairs per task.
+#: Names of a chunk, in large blocks: from the least on average, in a few chunks of any size, to the most.
 CHUNK = 2048
-LARGE_PAIRS_PER_TASK = 10_000_000
+CHUNKS = 4
+LARGEST_CHUNK = 1 << 17
+
+#: Names of either side whose letters are compared at once, so that they stay in the cache.
+ROWS, COLUMNS = 64, 2048
+
+LARGE_PAIRS_PER_TASK = 100_000_000
 MAX_LARGE_TASKS = 2_000
 
 #: Tasks that score the found pairs, at most.
@@ -182,38 +188,41 @@ def _by_initial(names: DataFrame, side: str) -> DataFrame:
 def _chunk_pairs(left: pa.Table, right: pa.Table) -> pa.Table:
     """Rows of both tables that score above 85, straight or flipped, or are too long to tell.
 
-    Letters and lengths come first. A pair that shares two initials comes from the chunks of the smaller one only.
+    Letters and lengths come first, then pairs of letters: an edit changes three of these at most. A pair of names that shares
+    two initials comes from the chunks of the smaller one only. What is kept between are the pairs found, however large the chunks are.
     """
     letters, others = left["m_letters"].to_numpy().view("u8"), right["p_letters"].to_numpy().view("u8")
     lengths, sizes = left["m_length"].to_numpy(), right["p_length"].to_numpy()
     m_other, p_other = left["m_other"].to_numpy(), right["p_other"].to_numpy()
     orders = [N.name_codes(left[c].to_pylist(), N.FILLERS[0]) for c in ("phc_name", "phc_name_flipped")]
     texts = N.name_codes(right["epic_name"].to_pylist(), N.FILLERS[1])
+    grams, of_text = [N.gram_bits(codes, N.FILLERS[0]) for codes in orders], N.gram_bits(texts, N.FILLERS[1])
+    code = left["m_code"][0].as_py()
     mine, theirs = [np.empty(0, "i8")], [np.empty(0, "i8")]
     for n in np.unique(lengths):
         edits = n + sizes - 2 * (17 * (n + sizes) // 40 + 1)
         near = np.flatnonzero(edits >= np.abs(n - sizes))
-        if not near.size:
-            continue
-        most, near_letters = np.minimum(edits[near], 64).astype("u1"), others[near]
         rows = np.flatnonzero(lengths == n)
-        for some in np.array_split(rows, len(rows) // 64 + 1):  # stays in the cache
-            i, j = np.nonzero(np.bitwise_count(letters[some, None] ^ near_letters) <= most)
-            i, j = some[i], near[j]
-            first = (m_other[i] != p_other[j]) | (m_other[i] > left["m_code"][0].as_py())
-            mine.append(i[first])
-            theirs.append(j[first])
-    mine, theirs = np.concatenate(mine), np.concatenate(theirs)
-    kept = []
-    for at in range(0, len(mine), 8192):
-        i, j = mine[at : at + 8192], theirs[at : at + 8192]
-        n, m = lengths[i], sizes[j]
-        similar = np.maximum(n, m) > N.SHORT
-        for codes in orders:
-            similar |= N.lcs_of_codes(codes[i], texts[j]) > 17 * (n + m) // 40
-        kept.append(at + np.flatnonzero(similar))
-    kept = np.concatenate(kept) if kept else np.empty(0, "i8")
-    a, b = left.take(pa.array(mine[kept])), right.take(pa.array(theirs[kept]))
+        for some_near in np.array_split(near, len(near) // COLUMNS + 1):
+            most, near_letters = np.minimum(edits[some_near], 64).astype("u1"), others[some_near]
+            found = []
+            for at in range(0, len(rows), ROWS) if some_near.size else ():
+                alike = np.bitwise_count(letters[rows[at : at + ROWS], None] ^ near_letters) <= most
+                found.append(np.flatnonzero(alike) + at * len(some_near))
+            if not found:
+                continue
+            i, j = np.divmod(np.concatenate(found), len(some_near))
+            i, j = rows[i], some_near[j]
+            first = (m_other[i] != p_other[j]) | (m_other[i] > code)
+            i, j = i[first], j[first]
+            n_edits, similar = edits[j], np.maximum(n, sizes[j]) > N.SHORT
+            alike = [~similar & (np.bitwise_count(x[i] ^ of_text[j]) <= 3 * n_edits) for x in grams]
+            for codes, ones in zip(orders, alike, strict=True):
+                for part in np.array_split(np.flatnonzero(ones), np.count_nonzero(ones) // 8192 + 1):
+                    similar[part] |= N.lcs_of_codes(codes[i[part]], texts[j[part]]) > 17 * (n + sizes[j[part]]) // 40
+            mine.append(i[similar])
+            theirs.append(j[similar])
+    a, b = left.take(pa.array(np.concatenate(mine))), right.take(pa.array(np.concatenate(theirs)))
     columns = {c: a[c] for c in left.column_names if c not in _PAIRED} | {c: b[c] for c in right.column_names if c not in [*_PAIRED, "dob"]}
     return pa.table(columns)
 
@@ -234,15 +243,17 @@ def similar_candidates(
 ) -> DataFrame:
     """Pairs of names, straight or flipped, that score above 85 or are too long to tell here. None that does is missing.
 
-    Names meet by date of birth and initial, in chunks. A row repeats once for each chunk of the other side, so
-    no task holds more than two chunks, however large a block is.
+    Names meet by date of birth and initial, in chunks. A row repeats once for each chunk of the other side: CHUNKS
+    times, until chunks reach their largest size. No task holds more than two chunks, however large a block is.
     """
     left = _by_initial(members.select("dob", *member_key, "phc_name", "phc_name_flipped", "m_letters", "m_length", "m_initial_1", "m_initial_2"), "m")
     right = _by_initial(patients.select("dob", *patient_key, "epic_name", "p_letters", "p_length", "p_initial_1", "p_initial_2"), "p")
     key = ["dob", "initial"]
-    chunks = left.groupBy(*key).agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("m_chunks")).join(
-        right.groupBy(*key).agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("p_chunks")), key)
+    number = F.expr(f"CAST(greatest(least(ceil(count(*) / {CHUNK}), {CHUNKS}), ceil(count(*) / {LARGEST_CHUNK})) AS INT)")
+    chunks = left.groupBy(*key).agg(number.alias("m_chunks")).join(right.groupBy(*key).agg(number.alias("p_chunks")), key)
     chunks = materialize(chunks, "chunks")
+    met = chunks.agg(F.sum(F.col("m_chunks").cast("long") * F.col("p_chunks"))).first()[0] or 1
+    tasks = min(tasks, 2 * met)
 
     def dealt(names: DataFrame, side: str, name: list[str]) -> DataFrame:
         own = F.expr(f"CAST(pmod(xxhash64({', '.join(name)}), {side}_chunks) AS INT)")

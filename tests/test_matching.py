@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import Row
 
+from panelspark.functions import names as N
 from panelspark.operators import matching as M
 from tests.test_functions import plain_lcs
 
@@ -206,3 +207,42 @@ def test_chunks_give_each_similar_pair_once_and_no_other(spark, monkeypatch):
     long = {f"E{i}" for i, b in enumerate(patients) if len(b["pat_first_name"]) + len(b["pat_last_name"]) > 60}
     assert sorted(x for x in got if x[2] not in long) == sorted(x for x in expected if x[2] not in long and max(map(len, x)) < 60)
     assert {x for x in expected if x[2] in long} <= {tuple(r) for r in found.collect()}
+
+
+@pytest.mark.parametrize("largest, chunks", [(1000, 3), (12, 10)])
+def test_rows_repeat_for_few_chunks(spark, monkeypatch, largest, chunks):
+    """A block of many names is dealt into CHUNKS parts until they reach their largest size; names of a part meet in tiles."""
+    for name, value in [("CHUNK", 2), ("CHUNKS", 3), ("LARGEST_CHUNK", largest), ("ROWS", 2), ("COLUMNS", 5)]:
+        monkeypatch.setattr(M, name, value)
+    seen, write = {}, M.materialize
+    monkeypatch.setattr(M, "materialize", lambda df, name: seen.setdefault(name, write(df, name)))
+    rng = random.Random(8)
+    names = sorted({("a" + "".join(rng.choices("lnor", k=rng.randint(4, 8))), "".join(rng.choices("aest", k=rng.randint(4, 9)))) for _ in range(110)})
+    members = [{"cin": f"{i}", "epic_pat_id": None, "dob": DAY, "first_name": a, "last_name": b} for i, (a, b) in enumerate(names)]
+    patients = [
+        {"pat_id": f"E{i}", "pat_name": f"{i}", "pat_first_name": a if i % 2 else b, "pat_last_name": b[1:] if i % 2 else a + "x", "birth_date": DAY,
+         "update_date": 1, "rec_create_date": 1}
+        for i, (a, b) in enumerate(names)
+    ]
+    m, p = frames(spark, members, patients)
+    found = M.similar_candidates(M._with_member_columns(M._member_names(m)), M._with_patient_columns(M._patient_names(p)))
+    got = sorted((r.m_first, r.m_last, r.pat_id) for r in found.collect())
+    of_a = seen["chunks"].where("initial = 'a'").first()
+    assert (of_a.m_chunks, of_a.p_chunks) == (chunks, chunks)
+    assert got == sorted(
+        (*x, f"E{i}") for x in names for i, b in enumerate(patients)
+        if {x[0][:1], x[1][:1]} & {b["pat_first_name"][:1], b["pat_last_name"][:1]}
+        and max(ratio(" ".join(y), f"{b['pat_first_name']} {b['pat_last_name']}") for y in (x, x[::-1])) > 85
+    )
+
+
+def test_an_edit_changes_three_grams_at_most():
+    rng = random.Random(2)
+    for _ in range(2000):
+        text = changed = "".join(rng.choices("abc é", k=rng.randint(1, 40)))
+        edits = rng.randint(0, 6)
+        for _ in range(edits):
+            at = rng.randint(0, len(changed))
+            changed = changed[:at] + rng.choice("abcdé") + changed[at:] if rng.random() < 0.5 or not changed else changed[: max(at - 1, 0)] + changed[max(at, 1) :]
+        one, other = (N.gram_bits(N.name_codes([x], f), f)[0] for x, f in zip((text, changed), N.FILLERS, strict=True))
+        assert int(one ^ other).bit_count() <= 3 * edits
